@@ -1,5 +1,10 @@
 from bazaarlens.functions.dates import as_day, day_of, each_day, within_days
-from bazaarlens.functions.numbers import fixed_text, ratio, threshold_rank, threshold_text
+from bazaarlens.functions.numbers import (
+    fixed_text,
+    last_admitted_rank,
+    ratio,
+    threshold_text,
+)
 from bazaarlens.functions.statuses import StatusLabels, status_rank
 
 __all__ = [
@@ -8,9 +13,9 @@ __all__ = [
     "day_of",
     "each_day",
     "fixed_text",
+    "last_admitted_rank",
     "ratio",
     "status_rank",
-    "threshold_rank",
     "threshold_text",
     "within_days",
 ]

@@ -21,12 +21,16 @@ def threshold_text(total: Column, share: float) -> Column:
     return fixed_text(total * F.lit(float(share)), 0)
 
 
-def threshold_rank(text: Column, strict_numeric: bool = False) -> Column:
-    """The last rank a :func:`threshold_text` admits, null if it admits none.
-
-    A comma does not parse as a number, so by default a threshold from 1,000 up
-    becomes null and its row fails every comparison. ``strict_numeric`` removes
-    the commas first, so that large thresholds count as the numbers they show.
+def last_admitted_rank(
+    total: Column, share: float, strict_numeric: bool = False
+) -> Column:
+    """The last rank that is within :func:`threshold_text`, null if none is.
+
+    A text with a thousands comma does not compare as a number, so by default a
+    threshold from 1,000 up admits no rank at all. ``strict_numeric`` takes every
+    threshold as the number it shows. No text is made here: ``rint`` rounds half-even
+    as the text does.
     """
-    digits = F.translate(text, ",", "") if strict_numeric else text
-    return digits.try_cast("bigint")
+    whole = F.rint(total * F.lit(float(share)))
+    admitted = whole if strict_numeric else F.when(F.abs(whole) < 1000, whole)
+    return admitted.try_cast("bigint")

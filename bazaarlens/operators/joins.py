@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,6 +45,16 @@ def hot_keys(
     )
 
 
+def pinned(groups: DataFrame, count_col: str, value_col: str) -> DataFrame:
+    """The same groups, behind a filter that is always true and reads both columns.
+
+    Two branches that use different columns of one aggregation are pruned to two
+    aggregations, and the input is scanned and shuffled for each. With the filter both
+    branches keep both columns, stay equal, and share one shuffle.
+    """
+    return groups.where(F.greatest(count_col, value_col) > 0)
+
+
 def join_salted(
     rows: DataFrame,
     groups: DataFrame,
@@ -58,13 +68,15 @@ def join_salted(
 
     Rows of a hot key are dealt to ``splits`` salts by the input partition they come
     from, which a retried task repeats exactly; the matching ``groups`` rows are
-    copied to every salt. All other keys use salt 0. Result columns: those of
-    ``rows``, then those of ``groups`` that are not keys. ``hot`` must come from
-    :func:`hot_keys`, which bounds what is broadcast here.
+    copied to every salt. Rows that cannot match, for a null in their key, are dealt out
+    likewise. All other keys use salt 0. Result columns: those of ``rows``, then those of
+    ``groups`` that are not keys. ``hot`` must come from :func:`hot_keys`, which bounds
+    what is broadcast here.
     """
+    spread = F.col(_HOT) if null_safe else F.col(_HOT) | _any_null(keys)
     salted_rows = _tag(rows, hot, keys).withColumn(
         _SALT,
-        F.when(F.col(_HOT), F.pmod(F.spark_partition_id(), F.lit(splits))).otherwise(F.lit(0)),
+        F.when(spread, F.pmod(F.spark_partition_id(), F.lit(splits))).otherwise(F.lit(0)),
     )
     salted_groups = _tag(groups, hot, keys).withColumn(
         _SALT,
@@ -120,6 +132,10 @@ def _match(left: str, right: str, keys: Sequence[str], null_safe: bool) -> Colum
     return reduce(and_, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
 
 
+def _any_null(keys: Sequence[str]) -> Column:
+    return reduce(or_, [F.col(k).isNull() for k in keys])
+
+
 def _tag(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add a boolean column that tells whether the row's key is on the hot list."""
     listed = hot.withColumn(_HOT, F.lit(True))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.functions.statuses import StatusLabels, status_rank
-from bazaarlens.operators.joins import HOT_ROWS, hot_keys, join_salted
+from bazaarlens.operators.joins import HOT_ROWS, hot_keys, join_salted, pinned
 from bazaarlens.operators.pricing import PricingColumns
 
 
@@ -28,14 +28,21 @@ def status_priorities(
         columns.status,
         status_rank(F.col(columns.status), labels).alias("new_cpt_status"),
     )
-    models = rows.groupBy(*key).agg(
-        F.min("new_cpt_status").alias("priority"), F.count("*").alias("model_rows")
+    models = pinned(
+        rows.groupBy(*key).agg(
+            F.min("new_cpt_status").alias("priority"), F.count("*").alias("model_rows")
+        ),
+        "model_rows",
+        "priority",
+    )
+    return join_salted(
+        rows,
+        models.select(*key, "priority"),
+        key,
+        hot_keys(models, key, "model_rows", hot_rows),
+        "inner",
+        null_safe=True,
     )
-    hot = hot_keys(models, key, "model_rows", hot_rows)
-    # The always-true filter keeps the count in this branch too, so that both branches
-    # are the same aggregation and share one shuffle.
-    best = models.where(F.col("model_rows") > 0).select(*key, "priority")
-    return join_salted(rows, best, key, hot, "inner", null_safe=True)
 
 
 def priority_status(

@@ -4,18 +4,25 @@ A model (region, item, model) has one threshold: 30% of its order total, rounded
 half-even to a whole number. Its rows in the join with the platform lookup, one per
 lookup row of its region, are ranked by their share of the platform's orders, and the
 ranks up to the threshold are kept. So a model passes if its threshold is 1 or more.
-See :func:`bazaarlens.functions.threshold_rank` for thresholds of 1,000 and above.
+See :func:`bazaarlens.functions.last_admitted_rank` for thresholds of 1,000 and above.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarlens.functions.numbers import fixed_text, ratio, threshold_rank, threshold_text
-from bazaarlens.operators.joins import HOT_ROWS, hot_keys, join_lookup, join_salted
+from bazaarlens.functions.numbers import (
+    fixed_text,
+    last_admitted_rank,
+    ratio,
+    threshold_text,
+)
+from bazaarlens.operators.joins import HOT_ROWS, hot_keys, join_lookup, join_salted, pinned
 from bazaarlens.operators.pricing import PricingColumns
 
 SHARE = 0.3
@@ -38,28 +45,32 @@ def top30_ranked_models(
     rows of one region, never the pricing rows of a model.
     See :func:`bazaarlens.operators.joins.join_lookup` for ``platform_bounded_by``.
     """
-    sums = _order_sums(pricing, columns)
+    admitted = _last_rank(share, strict_numeric)
     lookup = platform.select(columns.region, columns.platform_order)
-    joined = join_lookup(
-        sums,
+    shares = join_lookup(
+        _order_sums(pricing, columns).where(admitted >= 1),
         lookup,
         keys=[columns.region],
         spread=[columns.item, columns.model],
         bounded_by=platform_bounded_by,
+    ).withColumn(
+        "contribute_ratio",
+        fixed_text(ratio(F.col("sum_units"), F.col(columns.platform_order)), _RATIO_DIGITS),
     )
     direction = F.desc if descending else F.asc
     window = Window.partitionBy(*columns.model_key).orderBy(
         direction("contribute_ratio"), direction(columns.platform_order)
     )
     return (
-        joined.withColumn(
+        shares.withColumn("contribution_rank", F.row_number().over(window))
+        .where(F.col("contribution_rank") <= admitted)
+        .select(
+            *columns.model_key,
+            "sum_units",
+            columns.platform_order,
             "contribute_ratio",
-            fixed_text(ratio(F.col("sum_units"), F.col(columns.platform_order)), _RATIO_DIGITS),
-        )
-        .withColumn("order_threshold", threshold_text(F.col("sum_units"), share))
-        .withColumn("contribution_rank", F.row_number().over(window))
-        .where(
-            F.col("contribution_rank") <= threshold_rank(F.col("order_threshold"), strict_numeric)
+            threshold_text(F.col("sum_units"), share).alias("order_threshold"),
+            "contribution_rank",
         )
     )
 
@@ -101,14 +112,16 @@ def top30_model_flag(
     split.
     """
     key = columns.model_key
-    sums = pricing.groupBy(*key).agg(
-        F.sum(columns.units).alias("sum_units"), F.count("*").alias("model_rows")
+    sums = pinned(
+        pricing.where(_whole_key(key))
+        .groupBy(*key)
+        .agg(F.sum(columns.units).alias("sum_units"), F.count("*").alias("model_rows")),
+        "model_rows",
+        "sum_units",
     )
     hot = hot_keys(sums, key, "model_rows", hot_rows)
-    # The filter on the count keeps it in this branch, so both share one shuffle.
-    passing = sums.where(
-        (_last_rank(share, strict_numeric) >= 1) & (F.col("model_rows") > 0)
-    ).select(*key, _last_rank(share, strict_numeric).alias("copies"))
+    admitted = _last_rank(share, strict_numeric)
+    passing = sums.where(admitted >= 1).select(*key, admitted.alias("copies"))
     if platform is None:
         passing = passing.withColumn("copies", F.lit(1))
     else:
@@ -132,5 +145,9 @@ def _order_sums(pricing: DataFrame, columns: PricingColumns) -> DataFrame:
     return pricing.groupBy(*columns.model_key).agg(F.sum(columns.units).alias("sum_units"))
 
 
+def _whole_key(key: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(k).isNotNull() for k in key])
+
+
 def _last_rank(share: float, strict_numeric: bool) -> Column:
-    return threshold_rank(threshold_text(F.col("sum_units"), share), strict_numeric)
+    return last_admitted_rank(F.col("sum_units"), share, strict_numeric)

@@ -32,9 +32,12 @@ class Marketplace:
     def __init__(self, spark: SparkSession, directory: str):
         self.spark = spark
         self.directory = directory
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+        return self._tables[name]
 
     def offers(self) -> DataFrame:
         """Pricing rows without their region, which needs no join."""

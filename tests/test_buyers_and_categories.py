@@ -1,0 +1,210 @@
+import datetime
+import random
+from collections import defaultdict
+from itertools import product
+
+import pytest
+
+from bazaarlens import operators as ops
+
+WINDOW = ("2021-04-01", "2021-04-30")
+
+
+def day(d):
+    return datetime.date(2021, 4, d)
+
+
+def moment(d, hour=12, month=4):
+    return datetime.datetime(2021, month, d, hour)
+
+
+@pytest.fixture
+def buyers(spark):
+    first = spark.createDataFrame(
+        [
+            (1, moment(13)),
+            (2, datetime.datetime(2021, 4, 30, 23, 59, 59)),
+            (3, moment(5)),  # no order row of the category
+            (4, moment(1, month=5)),  # outside the window
+            (5, moment(15)),  # category row outside the window
+            (6, moment(13)),
+            (6, moment(13)),  # listed twice
+            (None, moment(2)),
+        ],
+        "buyer_id bigint, first_purchase_time timestamp",
+    )
+    orders = spark.createDataFrame(
+        [
+            (1, moment(20), "Fashion"),
+            (1, moment(21), "Fashion"),
+            (1, moment(21), "Home"),
+            (2, moment(1), "Fashion"),
+            (3, moment(5), "Home"),
+            (4, moment(7), "Fashion"),
+            (5, moment(1, month=5), "Fashion"),
+            (6, moment(13), "Fashion"),
+            (6, moment(14), "Fashion"),
+            (7, moment(14), "Fashion"),
+            (None, moment(2), "Fashion"),
+            (1, moment(3), None),
+        ],
+        "buyer_id bigint, create_datetime timestamp, cluster string",
+    )
+    return first, orders
+
+
+def test_first_purchase_daily(buyers):
+    df = ops.first_purchase_daily(*buyers, *WINDOW, "Fashion")
+    assert df.columns == ["create_date", "num_of_first_purchase_buyers"]
+    # Buyer 1 has two category rows; buyer 6 is listed twice with two rows each.
+    assert [tuple(r) for r in df.collect()] == [(day(13), 6), (day(30), 1)]
+
+
+def test_first_purchase_daily_filled(buyers):
+    rows = [tuple(r) for r in ops.first_purchase_daily_filled(*buyers, *WINDOW, "Fashion").collect()]
+    assert rows == [(day(d), {13: 6, 30: 1}.get(d, 0)) for d in range(1, 31)]
+
+
+def test_first_purchase_daily_filled_without_any_match(buyers):
+    rows = ops.first_purchase_daily_filled(*buyers, *WINDOW, "Toys").collect()
+    assert len(rows) == 30 and all(r[1] == 0 for r in rows)
+
+
+def test_first_purchase_with_other_column_names(buyers):
+    first, orders = buyers
+    df = ops.first_purchase_daily(
+        first.withColumnRenamed("first_purchase_time", "at").withColumnRenamed("buyer_id", "b"),
+        orders.withColumnsRenamed({"create_datetime": "t", "cluster": "kind", "buyer_id": "b"}),
+        *WINDOW,
+        "Fashion",
+        buyer="b",
+        purchase_time="at",
+        order_time="t",
+        cluster="kind",
+    )
+    assert [r[1] for r in df.collect()] == [6, 1]
+
+
+def test_first_purchase_hot_buyer_by_brute_force(spark):
+    rng = random.Random(5)
+    first = [(rng.choice([1, 1, 1, 2, 3, 4]), moment(rng.randint(1, 6))) for _ in range(60)]
+    orders = [
+        (rng.choice([1, 1, 1, 2, 5]), moment(rng.randint(1, 30)), rng.choice(["Fashion", "Home"]))
+        for _ in range(200)
+    ]
+    expected = defaultdict(int)
+    for (b, t), (ob, _, kind) in product(first, orders):
+        if b == ob and kind == "Fashion":
+            expected[t.date()] += 1
+    df = ops.first_purchase_daily(
+        spark.createDataFrame(first, "buyer_id bigint, first_purchase_time timestamp"),
+        spark.createDataFrame(orders, "buyer_id bigint, create_datetime timestamp, cluster string"),
+        *WINDOW,
+        "Fashion",
+    )
+    assert [tuple(r) for r in df.collect()] == sorted(expected.items())
+
+
+@pytest.fixture
+def orders_and_categories(spark):
+    items = [
+        (1, 10, moment(1)),
+        (1, 10, moment(1)),  # the pair counts once
+        (1, 11, moment(1)),
+        (2, 10, moment(2)),
+        (2, 12, moment(2)),
+        (3, 20, moment(30, hour=23)),
+        (4, 21, moment(3)),
+        (5, 99, moment(3)),  # no category
+        (6, None, moment(3)),
+        (None, 11, moment(3)),
+        (7, 11, moment(1, month=5)),  # outside the window
+    ]
+    categories = [(10, "A"), (11, "A"), (12, "A"), (20, "B"), (21, "B"), (10, "A"), (30, "C")]
+    return (
+        spark.createDataFrame(
+            items, "order_id bigint, item_id bigint, create_timestamp timestamp"
+        ),
+        spark.createDataFrame(categories, "item_id bigint, cluster string"),
+    )
+
+
+@pytest.mark.parametrize("bounded", [True, False])
+def test_category_contribution(orders_and_categories, bounded):
+    orders, categories = orders_and_categories
+    kwargs = {"clusters_bounded_by": categories} if bounded else {}
+    above = ops.category_contribution(orders, categories, *WINDOW, **kwargs)
+    assert above.columns == ["item_id", "cluster"]
+    assert [tuple(r) for r in above.collect()] == [(10, "A")]
+    # A rate of exactly one half: 11 and 12 in 1 of 2 orders of A, 20 and 21 in 1 of 2 of B.
+    at_least = ops.category_contribution(
+        orders, categories, *WINDOW, inclusive=True, **kwargs
+    )
+    assert [tuple(r) for r in at_least.collect()] == [
+        (11, "A"), (12, "A"), (10, "A"), (20, "B"), (21, "B"),
+    ]
+
+
+def test_category_rates(orders_and_categories, rows_of):
+    df = ops.category_rates(*orders_and_categories, *WINDOW)
+    assert rows_of(df) == sorted(
+        [
+            ("A", 10, 2, 2, 1.0, 1),
+            ("A", 11, 1, 2, 0.5, 2),
+            ("A", 12, 1, 2, 0.5, 2),
+            ("B", 20, 1, 2, 0.5, 1),
+            ("B", 21, 1, 2, 0.5, 1),
+            (None, 99, 1, None, None, 1),
+            (None, None, 1, None, None, 1),
+        ],
+        key=repr,
+    )
+
+
+def test_category_rates_by_brute_force(spark, rows_of):
+    rng = random.Random(11)
+    # Item 1 is in about a third of all rows.
+    pairs = [
+        (rng.randint(1, 40), 1 if rng.random() < 0.33 else rng.randint(2, 25)) for _ in range(400)
+    ]
+    categories = {(i, "xyz"[i % 3]) for i in range(1, 22)} | {(1, "y"), (2, None)}
+    orders_of = defaultdict(set)
+    cluster_orders = defaultdict(set)
+    for order, item in pairs:
+        for cluster in [c for i, c in categories if i == item] or [None]:
+            orders_of[cluster, item].add(order)
+            cluster_orders[cluster].add(order)
+    expected = []
+    for (cluster, item), orders in orders_of.items():
+        total = None if cluster is None else len(cluster_orders[cluster])
+        rank = 1
+        if cluster is not None:
+            rank += sum(
+                len(o) > len(orders) for (c, _), o in orders_of.items() if c == cluster
+            )
+        rate = None if total is None else len(orders) / total
+        expected.append((cluster, item, len(orders), total, rate, rank))
+    orders_df = spark.createDataFrame(
+        [(o, i, moment(4)) for o, i in pairs],
+        "order_id bigint, item_id bigint, create_timestamp timestamp",
+    )
+    categories_df = spark.createDataFrame(sorted(categories, key=repr), "item_id bigint, cluster string")
+    assert rows_of(ops.category_rates(orders_df, categories_df, *WINDOW)) == sorted(
+        expected, key=repr
+    )
+    kept = ops.category_contribution(orders_df, categories_df, *WINDOW, min_rate=0.2)
+    assert rows_of(kept) == sorted(
+        [(i, c) for c, i, _, _, rate, _ in expected if rate is not None and rate > 0.2], key=repr
+    )
+
+
+def test_categorised_orders_keeps_items_without_category(orders_and_categories):
+    df = ops.categorised_orders(*orders_and_categories, *WINDOW)
+    assert df.columns == ["order_id", "item_id", "create_date", "cluster"]
+    rows = [tuple(r) for r in df.collect()]
+    assert (5, 99, day(3), None) in rows
+    assert (6, None, day(3), None) in rows
+    assert (3, 20, day(30), "B") in rows
+    # Item 10 is in the category table twice, so its three rows double.
+    assert len([r for r in rows if r[1] == 10]) == 6
+    assert all(r[0] != 7 for r in rows)
