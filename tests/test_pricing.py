@@ -1,0 +1,273 @@
+import random
+from collections import Counter, defaultdict
+from decimal import ROUND_HALF_EVEN, Decimal
+
+import pytest
+
+from bazaarlens import PricingColumns, StatusLabels
+from bazaarlens import operators as ops
+
+LESS, SAME, MORE = "OWN < REF", "OWN = REF", "OWN > REF"
+PRICING = "region string, item_id bigint, model_id bigint, units bigint, status string"
+PLATFORM = "region string, platform_order bigint"
+
+
+@pytest.fixture
+def pricing(spark):
+    rows = [
+        ("ID", 1, 11, 10, LESS),
+        ("ID", 1, 12, 5, LESS),
+        ("ID", 2, 21, 5, MORE),
+        ("ID", None, 31, 0, SAME),
+        ("MY", 3, 41, 4, LESS),  # no dearer model: net score null
+        ("SG", 4, 51, 6, LESS),
+        ("SG", 4, None, 1, MORE),  # a dearer row without a model counts 0
+        ("TH", 5, 61, 2, LESS),  # absent from the lookup
+        ("TH", 5, 61, 2, MORE),
+        ("VN", 6, None, 3, None),  # no models at all
+        (None, 7, 71, 9, LESS),
+        (None, 7, 71, 9, MORE),
+    ]
+    return spark.createDataFrame(rows, PRICING)
+
+
+@pytest.fixture
+def platform(spark):
+    rows = [("ID", 40), ("MY", 3), ("SG", 0), ("VN", 9), (None, 5), ("XX", 1)]
+    return spark.createDataFrame(rows, PLATFORM)
+
+
+SCORECARD = {
+    "ID": ("0.500000", "0.250000", 3),
+    "MY": ("1.333333", None, 1),
+    "SG": (None, "1.000000", 2),
+    "TH": (None, "0.000000", 2),
+    "VN": ("0.333333", None, 1),
+    None: (None, None, None),
+}
+
+
+def test_regional_scorecard(pricing, platform):
+    df = ops.regional_scorecard(pricing, platform)
+    assert df.columns == [
+        "region",
+        "order_coverage_by_region",
+        "net_competitiveness",
+        "number_of_item_by_region",
+    ]
+    assert {r[0]: tuple(r)[1:] for r in df.collect()} == SCORECARD
+
+
+def test_scorecard_parts(pricing, platform):
+    coverage = dict(map(tuple, ops.order_coverage(pricing, platform).collect()))
+    assert coverage == {k: v[0] for k, v in SCORECARD.items()}
+    net = dict(map(tuple, ops.net_competitiveness(pricing).collect()))
+    assert net == {k: v[1] for k, v in SCORECARD.items()}
+    items = dict(map(tuple, ops.item_count_by_region(pricing).collect()))
+    assert items == {**{k: v[2] for k, v in SCORECARD.items()}, None: 2}
+
+
+def test_scorecard_as_numbers(pricing, platform):
+    rows = ops.regional_scorecard(pricing, platform, as_text=False).collect()
+    by_region = {r[0]: tuple(r)[1:] for r in rows}
+    assert by_region["MY"] == (pytest.approx(4 / 3), None, 1)
+    assert by_region["ID"] == (0.5, 0.25, 3)
+
+
+def test_scorecard_repeats_a_repeated_region(spark, pricing, rows_of):
+    lookup = spark.createDataFrame([("ID", 40), ("ID", 80), ("MY", 8)], PLATFORM)
+    rows = [r for r in rows_of(ops.regional_scorecard(pricing, lookup)) if r[0] == "ID"]
+    assert rows == [("ID", "0.250000", "0.250000", 3), ("ID", "0.500000", "0.250000", 3)]
+    assert len(rows_of(ops.order_coverage(pricing, lookup))) == 7
+
+
+def test_scorecard_shuffles_the_pricing_rows_once(pricing, platform):
+    plan = ops.regional_scorecard(pricing, platform)._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().count("Aggregate [") == 1
+
+
+def test_status_count_by_region(pricing, rows_of):
+    rows = rows_of(ops.status_count_by_region(pricing))
+    assert ("ID", LESS, 2) in rows and ("SG", MORE, 0) in rows and ("VN", None, 0) in rows
+
+
+def test_other_names_and_labels(spark, pricing, platform):
+    renamed = pricing.withColumnsRenamed(
+        {"region": "r", "item_id": "i", "model_id": "m", "units": "u", "status": "s"}
+    ).replace({LESS: "win", MORE: "lose"}, subset=["s"])
+    columns = PricingColumns("r", "i", "m", "u", "s", "p")
+    labels = StatusLabels("win", "draw", "lose")
+    lookup = platform.withColumnsRenamed({"region": "r", "platform_order": "p"})
+    df = ops.regional_scorecard(renamed, lookup, columns, labels)
+    assert {r["r"]: tuple(r)[1:] for r in df.collect()} == SCORECARD
+    assert ops.priority_status(renamed, columns, labels).columns == ["i", "m", "s"]
+    assert ops.top30_model_flag(renamed, lookup, columns).columns == [
+        "r", "i", "m", "u", "s", "is_top_30_model",
+    ]
+
+
+@pytest.mark.parametrize("hot_rows", [1, 2, 1_000_000])
+def test_priority_status(spark, rows_of, hot_rows):
+    rows = [
+        ("ID", 1, 1, 0, LESS),
+        ("ID", 1, 1, 0, LESS),  # a tie stays twice
+        ("ID", 1, 1, 0, SAME),
+        ("ID", 2, 1, 0, MORE),
+        ("MY", 2, 1, 0, LESS),  # another region beats the row above
+        ("ID", 3, 1, 0, "odd"),
+        ("ID", 3, 1, 0, None),  # odd and null tie
+        ("ID", 4, 1, 0, None),
+        ("ID", 4, 1, 0, MORE),
+        ("ID", None, 1, 0, SAME),  # null ids are a model like any other
+        ("ID", None, 1, 0, MORE),
+        ("ID", 5, None, 0, MORE),
+    ]
+    df = ops.priority_status(spark.createDataFrame(rows, PRICING), hot_rows=hot_rows)
+    assert df.columns == ["item_id", "model_id", "status"]
+    assert rows_of(df) == sorted(
+        [
+            (1, 1, LESS),
+            (1, 1, LESS),
+            (2, 1, LESS),
+            (3, 1, "odd"),
+            (3, 1, None),
+            (4, 1, MORE),
+            (None, 1, SAME),
+            (5, None, MORE),
+        ],
+        key=repr,
+    )
+
+
+def random_pricing(seed, n=600):
+    """A third of the rows share one (region, item, model)."""
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        if rng.random() < 0.33:
+            region, item, model = "ID", 1, 1
+        else:
+            region = rng.choice(["ID", "MY", "SG", None])
+            item, model = rng.choice([1, 2, 3, None]), rng.randint(1, 12)
+        units = rng.choice([None, 0, 1, 2, 3, 5, 40, 900, 2000, 3331, 3332])
+        rows.append((region, item, model, units, rng.choice([LESS, SAME, MORE, "odd", None])))
+    return rows
+
+
+@pytest.mark.parametrize("hot_rows", [3, 1_000_000])
+def test_priority_by_brute_force(spark, rows_of, hot_rows):
+    rows = random_pricing(3)
+    order = {LESS: 1, SAME: 2, MORE: 3}
+    best = defaultdict(lambda: 4)
+    for _, item, model, _, status in rows:
+        best[item, model] = min(best[item, model], order.get(status, 4))
+    expected = [
+        (i, m, s, order.get(s, 4), best[i, m]) for _, i, m, _, s in rows
+    ]
+    df = spark.createDataFrame(rows, PRICING).repartition(7)
+    assert rows_of(ops.status_priorities(df, hot_rows=hot_rows)) == sorted(expected, key=repr)
+    kept = [e[:3] for e in expected if e[3] == e[4]]
+    assert rows_of(ops.priority_status(df, hot_rows=hot_rows)) == sorted(kept, key=repr)
+
+
+def admitted(total, strict):
+    """Ranks within 30% of the total; none for a threshold with a comma unless strict."""
+    if total is None:
+        return 0
+    whole = int(Decimal(total * 0.3).quantize(Decimal(1), rounding=ROUND_HALF_EVEN))
+    return whole if strict or abs(whole) < 1000 else 0
+
+
+def expected_ranks(rows, lookup, strict, descending):
+    totals = defaultdict(lambda: None)
+    for region, item, model, units, _ in rows:
+        key = (region, item, model)
+        totals[key] = totals[key] if units is None else (totals[key] or 0) + units
+    ranked = []
+    for key, total in totals.items():
+        listed = [p for r, p in lookup if r == key[0] and r is not None] or [None]
+        shares = [
+            (None if p in (None, 0) or total is None else f"{total / p:,.10f}", p) for p in listed
+        ]
+        shares.sort(
+            key=lambda s: (s[0] is not None, s[0] or "", s[1] is not None, s[1] or 0),
+            reverse=descending,
+        )
+        for rank, (share, p) in enumerate(shares, 1):
+            if rank <= admitted(total, strict):
+                ranked.append((*key, total, p, share, f"{total * 0.3:,.0f}", rank))
+    return ranked
+
+
+LOOKUP = [("ID", 9000), ("ID", 700), ("ID", 80_000), ("MY", 100), ("MY", 0), (None, 4)]
+
+
+@pytest.mark.parametrize("strict", [False, True])
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("bounded", [False, True])
+def test_ranked_models_by_brute_force(spark, rows_of, strict, descending, bounded):
+    rows = random_pricing(8)
+    lookup = spark.createDataFrame(LOOKUP, PLATFORM)
+    df = ops.top30_ranked_models(
+        spark.createDataFrame(rows, PRICING),
+        lookup,
+        strict_numeric=strict,
+        descending=descending,
+        platform_bounded_by=lookup if bounded else None,
+    )
+    assert df.columns == [
+        "region",
+        "item_id",
+        "model_id",
+        "sum_units",
+        "platform_order",
+        "contribute_ratio",
+        "order_threshold",
+        "contribution_rank",
+    ]
+    assert rows_of(df) == sorted(expected_ranks(rows, LOOKUP, strict, descending), key=repr)
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_item_count_by_brute_force(spark, strict):
+    rows = random_pricing(8)
+    items = defaultdict(set)
+    for region, item, *_ in expected_ranks(rows, LOOKUP, strict, True):
+        items[region] |= {item} - {None}
+    df = ops.top30_item_count(spark.createDataFrame(rows, PRICING), strict_numeric=strict)
+    assert {r[0]: r[1] for r in df.collect()} == {k: len(v) for k, v in items.items()}
+
+
+@pytest.mark.parametrize("strict", [False, True])
+@pytest.mark.parametrize("hot_rows", [3, 1_000_000])
+@pytest.mark.parametrize("lookup", [None, LOOKUP])
+def test_flag_by_brute_force(spark, rows_of, strict, hot_rows, lookup):
+    rows = random_pricing(21)
+    top = Counter(
+        key
+        for *key_, _, _, _, _, _ in expected_ranks(rows, lookup or [], strict, True)
+        if None not in (key := tuple(key_))
+    )
+    expected = []
+    for row in rows:
+        copies = top[row[:3]]
+        expected += [(*row, 1)] * copies if copies else [(*row, 0)]
+    pricing = spark.createDataFrame([(n, *r) for n, r in enumerate(rows)], f"_c0 bigint, {PRICING}")
+    df = ops.top30_model_flag(
+        pricing.repartition(7),
+        spark.createDataFrame(lookup, PLATFORM) if lookup else None,
+        strict_numeric=strict,
+        hot_rows=hot_rows,
+    )
+    assert df.columns == ["region", "item_id", "model_id", "units", "status", "is_top_30_model"]
+    assert dict(df.dtypes)["is_top_30_model"] == "int"
+    assert rows_of(df) == sorted(expected, key=repr)
+
+
+def test_threshold_edges(spark):
+    rows = [("ID", i, i, units, None) for i, units in enumerate([1, 2, 3331, 3332])]
+    pricing = spark.createDataFrame(rows, PRICING)
+    assert ops.top30_item_count(pricing).collect()[0][1] == 2
+    assert ops.top30_item_count(pricing, strict_numeric=True).collect()[0][1] == 3
+    flags = {r["item_id"]: r["is_top_30_model"] for r in ops.top30_model_flag(pricing).collect()}
+    assert flags == {0: 0, 1: 1, 2: 1, 3: 0}
