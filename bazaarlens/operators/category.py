@@ -53,7 +53,7 @@ def category_contribution(
     See :func:`bazaarlens.operators.joins.join_lookup` for ``clusters_bounded_by``.
     """
     pairs = _order_item_pairs(order_items, first_day, last_day, order, item, order_time)
-    categories = item_category.select(item, cluster).distinct()
+    categories = _categories(item_category, item, cluster)
     rated = join_lookup(
         _orders_per_item(pairs, categories, order, item, cluster),
         _orders_per_cluster(pairs, categories, order, item, cluster),
@@ -82,14 +82,14 @@ def category_rates(
     order_time: str = "create_timestamp",
     cluster: str = "cluster",
 ) -> DataFrame:
-    """Every item with its counts, contribution rate and rank within its category.
+    """Items with a category: their counts, contribution rate and rank within it.
 
     Within a category the rate falls with the item's order count, so the rank is found
     on the distinct counts: at most sqrt(2 x pairs) rows per category, instead of one
-    window over all its items. Items without a category have no rate and rank 1.
+    window over all its items.
     """
     pairs = _order_item_pairs(order_items, first_day, last_day, order, item, order_time)
-    categories = item_category.select(item, cluster).distinct()
+    categories = _categories(item_category, item, cluster)
     items = _orders_per_item(pairs, categories, order, item, cluster)
     totals = _orders_per_cluster(pairs, categories, order, item, cluster)
 
@@ -99,15 +99,16 @@ def category_rates(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     ranks = (
-        items.where(F.col(cluster).isNotNull())
-        .groupBy(cluster, "total_item_per_cluster")
+        items.groupBy(cluster, "total_item_per_cluster")
         .agg(F.count("*").alias("items"))
         .join(totals, cluster, "left")
         .select(
             cluster,
             "total_item_per_cluster",
             "total_order_per_cluster",
-            (F.coalesce(F.sum("items").over(busier), F.lit(0)) + 1).alias("contribution_rank"),
+            (F.coalesce(F.sum("items").over(busier), F.lit(0)) + 1)
+            .cast("int")
+            .alias("contribution_rank"),
         )
     )
     return join_lookup(
@@ -120,18 +121,31 @@ def category_rates(
         ratio(F.col("total_item_per_cluster"), F.col("total_order_per_cluster")).alias(
             "contribution_rate"
         ),
-        F.coalesce("contribution_rank", F.lit(1)).cast("int").alias("contribution_rank"),
+        "contribution_rank",
     )
 
 
+def _categories(item_category: DataFrame, item: str, cluster: str) -> DataFrame:
+    """Distinct categories of items; a null on either side has no rate to take part in."""
+    named = F.col(item).isNotNull() & F.col(cluster).isNotNull()
+    return item_category.where(named).select(item, cluster).distinct()
+
+
 def _order_item_pairs(
     order_items: DataFrame, first_day: Day, last_day: Day, order: str, item: str, order_time: str
 ) -> DataFrame:
-    """Distinct (order, item) of the window: all that distinct-order counts need."""
+    """Distinct (order, item) of the window: all that distinct-order counts need.
+
+    Null items go first, as the joins would drop them: said here, it keeps this part the
+    same in both of its uses, and they share its shuffle.
+    Grouped by the pair as one value, so that rows which arrive partitioned by order are
+    spread again and an order with very many items does not stay in one task.
+    """
     return (
-        order_items.where(within_days(order_time, first_day, last_day))
-        .select(order, item)
+        order_items.where(within_days(order_time, first_day, last_day) & F.col(item).isNotNull())
+        .select(F.struct(order, item).alias("pair"))
         .distinct()
+        .select("pair.*")
     )
 
 
@@ -142,7 +156,7 @@ def _orders_per_item(
     return (
         pairs.groupBy(item)
         .agg(F.count(order).alias("total_item_per_cluster"))
-        .join(categories, item, "left")
+        .join(categories, item)
         .select(cluster, item, "total_item_per_cluster")
     )
 
@@ -156,7 +170,7 @@ def _orders_per_cluster(
     execution can split an item that is in a large part of all orders.
     """
     return (
-        pairs.join(categories.where(F.col(cluster).isNotNull()), item)
+        pairs.join(categories, item)
         .groupBy(cluster)
         .agg(F.count_distinct(order).alias("total_order_per_cluster"))
     )

@@ -15,13 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_ROWS = 1_000_000
-HOT_KEYS = 1_000
-SPLITS = 256
-LOOKUP_SPLITS = 64
+HOT_KEYS = 100_000
+LOOKUP_SPLITS = 256
 BROADCAST_ROWS = 100_000
 
 _SALT = "__salt"
-_HOT = "__hot"
+_SPLITS = "__splits"
 
 
 def hot_keys(
@@ -31,17 +30,19 @@ def hot_keys(
     hot_rows: int = HOT_ROWS,
     max_keys: int = HOT_KEYS,
 ) -> DataFrame:
-    """The most frequent keys of a one-row-per-key count, at most ``max_keys``.
+    """The most frequent keys, each with the number of parts to split it into.
 
-    A key left off the list has fewer than ``hot_rows`` rows, or less than
-    ``1 / max_keys`` of all rows, so it needs no splitting. The keys break ties
-    in the order, so every use of the list sees the same keys.
+    ``counts`` has one row per key. A part has about ``hot_rows`` rows. At most
+    ``max_keys`` keys are listed; a key left off has fewer than ``hot_rows`` rows, or
+    less than ``1 / max_keys`` of all rows, so it needs no splitting. The keys break
+    ties in the order, so every use of the list sees the same keys.
     """
+    parts = F.ceil(F.col(count_col) / F.lit(hot_rows)).cast("int")
     return (
         counts.where(F.col(count_col) >= hot_rows)
         .orderBy(F.desc(count_col), *keys)
         .limit(max_keys)
-        .select(*keys)
+        .select(*keys, parts.alias(_SPLITS))
     )
 
 
@@ -62,29 +63,23 @@ def join_salted(
     hot: DataFrame,
     how: str,
     null_safe: bool = False,
-    splits: int = SPLITS,
 ) -> DataFrame:
     """Join ``rows`` with ``groups`` on ``keys``, splitting the rows of ``hot`` keys.
 
-    Rows of a hot key are dealt to ``splits`` salts by the input partition they come
-    from, which a retried task repeats exactly; the matching ``groups`` rows are
-    copied to every salt. Rows that cannot match, for a null in their key, are dealt out
-    likewise. All other keys use salt 0. Result columns: those of ``rows``, then those of
-    ``groups`` that are not keys. ``hot`` must come from :func:`hot_keys`, which bounds
-    what is broadcast here.
+    ``hot`` comes from :func:`hot_keys`, which bounds what is broadcast here. Rows of a
+    hot key are dealt to its parts by the input partition they come from, which a retried
+    task repeats exactly; the matching ``groups`` rows are copied to every part. Rows that
+    cannot match, for a null in their key, are dealt out likewise. Result columns: those
+    of ``rows``, then those of ``groups`` that are not keys.
     """
-    spread = F.col(_HOT) if null_safe else F.col(_HOT) | _any_null(keys)
-    salted_rows = _tag(rows, hot, keys).withColumn(
-        _SALT,
-        F.when(spread, F.pmod(F.spark_partition_id(), F.lit(splits))).otherwise(F.lit(0)),
+    part = F.when(
+        F.col(_SPLITS).isNotNull(), F.pmod(F.spark_partition_id(), F.col(_SPLITS))
     )
-    salted_groups = _tag(groups, hot, keys).withColumn(
-        _SALT,
-        F.explode(
-            F.when(F.col(_HOT), F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(
-                F.array(F.lit(0))
-            )
-        ),
+    if not null_safe:
+        part = part.when(_any_null(keys), F.spark_partition_id())
+    salted_rows = _with_splits(rows, hot, keys).withColumn(_SALT, part.otherwise(F.lit(0)))
+    salted_groups = _with_splits(groups, hot, keys).withColumn(
+        _SALT, F.explode(F.sequence(F.lit(0), F.coalesce(_SPLITS, F.lit(1)) - 1))
     )
     joined = salted_rows.alias("r").join(
         salted_groups.alias("g"),
@@ -112,7 +107,8 @@ def join_lookup(
     lookup itself, or the dimension its key comes from). If it holds at most
     ``max_rows``, which one small count checks, the lookup is broadcast. Without that
     proof the join shuffles, with the rows of each key spread over ``splits`` salts
-    by a hash of the ``spread`` columns and the lookup copied to every salt.
+    by a hash of the ``spread`` columns and the lookup copied to every salt. Both sides
+    come straight from a shuffle, so adaptive execution can split further.
     """
     if bounded_by is not None and bounded_by.limit(max_rows + 1).count() <= max_rows:
         return rows.join(F.broadcast(lookup), list(keys), "left").select(
@@ -136,10 +132,9 @@ def _any_null(keys: Sequence[str]) -> Column:
     return reduce(or_, [F.col(k).isNull() for k in keys])
 
 
-def _tag(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add a boolean column that tells whether the row's key is on the hot list."""
-    listed = hot.withColumn(_HOT, F.lit(True))
+def _with_splits(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the number of parts of the row's key, null unless the key is hot."""
     tagged = df.alias("d").join(
-        F.broadcast(listed).alias("h"), _match("d", "h", keys, null_safe=True), "left"
+        F.broadcast(hot).alias("h"), _match("d", "h", keys, null_safe=True), "left"
     )
-    return tagged.select("d.*", F.coalesce(F.col(f"h.{_HOT}"), F.lit(False)).alias(_HOT))
+    return tagged.select("d.*", F.col(f"h.{_SPLITS}"))

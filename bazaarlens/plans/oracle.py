@@ -225,7 +225,7 @@ WITH {_ORDER_ITEMS}, {_ITEM_CATEGORY}, {_CATEGORISED} SELECT * FROM categorised"
     "category_rates": f"""
 WITH {_ORDER_ITEMS}, {_ITEM_CATEGORY}, {_CATEGORISED}, {_RATES}
 SELECT *, CAST(rank() OVER (PARTITION BY cluster ORDER BY contribution_rate DESC) AS INTEGER)
-  AS contribution_rank FROM rates""",
+  AS contribution_rank FROM rates WHERE cluster IS NOT NULL""",
     "order_coverage": _coverage(_PLATFORM),
     "order_coverage_repeated_region": _coverage(_PLATFORM_BY_NATION),
     "item_count_by_region": f"""
