@@ -25,6 +25,31 @@ TABLE_NAMES = [
     "conversations",
 ]
 
+# The columns of the tables the views read. Declared, so that no file is
+# opened before the query runs.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": (
+        "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, "
+        "c_mktsegment STRING"
+    ),
+    "supplier": "s_suppkey BIGINT, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": (
+        "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, "
+        "p_retailprice DOUBLE"
+    ),
+    "orders": (
+        "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, "
+        "o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING"
+    ),
+    "lineitem": (
+        "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, "
+        "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+        "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"
+    ),
+}
+
 
 class Marketplace:
     """Lazy views over the Parquet tables of one directory."""
@@ -36,7 +61,10 @@ class Marketplace:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.directory}/{name}.parquet")
+            reader = self.spark.read
+            if name in SCHEMAS:
+                reader = reader.schema(SCHEMAS[name])
+            self._tables[name] = reader.parquet(f"{self.directory}/{name}.parquet")
         return self._tables[name]
 
     def offers(self) -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 
 from bazaarlens import operators as ops
 from bazaarlens import sources
+from bazaarlens.plans.marketplace import SCHEMAS, Marketplace
 from bazaarlens.sources import schemas
 
 PRICING_CSV = """\
@@ -73,6 +74,14 @@ def test_register_and_list_tables(spark, folder):
     assert spark.sql(query).collect()[0][0] == 8
 
 
+@pytest.mark.parametrize("scale", ["0.001", "0.01", "0.1"])
+def test_declared_star_schemas_are_those_of_the_files(spark, scale):
+    market = Marketplace(spark, f"/root/testdata/sf{scale}")
+    for name in SCHEMAS:
+        stored = spark.read.parquet(f"{market.directory}/{name}.parquet")
+        assert market.table(name).dtypes == stored.dtypes, name
+
+
 def test_publish_as_view_and_as_table(spark):
     df = spark.createDataFrame([(1, 1)], "model_id bigint, is_top_30_model int")
     assert sources.publish(df).collect() == df.collect()
