@@ -7,7 +7,7 @@ from bazaarlens.operators.first_purchase import (
     first_purchase_daily,
     first_purchase_daily_filled,
 )
-from bazaarlens.operators.joins import hot_keys, join_lookup, join_salted
+from bazaarlens.operators.joins import join_groups, join_lookup
 from bazaarlens.operators.keys import (
     distinct_count,
     duplicate_keys,
@@ -40,10 +40,9 @@ __all__ = [
     "duplicate_keys",
     "first_purchase_daily",
     "first_purchase_daily_filled",
-    "hot_keys",
     "item_count_by_region",
+    "join_groups",
     "join_lookup",
-    "join_salted",
     "key_multiplicity",
     "net_competitiveness",
     "order_coverage",

@@ -1,94 +1,36 @@
-"""Joins that stay balanced when a few keys hold most of the rows.
-
-Adaptive execution splits a skewed partition only when the join reads it straight
-from a shuffle. A side that was just aggregated on the join key is not such a read,
-so "aggregate, then join the rows back" needs the salt below.
-"""
+"""Joins that stay balanced when a few keys hold most of the rows."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_ROWS = 1_000_000
-HOT_KEYS = 100_000
 LOOKUP_SPLITS = 256
 BROADCAST_ROWS = 100_000
 
 _SALT = "__salt"
-_SPLITS = "__splits"
-
-
-def hot_keys(
-    counts: DataFrame,
-    keys: Sequence[str],
-    count_col: str,
-    hot_rows: int = HOT_ROWS,
-    max_keys: int = HOT_KEYS,
-) -> DataFrame:
-    """The most frequent keys, each with the number of parts to split it into.
-
-    ``counts`` has one row per key. A part has about ``hot_rows`` rows. At most
-    ``max_keys`` keys are listed; a key left off has fewer than ``hot_rows`` rows, or
-    less than ``1 / max_keys`` of all rows, so it needs no splitting. The keys break
-    ties in the order, so every use of the list sees the same keys.
-    """
-    parts = F.ceil(F.col(count_col) / F.lit(hot_rows)).cast("int")
-    return (
-        counts.where(F.col(count_col) >= hot_rows)
-        .orderBy(F.desc(count_col), *keys)
-        .limit(max_keys)
-        .select(*keys, parts.alias(_SPLITS))
-    )
-
 
-def pinned(groups: DataFrame, count_col: str, value_col: str) -> DataFrame:
-    """The same groups, behind a filter that is always true and reads both columns.
-
-    Two branches that use different columns of one aggregation are pruned to two
-    aggregations, and the input is scanned and shuffled for each. With the filter both
-    branches keep both columns, stay equal, and share one shuffle.
-    """
-    return groups.where(F.greatest(count_col, value_col) > 0)
 
+def join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join rows back to an aggregation of them, so that a hot key can be split.
 
-def join_salted(
-    rows: DataFrame,
-    groups: DataFrame,
-    keys: Sequence[str],
-    hot: DataFrame,
-    how: str,
-    null_safe: bool = False,
-) -> DataFrame:
-    """Join ``rows`` with ``groups`` on ``keys``, splitting the rows of ``hot`` keys.
+    Nulls in ``keys`` match nulls. Result columns: those of ``rows``, then those of
+    ``groups`` that are not keys.
 
-    ``hot`` comes from :func:`hot_keys`, which bounds what is broadcast here. Rows of a
-    hot key are dealt to its parts by the input partition they come from, which a retried
-    task repeats exactly; the matching ``groups`` rows are copied to every part. Rows that
-    cannot match, for a null in their key, are dealt out likewise. Result columns: those
-    of ``rows``, then those of ``groups`` that are not keys.
+    Adaptive execution splits a skewed partition if the join reads both sides straight
+    from a shuffle. After ``groupBy(keys)`` a plain equi join on ``keys`` does not: it
+    keeps the partitioning of the aggregation, and all rows of a key meet in one task.
+    The null-safe comparison shuffles the groups once more, and hot keys are split. (Two
+    sides that are declared NOT NULL lose this: there Spark plans the plain equi join.)
     """
-    part = F.when(
-        F.col(_SPLITS).isNotNull(), F.pmod(F.spark_partition_id(), F.col(_SPLITS))
-    )
-    if not null_safe:
-        part = part.when(_any_null(keys), F.spark_partition_id())
-    salted_rows = _with_splits(rows, hot, keys).withColumn(_SALT, part.otherwise(F.lit(0)))
-    salted_groups = _with_splits(groups, hot, keys).withColumn(
-        _SALT, F.explode(F.sequence(F.lit(0), F.coalesce(_SPLITS, F.lit(1)) - 1))
-    )
-    joined = salted_rows.alias("r").join(
-        salted_groups.alias("g"),
-        _match("r", "g", keys, null_safe) & (F.col(f"r.{_SALT}") == F.col(f"g.{_SALT}")),
-        how,
-    )
-    values = [c for c in groups.columns if c not in keys]
+    match = [F.col(f"r.`{k}`").eqNullSafe(F.col(f"g.`{k}`")) for k in keys]
+    joined = rows.alias("r").join(groups.alias("g"), reduce(and_, match), how)
     return joined.select(
-        *[F.col(f"r.`{c}`") for c in rows.columns], *[F.col(f"g.`{c}`") for c in values]
+        "r.*", *[F.col(f"g.`{c}`") for c in groups.columns if c not in keys]
     )
 
 
@@ -121,20 +63,3 @@ def join_lookup(
     return salted_rows.join(salted_lookup, [*keys, _SALT], "left").select(
         *rows.columns, *[c for c in lookup.columns if c not in keys]
     )
-
-
-def _match(left: str, right: str, keys: Sequence[str], null_safe: bool) -> Column:
-    pairs = [(F.col(f"{left}.`{k}`"), F.col(f"{right}.`{k}`")) for k in keys]
-    return reduce(and_, [a.eqNullSafe(b) if null_safe else a == b for a, b in pairs])
-
-
-def _any_null(keys: Sequence[str]) -> Column:
-    return reduce(or_, [F.col(k).isNull() for k in keys])
-
-
-def _with_splits(df: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add the number of parts of the row's key, null unless the key is hot."""
-    tagged = df.alias("d").join(
-        F.broadcast(hot).alias("h"), _match("d", "h", keys, null_safe=True), "left"
-    )
-    return tagged.select("d.*", F.col(f"h.{_SPLITS}"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.functions.statuses import StatusLabels, status_rank
-from bazaarlens.operators.joins import HOT_ROWS, hot_keys, join_salted, pinned
+from bazaarlens.operators.joins import join_groups
 from bazaarlens.operators.pricing import PricingColumns
 
 
@@ -14,13 +14,12 @@ def status_priorities(
     pricing: DataFrame,
     columns: PricingColumns = PricingColumns(),
     labels: StatusLabels = StatusLabels(),
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Each row's (item, model, status) with its rank and the best rank of its model.
 
     The region plays no part: a model is judged across all regions. The best rank comes
-    from a partial aggregation joined back to the rows, because a window would put all
-    rows of one model in one task. Models with ``hot_rows`` rows or more are split.
+    from an aggregation joined back to the rows, because a window would put all rows of
+    one model in one task.
     """
     key = [columns.item, columns.model]
     rows = pricing.select(
@@ -28,32 +27,18 @@ def status_priorities(
         columns.status,
         status_rank(F.col(columns.status), labels).alias("new_cpt_status"),
     )
-    models = pinned(
-        rows.groupBy(*key).agg(
-            F.min("new_cpt_status").alias("priority"), F.count("*").alias("model_rows")
-        ),
-        "model_rows",
-        "priority",
-    )
-    return join_salted(
-        rows,
-        models.select(*key, "priority"),
-        key,
-        hot_keys(models, key, "model_rows", hot_rows),
-        "inner",
-        null_safe=True,
-    )
+    best = rows.groupBy(*key).agg(F.min("new_cpt_status").alias("priority"))
+    return join_groups(rows, best, key, "inner")
 
 
 def priority_status(
     pricing: DataFrame,
     columns: PricingColumns = PricingColumns(),
     labels: StatusLabels = StatusLabels(),
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The rows that hold their model's best status; ties all stay."""
     return (
-        status_priorities(pricing, columns, labels, hot_rows)
+        status_priorities(pricing, columns, labels)
         .where(F.col("new_cpt_status") == F.col("priority"))
         .select(columns.item, columns.model, columns.status)
     )

@@ -22,7 +22,7 @@ from bazaarlens.functions.numbers import (
     ratio,
     threshold_text,
 )
-from bazaarlens.operators.joins import HOT_ROWS, hot_keys, join_lookup, join_salted, pinned
+from bazaarlens.operators.joins import join_groups, join_lookup
 from bazaarlens.operators.pricing import PricingColumns
 
 SHARE = 0.3
@@ -102,26 +102,20 @@ def top30_model_flag(
     strict_numeric: bool = False,
     drop: Sequence[str] = ("_c0",),
     platform_bounded_by: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Every pricing row with ``is_top_30_model`` 1 or 0; ``drop`` names index columns.
 
     A row whose region the lookup lists n times appears once per kept rank, up to n
     times; ``platform`` is needed only if a region can repeat in it. Rows with a null in
-    (region, item, model) are never flagged. Models with ``hot_rows`` rows or more are
-    split.
+    (region, item, model) are never flagged.
     """
     key = columns.model_key
-    sums = pinned(
-        pricing.where(_whole_key(key))
-        .groupBy(*key)
-        .agg(F.sum(columns.units).alias("sum_units"), F.count("*").alias("model_rows")),
-        "model_rows",
-        "sum_units",
-    )
-    hot = hot_keys(sums, key, "model_rows", hot_rows)
     admitted = _last_rank(share, strict_numeric)
-    passing = sums.where(admitted >= 1).select(*key, admitted.alias("copies"))
+    passing = (
+        _order_sums(pricing.where(_whole_key(key)), columns)
+        .where(admitted >= 1)
+        .select(*key, admitted.alias("copies"))
+    )
     if platform is None:
         passing = passing.withColumn("copies", F.lit(1))
     else:
@@ -132,7 +126,7 @@ def top30_model_flag(
             *key, F.least("copies", F.coalesce("listings", F.lit(1))).cast("int").alias("copies")
         )
 
-    flagged = join_salted(pricing.drop(*drop), passing, key, hot, "left")
+    flagged = join_groups(pricing.drop(*drop), passing, key, "left")
     others = [c for c in flagged.columns if c not in key and c != "copies"]
     flag = F.col("copies").isNotNull().cast("int")
     if platform is None:

@@ -1,6 +1,5 @@
 """The shape of the plans: what is split, broadcast, shared and pruned."""
 
-import re
 from contextlib import contextmanager
 
 import pytest
@@ -9,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 from bazaarlens import operators as ops
 from bazaarlens.operators.category import _orders_per_cluster
-from bazaarlens.operators.joins import hot_keys, join_lookup, join_salted, pinned
+from bazaarlens.operators.joins import join_groups, join_lookup
 
 DATA = "/root/testdata/sf0.001"
 NO_BROADCAST = {
@@ -37,65 +36,70 @@ def plan(df):
     return text.split("== Initial Plan ==")[0]
 
 
-@pytest.fixture
-def skewed(spark):
-    """60,000 rows, a third of them with key 7, and some without a key."""
+# Adaptive execution at the size of a test.
+EAGER_SPLITS = {
+    **NO_BROADCAST,
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+}
+
+
+@pytest.fixture(scope="module")
+def skewed(spark, tmp_path_factory):
+    """60,000 stored rows, a third of them with key 7, and some without a key."""
+    path = str(tmp_path_factory.mktemp("skewed") / "rows")
     n = F.col("id")
     key = F.when(n % 3 == 0, 7).when(n % 50 == 1, None).otherwise(n % 5000)
-    return spark.range(0, 60_000, 1, 16).select(
+    spark.range(0, 60_000, 1, 16).select(
         key.cast("bigint").alias("k"), F.xxhash64("id").alias("v")
-    )
+    ).write.parquet(path)
+    return spark.read.parquet(path)
 
 
-def test_hot_keys_is_bounded_and_ordered(skewed):
-    counts = skewed.groupBy("k").agg(F.count("*").alias("n"))
-    assert [r[0] for r in hot_keys(counts, ["k"], "n", hot_rows=1000, max_keys=1).collect()] == [7]
-    assert hot_keys(counts, ["k"], "n", hot_rows=1, max_keys=20).count() == 20
-    assert hot_keys(counts, ["k"], "n", hot_rows=10**6).count() == 0
+def largest_partition(df):
+    # The maxima keep the columns, and so the join and the size of its partitions.
+    placed = df.groupBy(F.spark_partition_id()).agg(
+        F.count("*").alias("size"), F.max("v"), F.max("top")
+    )
+    return max(r["size"] for r in placed.collect())
 
 
-@pytest.mark.parametrize("null_safe", [True, False])
-def test_salted_join_spreads_the_hot_key(spark, skewed, null_safe):
+def test_hot_key_is_split_when_rows_join_their_groups(spark, skewed):
     counts = skewed.groupBy("k").agg(F.count("*").alias("n"), F.max("v").alias("top"))
-    hot = hot_keys(counts, ["k"], "n", hot_rows=1000)
-    with settings(
-        spark, **NO_BROADCAST, **{"spark.sql.adaptive.coalescePartitions.enabled": "false"}
-    ):
-        joined = join_salted(skewed, counts, ["k"], hot, "left", null_safe)
-        placed = joined.withColumn("p", F.spark_partition_id())
-        largest = placed.groupBy("p").count().agg(F.max("count")).collect()[0][0]
+    with settings(spark, **EAGER_SPLITS):
+        joined = join_groups(skewed, counts, ["k"], "left")
+        assert joined.columns == ["k", "v", "n", "top"]
+        assert "skew=true" in plan(joined)
         # 8 partitions: an even share is 7,500 rows, the hot key alone has 20,000.
-        assert largest < 12_000
-        left, right = F.col("s.k"), F.col("c.k")
-        plain = (
-            skewed.alias("s")
-            .join(
-                counts.alias("c"),
-                left.eqNullSafe(right) if null_safe else left == right,
-                "left",
-            )
-            .select("s.k", "v", "n", "top")
-        )
-        assert joined.exceptAll(plain).count() == 0
-        assert joined.count() == plain.count() == 60_000
-
-
-def test_branches_of_one_aggregation_share_its_shuffle(spark, skewed):
-    counts = pinned(
-        skewed.groupBy("k").agg(F.count("*").alias("n"), F.min("v").alias("low")), "n", "low"
-    )
-    hot = hot_keys(counts, ["k"], "n", hot_rows=1000)
-    with settings(spark, **NO_BROADCAST):
-        text = plan(join_salted(skewed, counts.select("k", "low"), ["k"], hot, "inner", True))
-    assert text.count("partial_min") == 1
-    assert "ReusedExchange" in text
-
-
-@pytest.mark.parametrize("name", ["priority_status", "top30_model_flag"])
-def test_registered_queries_share_the_shuffle_too(spark, name):
-    with settings(spark, **NO_BROADCAST):
-        text = plan(driver.queries()[name](spark, DATA))
-    assert len(re.findall(r"partial_(?:min|sum)\(", text)) <= 1
+        assert largest_partition(joined) < 12_000
+        # Without the null-safe match the hot key stays whole.
+        plain = skewed.join(counts, "k", "left")
+        assert "skew=true" not in plan(plain)
+        assert largest_partition(plain) >= 20_000
+        missing = skewed.where("k is null").count()
+        assert joined.where("n is null").count() == 0
+        assert joined.where("k is null and n = %d" % missing).count() == missing
+        assert joined.where("k is not null").exceptAll(plain).count() == 0
+        assert joined.count() == 60_000
+
+
+@pytest.mark.parametrize("report", [ops.priority_status, ops.top30_model_flag])
+def test_hot_model_is_split(spark, tmp_path, report):
+    hot = F.col("id") % 3 == 0
+    spark.range(0, 60_000, 1, 16).select(
+        F.lit("ID").alias("region"),
+        F.when(hot, 7).otherwise(F.col("id") % 5000).alias("item_id"),
+        F.lit(1).cast("bigint").alias("model_id"),
+        F.abs(F.xxhash64("id") % 5).alias("units"),
+        F.when(hot, F.hex(F.xxhash64("id"))).otherwise("OWN < REF").alias("status"),
+    ).write.parquet(f"{tmp_path}/pricing")
+    with settings(spark, **EAGER_SPLITS):
+        df = report(spark.read.parquet(f"{tmp_path}/pricing"))
+        assert "skew=true" in plan(df)
+        # Rows of item 7 that are not hot have a better status than all hot rows.
+        assert df.count() == (60_000 if report is ops.top30_model_flag else 40_000)
 
 
 def test_lookup_is_broadcast_only_within_its_bound(spark, skewed):
@@ -116,29 +120,30 @@ def test_lookup_is_broadcast_only_within_its_bound(spark, skewed):
             assert got == want
 
 
-def test_adaptive_execution_can_split_a_hot_item(spark):
+def test_hot_item_is_split_in_the_category_join(spark):
+    hot = F.col("id") % 3 == 0
     pairs = spark.range(0, 200_000, 1, 16).select(
         F.xxhash64("id").alias("order_id"),
-        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).cast("bigint").alias("item_id"),
+        F.when(hot, 7).otherwise(F.col("id") % 5000).cast("bigint").alias("item_id"),
     )
     categories = spark.range(5000).select(
         F.col("id").alias("item_id"), (F.col("id") % 9).cast("string").alias("cluster")
     )
-    with settings(
-        spark,
-        **NO_BROADCAST,
-        **{
-            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "50k",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
-        },
-    ):
+    with settings(spark, **EAGER_SPLITS):
         totals = _orders_per_cluster(
             pairs.distinct(), categories.distinct(), "order_id", "item_id", "cluster"
         )
         assert "skew=true" in plan(totals)
 
 
+@pytest.mark.parametrize("name", ["category_contribution", "category_rates"])
+def test_order_item_pairs_are_shuffled_once(spark, name):
+    with settings(spark, **NO_BROADCAST):
+        text = plan(driver.queries()[name](spark, DATA))
+    assert text.count("Exchange hashpartitioning(l_orderkey") == 1
+    assert text.count("ReusedExchange") >= 2
+
+
 def test_scans_read_only_the_columns_in_use(spark):
     text = plan(driver.queries()["distinct_orders"](spark, DATA))
     assert "ReadSchema: struct<l_orderkey:bigint>" in text

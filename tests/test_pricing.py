@@ -106,8 +106,7 @@ def test_other_names_and_labels(spark, pricing, platform):
     ]
 
 
-@pytest.mark.parametrize("hot_rows", [1, 2, 1_000_000])
-def test_priority_status(spark, rows_of, hot_rows):
+def test_priority_status(spark, rows_of):
     rows = [
         ("ID", 1, 1, 0, LESS),
         ("ID", 1, 1, 0, LESS),  # a tie stays twice
@@ -122,7 +121,7 @@ def test_priority_status(spark, rows_of, hot_rows):
         ("ID", None, 1, 0, MORE),
         ("ID", 5, None, 0, MORE),
     ]
-    df = ops.priority_status(spark.createDataFrame(rows, PRICING), hot_rows=hot_rows)
+    df = ops.priority_status(spark.createDataFrame(rows, PRICING))
     assert df.columns == ["item_id", "model_id", "status"]
     assert rows_of(df) == sorted(
         [
@@ -154,8 +153,7 @@ def random_pricing(seed, n=600):
     return rows
 
 
-@pytest.mark.parametrize("hot_rows", [3, 1_000_000])
-def test_priority_by_brute_force(spark, rows_of, hot_rows):
+def test_priority_by_brute_force(spark, rows_of):
     rows = random_pricing(3)
     order = {LESS: 1, SAME: 2, MORE: 3}
     best = defaultdict(lambda: 4)
@@ -165,9 +163,9 @@ def test_priority_by_brute_force(spark, rows_of, hot_rows):
         (i, m, s, order.get(s, 4), best[i, m]) for _, i, m, _, s in rows
     ]
     df = spark.createDataFrame(rows, PRICING).repartition(7)
-    assert rows_of(ops.status_priorities(df, hot_rows=hot_rows)) == sorted(expected, key=repr)
+    assert rows_of(ops.status_priorities(df)) == sorted(expected, key=repr)
     kept = [e[:3] for e in expected if e[3] == e[4]]
-    assert rows_of(ops.priority_status(df, hot_rows=hot_rows)) == sorted(kept, key=repr)
+    assert rows_of(ops.priority_status(df)) == sorted(kept, key=repr)
 
 
 def admitted(total, strict):
@@ -239,9 +237,8 @@ def test_item_count_by_brute_force(spark, strict):
 
 
 @pytest.mark.parametrize("strict", [False, True])
-@pytest.mark.parametrize("hot_rows", [3, 1_000_000])
 @pytest.mark.parametrize("lookup", [None, LOOKUP])
-def test_flag_by_brute_force(spark, rows_of, strict, hot_rows, lookup):
+def test_flag_by_brute_force(spark, rows_of, strict, lookup):
     rows = random_pricing(21)
     top = Counter(
         key
@@ -257,7 +254,6 @@ def test_flag_by_brute_force(spark, rows_of, strict, hot_rows, lookup):
         pricing.repartition(7),
         spark.createDataFrame(lookup, PLATFORM) if lookup else None,
         strict_numeric=strict,
-        hot_rows=hot_rows,
     )
     assert df.columns == ["region", "item_id", "model_id", "units", "status", "is_top_30_model"]
     assert dict(df.dtypes)["is_top_30_model"] == "int"
