@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.llm import mixing, url_filter
+from bazaarlens.llm import fingerprints, language_id, mixing, url_filter
 
 #: How often the mix may read one source, at most; documents per mixing block in tokens.
 REPETITION, BLOCK_TOKENS = 2.0, 1 << 20
@@ -31,6 +31,17 @@ def op1_temperature_mixing(spark: SparkSession, directory: str) -> DataFrame:
     return mixing.mixed(counted, plan, block_tokens=BLOCK_TOKENS)
 
 
+def op2_document_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
+    return fingerprints.edited_pairs(_table(spark, directory, "documents"))
+
+
+def op9_language_id(spark: SparkSession, directory: str) -> DataFrame:
+    docs = _table(spark, directory, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    model = language_id.train(language_id.sample(docs, ~held_out))
+    return language_id.identified(docs.withColumn("held_out", held_out), model, ["doc_id", "held_out"])
+
+
 def op10_url_filter(spark: SparkSession, directory: str) -> DataFrame:
     pages = _table(spark, directory, "pages").select("page_id", "url")
     listed = pages.where(url_filter.host_of(F.col("url")).rlike(LISTED_HOSTS)).select("url")
@@ -39,5 +50,7 @@ def op10_url_filter(spark: SparkSession, directory: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_temperature_mixing": op1_temperature_mixing,
+    "op2_document_fingerprints": op2_document_fingerprints,
+    "op9_language_id": op9_language_id,
     "op10_url_filter": op10_url_filter,
 }
