@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.llm import fingerprints, language_id, mixing, url_filter, vector_search
+from bazaarlens.llm import fingerprints, language_id, mixing, ngram_join, url_filter, vector_search
 
 #: How often the mix may read one source, at most; documents per mixing block in tokens.
 REPETITION, BLOCK_TOKENS = 2.0, 1 << 20
@@ -35,6 +35,10 @@ def op2_document_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
     return fingerprints.edited_pairs(_table(spark, directory, "documents"))
 
 
+def op3_ngram_jaccard_join(spark: SparkSession, directory: str) -> DataFrame:
+    return ngram_join.linked(_table(spark, directory, "documents"), n=4, percent=85)
+
+
 def op4_nearest_neighbours(spark: SparkSession, directory: str) -> DataFrame:
     return vector_search.nearest(_table(spark, directory, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -55,6 +59,7 @@ def op10_url_filter(spark: SparkSession, directory: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_temperature_mixing": op1_temperature_mixing,
     "op2_document_fingerprints": op2_document_fingerprints,
+    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op9_language_id": op9_language_id,
     "op10_url_filter": op10_url_filter,
