@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.llm import fingerprints, language_id, mixing, ngram_join, url_filter, vector_search
+from bazaarlens.llm import fingerprints, language_id, mixing, ngram_join, packing, url_filter, vector_search
 
 #: How often the mix may read one source, at most; documents per mixing block in tokens.
 REPETITION, BLOCK_TOKENS = 2.0, 1 << 20
@@ -43,6 +44,10 @@ def op4_nearest_neighbours(spark: SparkSession, directory: str) -> DataFrame:
     return vector_search.nearest(_table(spark, directory, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op5_packing(spark: SparkSession, directory: str) -> DataFrame:
+    return packing.packed(_table(spark, directory, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_language_id(spark: SparkSession, directory: str) -> DataFrame:
     docs = _table(spark, directory, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_document_fingerprints": op2_document_fingerprints,
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_nearest_neighbours": op4_nearest_neighbours,
+    "op5_packing": op5_packing,
     "op9_language_id": op9_language_id,
     "op10_url_filter": op10_url_filter,
 }
