@@ -61,7 +61,7 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
@@ -70,25 +70,32 @@ class Encoder:
         splits = [x.get("pattern", {}).get("Regex") for x in (told["pre_tokenizer"] or {}).get("pretokenizers", [])]
         kinds = [x["type"] for x in (told["normalizer"] or {}).get("normalizers", [])]
         self.by_word = kinds == ["NFC", "Replace", "Lowercase"] and splits == [_SPLIT, None]
+        # the same model for words that are lower-cased and split already
+        self.words = Tokenizer.from_file(path)
+        self.words.normalizer = normalizers.Sequence([])
+        self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.known: dict[str, bytes] = {}
 
     def _learn(self, words: set[str]) -> None:
         if len(self.known) + len(words) > REMEMBERED:
             self.known.clear()
         new = [w for w in words if w not in self.known]
-        for word, encoded in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[word] = np.array(encoded.ids, self.kind).tobytes()
-
-    def ids(self, text: str) -> bytes:
-        """The ids as bytes of `kind`."""
-        if self.by_word and not _PLAIN.search(text):
-            words = _WORDS.findall(text.lower())
-            try:
-                return b"".join(map(self.known.__getitem__, words))
-            except KeyError:
-                self._learn(set(words))
-                return b"".join(map(self.known.__getitem__, words))
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+        if new:
+            found = self.words.encode(new, is_pretokenized=True, add_special_tokens=False)
+            ids, cuts = np.array(found.ids, self.kind), np.searchsorted(found.word_ids, np.arange(len(new) + 1))
+            for word, a, b in zip(new, cuts[:-1].tolist(), cuts[1:].tolist()):
+                self.known[word] = ids[a:b].tobytes()
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text as bytes of `kind`."""
+        plain = [self.by_word and not _PLAIN.search(x) for x in texts]
+        split = [_WORDS.findall(x.lower()) if p else [] for x, p in zip(texts, plain)]
+        self._learn(set().union(*split))
+        found = self.known.__getitem__
+        return [
+            b"".join(map(found, words)) if p else np.array(self.tokenizer.encode(x, add_special_tokens=False).ids, self.kind).tobytes()
+            for x, p, words in zip(texts, plain, split)
+        ]
 
 
 def _weights(size: int) -> np.ndarray:
@@ -103,9 +110,9 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
         end = np.array([END], encoder.kind).tobytes()
         weights = _weights(encoder.tokenizer.get_vocab_size())
         for whole in batches:
-            for start in range(0, len(whole), 500):
-                batch = whole.slice(start, 500)
-                packed = [encoder.ids(x or "") + end for x in batch.column(1).to_pylist()]
+            for start in range(0, len(whole), 250):
+                batch = whole.slice(start, 250)
+                packed = [x + end for x in encoder.ids([x or "" for x in batch.column(1).to_pylist()])]
                 counts, vectors = [], []
                 for x in packed:
                     ids = np.frombuffer(x, encoder.kind)
