@@ -39,6 +39,37 @@ FROM placed, blocks
 WHERE epoch * source_tokens <= budget OR before < budget
 """
 
+# Runs of lines are compared whole, and their ends are found by a join.
+_LINES = r"""
+WITH split AS (
+  SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
+lines AS (
+  SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts)))::INT AS pos FROM split),
+sized AS (
+  SELECT *, length(line) AS size,
+    sum(length(line)) OVER (PARTITION BY doc_id ORDER BY pos)::BIGINT AS upto
+  FROM lines),
+ends AS (
+  SELECT a.doc_id, a.pos, min(b.pos) AS last
+  FROM sized a JOIN sized b ON a.doc_id = b.doc_id AND b.pos >= a.pos
+    AND b.upto >= a.upto - a.size + 150
+  GROUP BY ALL),
+runs AS (
+  SELECT doc_id, pos, last, parts[pos + 1 : last + 1] AS run FROM ends JOIN split USING (doc_id)),
+firsts AS (
+  SELECT run, min((doc_id, pos)) AS first FROM runs GROUP BY run HAVING count(*) > 1),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(pos, last + 1))::INT AS pos
+  FROM runs JOIN firsts USING (run) WHERE (doc_id, pos) > first),
+kept AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text
+  FROM lines ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id),
+counts AS (SELECT doc_id, count(*)::INT AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0)::INT AS lines_deleted,
+  length(coalesce(k.text, ''))::BIGINT AS chars_kept, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept k USING (doc_id) LEFT JOIN counts USING (doc_id)
+"""
+
 _URLS = r"""
 WITH parts AS (
   SELECT page_id, url,
@@ -75,5 +106,6 @@ FROM canonical LEFT JOIN best USING (url)
 
 ORACLE_SQL: dict[str, str] = {
     "op1_temperature_mixing": _MIXING,
+    "op7_line_dedup": _LINES,
     "op10_url_filter": _URLS,
 }
