@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.llm import fingerprints, language_id, line_dedup, mixing, ngram_join, packing, url_filter, vector_search
+from bazaarlens.llm import fingerprints, language_id, line_dedup, mixing, ngram_join, packing, suffix_dedup, url_filter, vector_search
 
 #: How often the mix may read one source, at most; documents per mixing block in tokens.
 REPETITION, BLOCK_TOKENS = 2.0, 1 << 20
@@ -59,6 +59,11 @@ def op7_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
     )
 
 
+def op8_suffix_dedup(spark: SparkSession, directory: str) -> DataFrame:
+    kept = suffix_dedup.without_repeats(_table(spark, directory, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_language_id(spark: SparkSession, directory: str) -> DataFrame:
     docs = _table(spark, directory, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
@@ -79,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_packing": op5_packing,
     "op7_line_dedup": op7_line_dedup,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_language_id": op9_language_id,
     "op10_url_filter": op10_url_filter,
 }
