@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.llm import fingerprints, language_id, line_dedup, mixing, ngram_join, packing, suffix_dedup, url_filter, vector_search
+from bazaarlens.llm import fingerprints, language_id, line_dedup, mixing, ngram_join, packing, suffix_dedup, toxicity, url_filter, vector_search
 
 #: How often the mix may read one source, at most; documents per mixing block in tokens.
 REPETITION, BLOCK_TOKENS = 2.0, 1 << 20
@@ -48,6 +48,14 @@ def op5_packing(spark: SparkSession, directory: str) -> DataFrame:
     return packing.packed(_table(spark, directory, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_toxicity(spark: SparkSession, directory: str) -> DataFrame:
+    docs = _table(spark, directory, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    model = toxicity.train(docs, _table(spark, directory, "labels"), ~held_out)
+    docs = docs.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+    return toxicity.scored(docs, model, ["doc_id", "held_out"])
+
+
 def op7_line_dedup(spark: SparkSession, directory: str) -> DataFrame:
     docs = _table(spark, directory, "documents").select("doc_id", "text")
     text = F.coalesce("text", F.lit(""))
@@ -83,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_packing": op5_packing,
+    "op6_toxicity": op6_toxicity,
     "op7_line_dedup": op7_line_dedup,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_language_id": op9_language_id,
