@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -41,6 +42,12 @@ def written(frame: DataFrame) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def released(spark: SparkSession) -> None:
+    """Lets the driver collect its garbage, so that shuffle files no plan needs any more go."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -72,15 +79,20 @@ def range_bounds(frame: DataFrame, column: str, parts: int) -> list[int]:
         return []
     shares = [i / parts for i in range(1, parts)]
     found = frame.where(F.col(column).isNotNull()).approxQuantile(column, shares, 0.25 / parts)
-    return sorted({int(x) for x in found})
+    return sorted({min(int(x), (1 << 63) - 1) for x in found})
 
 
 def range_number(column, bounds: list[int]):
     """How many bounds are at or below the value: native, and equal in every run."""
     if not bounds:
         return F.lit(0)
-    array = F.array(*[F.lit(x).cast("long") for x in bounds])
-    return F.coalesce(F.size(F.filter(array, lambda x: x <= column)), F.lit(0))
+    step = max(1, int(len(bounds) ** 0.5))
+    below = lambda array: F.size(F.filter(array, lambda x: x <= column))
+    longs = lambda values: F.array(*[F.lit(x).cast("long") for x in values])
+    # first among every step-th bound, then among the step that it names
+    coarse = below(longs(bounds[::step]))
+    fine = below(F.slice(longs(bounds), (coarse - 1) * step + 1, F.lit(step)))
+    return F.when(column >= F.lit(bounds[0]), (coarse - 1) * step + fine).otherwise(F.lit(0))
 
 
 def components(nodes: DataFrame, edges: DataFrame, most: int = 60) -> DataFrame:

@@ -11,7 +11,7 @@ import numpy as np
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
-_VALUES = np.random.default_rng(20240229).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_VALUES = np.random.default_rng(20240229).integers(1, 1 << 63, 512, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _POWERS: list[np.ndarray] = []
 
 
@@ -35,7 +35,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class PrefixHash:
-    """Hashes of pieces of some bytes."""
+    """Hashes of pieces of some bytes, or of numbers below 512."""
 
     def __init__(self, data: np.ndarray):
         powers, self.inverse = _powers(len(data) + 1)

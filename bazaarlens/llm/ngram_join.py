@@ -9,12 +9,14 @@ one row), columns are n-grams. Two rows link when 100 * overlap >= percent * uni
 2. Size-derived bounds: a row with n grams needs an overlap of at least percent * n / 100,
    so rows with fewer shared columns go. The shared columns of a row are ordered by count.
    Two linking rows meet in one of the first n - ceil(percent * n / 100) + 1 columns of both
-   orders, where the single columns come first; only those columns propose pairs.
+   orders, where the single columns come first; only a column in both of these prefixes
+   proposes them. At their first common column, no more than the columns from there on can
+   overlap, which rules out most proposals where many rows share a column.
 3. Pairs inside one group need not all be made. Each row is first multiplied with one row of
-   its columns, the one it meets most often among those that have fewest single columns.
-   Linked rows form components; then every proposed pair of rows in different components is
-   multiplied, unless the sizes rule it out. Links are lost nowhere: a pair that is left out
-   is in one component already.
+   its columns: of the rows that have a column earliest in their order, the one it meets most
+   often. Linked rows form components; then every proposed pair of rows in different
+   components is multiplied. Links are lost nowhere: a pair that is left out is in one
+   component already.
 4. Components of all links; the smallest doc_id names each.
 
 A product is taken for pairs only, in blocks: both rows are brought together and their
@@ -38,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.common import checkpointed, components, shuffle_partitions, steps, utf8, written
+from bazaarlens.llm.common import checkpointed, components, released, shuffle_partitions, steps, utf8, written
 from bazaarlens.llm.hashing import PrefixHash, mixed
 
 #: Hashed grams that a task gathers before it deals them out.
@@ -140,12 +142,13 @@ def _unpack(values: list[bytes | None], kind) -> np.ndarray:
     return np.frombuffer(b"".join(x for x in values if x), kind)
 
 
-_COLUMNS = "row long, size int, doc_id long, grams binary, counts binary"
-_SCHEMA = pa.schema([("row", pa.int64()), ("size", pa.int32()), ("doc_id", pa.int64()), ("grams", pa.binary()), ("counts", pa.binary())])
+_COLUMNS = "target int, rows binary, sizes binary, grams binary, counts binary, ids binary"
+_SCHEMA = pa.schema([("target", pa.int32()), *((x, pa.binary()) for x in ("rows", "sizes", "grams", "counts", "ids"))])
 
 
-def _shared_columns(key: tuple, table: pa.Table) -> pa.Table:
-    """One block of columns: for each row its grams that another row has too, with counts."""
+def _shared_columns(key: tuple, table: pa.Table, targets: int) -> pa.Table:
+    """One block of columns: the grams that several rows have, with counts, packed by the
+    rows they belong to; and the documents, as they are."""
     parts = {x: table[x].to_pylist() for x in table.column_names}
     gram_parts = [i for i, x in enumerate(parts["grams"]) if x is not None]
     pick = lambda name: [parts[name][i] for i in gram_parts]
@@ -171,41 +174,56 @@ def _shared_columns(key: tuple, table: pa.Table) -> pa.Table:
     many = np.repeat(counts, counts)
     keep = many >= 2
     gram, row, size, many = gram[keep], row[keep], size[keep], many[keep].astype(np.uint32)
-    order = np.argsort(row, kind="stable")
+    target = (row.view(np.uint64) % np.uint64(targets)).astype(np.int64)
+    order = np.argsort(target, kind="stable")
     gram, row, size, many = gram[order], row[order], size[order], many[order]
-    cuts = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])[: len(row)]).tolist() + [len(row)]
+    cuts = np.searchsorted(target[order], np.arange(targets + 1))
     out: dict[str, list] = {x: [] for x in _SCHEMA.names}
-    for a, b in zip(cuts[:-1], cuts[1:]):
-        for name, value in zip(_SCHEMA.names, (int(row[a]), int(size[a]), None, gram[a:b].tobytes(), many[a:b].tobytes())):
+    for t in np.flatnonzero(np.diff(cuts)).tolist():
+        own = slice(cuts[t], cuts[t + 1])
+        for name, value in zip(_SCHEMA.names, (t, *(x[own].tobytes() for x in (row, size, gram, many)), None)):
             out[name].append(value)
-    ids = [i for i, x in enumerate(parts["ids"]) if x is not None]
-    whole = [_unpack([parts[x][i] for i in ids], k) for x, k in (("rows", np.int64), ("sizes", np.uint32), ("ids", np.int64))]
-    none = [None] * len(whole[0])
-    known = [None if x == _NO_ID else x for x in whole[2].tolist()]
-    for name, values in zip(_SCHEMA.names, (whole[0].tolist(), whole[1].tolist(), known, none, none)):
-        out[name] += values
+    for i, ids in enumerate(parts["ids"]):
+        if ids is not None:
+            for name, value in zip(_SCHEMA.names, (None, parts["rows"][i], parts["sizes"][i], None, None, ids)):
+                out[name].append(value)
     return pa.table(out, _SCHEMA)
 
 
-def _bounded(percent: int):
-    """Rows whose shared columns reach the bound: row, size, shared, grams by count, prefix."""
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents that blocks have passed on: doc_id, row, size."""
+    for batch in batches:
+        row, size, doc_id = (_unpack(c.to_pylist(), k) for c, k in zip(batch.columns, (np.int64, np.uint32, np.int64)))
+        known = pa.array(doc_id, mask=doc_id == _NO_ID)
+        yield pa.RecordBatch.from_arrays([known, pa.array(row), pa.array(size.astype(np.int32))], ["doc_id", "row", "size"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("row", pa.int64()), ("size", pa.int32()), ("shared", pa.int32()), ("grams", pa.binary()), ("prefix", pa.list_(pa.int64()))])
-        for batch in batches:
-            out: dict[str, list] = {x: [] for x in schema.names}
-            for row, size, gram_parts, count_parts in zip(*(c.to_pylist() for c in batch.columns)):
-                gram, many = _unpack(gram_parts, np.uint64), _unpack(count_parts, np.uint32)
-                least = -(-percent * size // 100)
-                if len(gram) < least:
-                    continue
-                gram = gram[np.lexsort((gram, many))]
-                prefix = gram[: len(gram) - least + 1].view(np.int64).tolist()
-                for name, value in zip(schema.names, (row, size, len(gram), gram.tobytes(), prefix)):
-                    out[name].append(value)
-            yield pa.RecordBatch.from_pydict(out, schema)
 
-    return run
+_SETS = "row long, size int, grams binary, prefix array<struct<gram:long,place:int>>"
+
+
+def _bounded(key: tuple, table: pa.Table, percent: int) -> pa.Table:
+    """Rows whose shared columns reach the bound: all of them, rarest first, and the prefix
+    with each column's place among the columns of the row, those of the row alone included."""
+    row, size, gram, many = (
+        _unpack(table[x].to_pylist(), k) for x, k in (("rows", np.int64), ("sizes", np.uint32), ("grams", np.uint64), ("counts", np.uint32))
+    )
+    order = np.lexsort((gram, many, row))
+    row, size, gram = row[order], size[order].astype(np.int64), gram[order]
+    first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])[: len(row)])
+    cuts = [*first.tolist(), len(row)]
+    out: dict[str, list] = {"row": [], "size": [], "grams": [], "prefix": []}
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        whole = int(size[a])
+        least = -(-percent * whole // 100)
+        if b - a >= least:
+            single = whole - (b - a)
+            chosen = gram[a : b - least + 1].view(np.int64).tolist()
+            out["row"].append(int(row[a]))
+            out["size"].append(whole)
+            out["grams"].append(np.sort(gram[a:b]).tobytes())
+            out["prefix"].append([{"gram": g, "place": single + i} for i, g in enumerate(chosen)])
+    kinds = [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.struct([("gram", pa.int64()), ("place", pa.int32())]))]
+    return pa.table(list(out.values()), pa.schema(list(zip(out, kinds))))
 
 
 def _products(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -227,12 +245,13 @@ def _products(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _possible(percent: int):
-    """Sizes and shared columns of rows x and y allow a link."""
+    """Sizes and places allow that x and y link and that this is their first column in both
+    orders: at most what stands from here on can overlap. Of two rows that link, the first
+    common column passes."""
     need = F.lit(percent) * (F.col("x.size") + F.col("y.size"))
-    return (
-        (F.least("x.shared", "y.shared") * F.lit(100 + percent) >= need)
-        & (F.least("x.size", "y.size") * F.lit(100) >= F.greatest("x.size", "y.size") * F.lit(percent))
-    )
+    rest = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))
+    sizes = F.least("x.size", "y.size") * F.lit(100) >= F.greatest("x.size", "y.size") * F.lit(percent)
+    return (rest * F.lit(100 + percent) >= need) & sizes
 
 
 def linked(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFrame:
@@ -242,22 +261,22 @@ def linked(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFrame:
     dealt = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         _dealt(n, blocks), "block int, grams binary, counts binary, rows binary, sizes binary, ids binary"
     )
-    found = written(dealt.groupBy("block").applyInArrow(_shared_columns, _COLUMNS))
-    members = found.where("grams IS NULL").select("doc_id", "row", "size")
-    gathered = (
-        found.where("grams IS NOT NULL")
-        .groupBy("row", "size")
-        .agg(F.collect_list("grams").alias("grams"), F.collect_list("counts").alias("counts"))
-    )
-    sets = written(gathered.mapInArrow(_bounded(percent), "row long, size int, shared int, grams binary, prefix array<long>"))
-    entries = sets.select("row", "size", "shared", F.explode("prefix").alias("gram"))
-
-    # one row a column that has fewest single columns proposes itself to all others
+    found = written(dealt.groupBy("block").applyInArrow(lambda key, table: _shared_columns(key, table, blocks), _COLUMNS))
+    del dealt
+    released(spark)
+    members = found.where("ids IS NOT NULL").select("rows", "sizes", "ids").mapInArrow(_documents, "doc_id long, row long, size int")
+    sets = found.where("ids IS NULL").groupBy("target").applyInArrow(lambda key, table: _bounded(key, table, percent), _SETS)
+    sets = written(sets)
+    released(spark)
+    entries = sets.select("row", "size", F.explode("prefix").alias("entry"))
+    entries = entries.select("row", "size", F.col("entry.gram").alias("gram"), F.col("entry.place").alias("place"))
+
+    # the row that has the column earliest in its order proposes itself to all others
     hubs = entries.groupBy("gram").agg(
-        F.min(F.struct((F.col("size") - F.col("shared")).alias("single"), "row", "size", "shared")).alias("hub"),
+        F.min(F.struct((F.col("place") / F.col("size")).alias("share"), "row", "size", "place")).alias("hub"),
         F.count("*").alias("many"),
     )
-    hubs = hubs.where("many > 1").select("gram", "hub.row", "hub.size", "hub.shared").alias("x")
+    hubs = hubs.where("many > 1").select("gram", "hub.row", "hub.size", "hub.place").alias("x")
     met = entries.alias("y").join(hubs, "gram").where(F.col("x.row") != F.col("y.row")).where(_possible(percent))
     met = met.groupBy(F.col("x.row").alias("a"), F.col("y.row").alias("b")).count()
     first = met.groupBy("b").agg(F.max_by("a", F.struct("count", "a")).alias("a"))
