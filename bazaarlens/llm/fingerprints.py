@@ -139,9 +139,8 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     docs = docs.withColumn("range", range_number(F.col("key"), range_bounds(docs, "key", 4 * parts)))
     # one row a range: its first key, and the range before it, or the last for the first
     firsts = [(r["range"], r["key"]) for r in docs.groupBy("range").agg(F.min("key").alias("key")).orderBy("range").collect()]
-    before = F.lit(None).cast("int")
-    for i, (_, first) in enumerate(firsts):
-        before = F.when(F.col("key") == F.lit(first), F.lit(firsts[i - 1][0])).otherwise(before)
+    place = F.array_position(F.array(*[F.lit(key).cast("long") for _, key in firsts]), F.col("key"))
+    before = F.try_element_at(F.array(*[F.lit(firsts[i - 1][0]) for i in range(len(firsts))]), F.nullif(place.cast("int"), F.lit(0)))
     deal = F.array(
         F.struct("range", F.lit(False).alias("guest")), F.struct(before.alias("range"), F.lit(True).alias("guest"))
     )
