@@ -33,7 +33,11 @@ def arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     parser.add_argument("--cheaper", default=labels.cheaper, help="status label")
     parser.add_argument("--equal", default=labels.equal, help="status label")
     parser.add_argument("--dearer", default=labels.dearer, help="status label")
-    parser.add_argument("--strict-numeric", action="store_true")
+    parser.add_argument(
+        "--text-threshold",
+        action="store_true",
+        help="compare with the threshold's text, which fails to parse from 1,000 up",
+    )
     parser.add_argument("--rows", type=int, default=20, help="rows to print")
     parsed = parser.parse_args(argv)
     if parsed.platform is None and parsed.report in ("scorecard", "flag"):
@@ -45,20 +49,15 @@ def report(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     renames = {**sources.CLEAN_NAMES, **dict(r.split("=", 1) for r in args.rename)}
     labels = StatusLabels(args.cheaper, args.equal, args.dearer)
 
-    def load(path: str) -> DataFrame:
-        return sources.clean(sources.read_csv(spark, path), renames)
-
-    pricing = load(args.pricing)
+    pricing = sources.read_csv(spark, args.pricing, sources.schemas.PRICING, names=renames)
     if args.report == "priority":
         return ops.priority_status(pricing, labels=labels)
     if args.report == "top-items":
-        return ops.top30_item_count(pricing, strict_numeric=args.strict_numeric)
-    platform = load(args.platform)
+        return ops.top30_item_count(pricing, text_threshold=args.text_threshold)
+    platform = sources.read_csv(spark, args.platform, sources.schemas.PLATFORM, names=renames)
     if args.report == "scorecard":
         return ops.regional_scorecard(pricing, platform, labels=labels)
-    flags = ops.top30_model_flag(
-        pricing, platform, strict_numeric=args.strict_numeric, platform_bounded_by=platform
-    )
+    flags = ops.top30_model_flag(pricing, platform, text_threshold=args.text_threshold)
     return sources.publish(flags, FLAG_VIEW).select(
         "region", "item_id", "model_id", "is_top_30_model"
     )

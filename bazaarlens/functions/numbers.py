@@ -22,15 +22,14 @@ def threshold_text(total: Column, share: float) -> Column:
 
 
 def last_admitted_rank(
-    total: Column, share: float, strict_numeric: bool = False
+    total: Column, share: float, text_threshold: bool = False
 ) -> Column:
-    """The last rank that is within :func:`threshold_text`, null if none is.
+    """The last rank that is within :func:`threshold_text`, taken as the number it shows.
 
-    A text with a thousands comma does not compare as a number, so by default a
-    threshold from 1,000 up admits no rank at all. ``strict_numeric`` takes every
-    threshold as the number it shows. No text is made here: ``rint`` rounds half-even
-    as the text does.
+    ``text_threshold`` compares with the text itself, as it parses: one with a thousands
+    comma does not, so a threshold from 1,000 up then admits no rank at all. No text is
+    made here: ``rint`` rounds half-even as the text does.
     """
     whole = F.rint(total * F.lit(float(share)))
-    admitted = whole if strict_numeric else F.when(F.abs(whole) < 1000, whole)
+    admitted = F.when(F.abs(whole) < 1000, whole) if text_threshold else whole
     return admitted.try_cast("bigint")

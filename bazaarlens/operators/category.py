@@ -44,22 +44,23 @@ def category_contribution(
     item: str = "item_id",
     order_time: str = "create_timestamp",
     cluster: str = "cluster",
-    clusters_bounded_by: DataFrame | None = None,
 ) -> DataFrame:
     """Items present in more than ``min_rate`` of their category's distinct orders.
 
     ``inclusive`` also admits a rate of exactly ``min_rate``. Rows are in category
     order, lowest rate first, which is the order of a descending rank without ranking.
-    See :func:`bazaarlens.operators.joins.join_lookup` for ``clusters_bounded_by``.
+    Items without a category have no rate, so they never appear.
     """
-    pairs = _order_item_pairs(order_items, first_day, last_day, order, item, order_time)
-    categories = _categories(item_category, item, cluster)
+    pairs = _order_item_pairs(
+        order_items.where(F.col(item).isNotNull()), first_day, last_day, order, item, order_time
+    )
+    categories = _categories(item_category, item, cluster).where(F.col(cluster).isNotNull())
     rated = join_lookup(
-        _orders_per_item(pairs, categories, order, item, cluster),
+        _orders_per_item(pairs, order, item)
+        .join(categories, item)
+        .select(cluster, item, "total_item_per_cluster"),
         _orders_per_cluster(pairs, categories, order, item, cluster),
         keys=[cluster],
-        spread=[item],
-        bounded_by=clusters_bounded_by,
     ).withColumn(
         "contribution_rate",
         ratio(F.col("total_item_per_cluster"), F.col("total_order_per_cluster")),
@@ -82,15 +83,32 @@ def category_rates(
     order_time: str = "create_timestamp",
     cluster: str = "cluster",
 ) -> DataFrame:
-    """Items with a category: their counts, contribution rate and rank within it.
+    """Items per category: their counts, contribution rate and rank within the category.
 
     Within a category the rate falls with the item's order count, so the rank is found
     on the distinct counts: at most sqrt(2 x pairs) rows per category, instead of one
-    window over all its items.
+    window over all its items. Items without a category form a group of their own, in
+    which total and rate are null; all its rates are equal, so every rank is 1.
     """
-    pairs = _order_item_pairs(order_items, first_day, last_day, order, item, order_time)
+    # The null item has no category. It is counted apart: the joins would ask the pairs for
+    # other items anyway, and so both their uses stay the same and share a shuffle.
+    known = F.col(item).isNotNull()
+    pairs = _order_item_pairs(
+        order_items.where(known), first_day, last_day, order, item, order_time
+    )
     categories = _categories(item_category, item, cluster)
-    items = _orders_per_item(pairs, categories, order, item, cluster)
+    without_item = (
+        order_items.where(~known & within_days(order_time, first_day, last_day))
+        .groupBy(item)
+        .agg(F.count_distinct(order).alias("total_item_per_cluster"))
+        .select(F.lit(None).cast("string").alias(cluster), item, "total_item_per_cluster")
+    )
+    items = (
+        _orders_per_item(pairs, order, item)
+        .join(categories, item, "left")
+        .select(cluster, item, "total_item_per_cluster")
+        .unionByName(without_item)
+    )
     totals = _orders_per_cluster(pairs, categories, order, item, cluster)
 
     busier = (
@@ -99,7 +117,8 @@ def category_rates(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     ranks = (
-        items.groupBy(cluster, "total_item_per_cluster")
+        items.where(F.col(cluster).isNotNull())
+        .groupBy(cluster, "total_item_per_cluster")
         .agg(F.count("*").alias("items"))
         .join(totals, cluster, "left")
         .select(
@@ -111,9 +130,7 @@ def category_rates(
             .alias("contribution_rank"),
         )
     )
-    return join_lookup(
-        items, ranks, keys=[cluster, "total_item_per_cluster"], spread=[item]
-    ).select(
+    return join_lookup(items, ranks, keys=[cluster, "total_item_per_cluster"]).select(
         cluster,
         item,
         "total_item_per_cluster",
@@ -121,14 +138,13 @@ def category_rates(
         ratio(F.col("total_item_per_cluster"), F.col("total_order_per_cluster")).alias(
             "contribution_rate"
         ),
-        "contribution_rank",
+        F.when(F.col(cluster).isNull(), 1).otherwise(F.col("contribution_rank")).alias("contribution_rank"),
     )
 
 
 def _categories(item_category: DataFrame, item: str, cluster: str) -> DataFrame:
-    """Distinct categories of items; a null on either side has no rate to take part in."""
-    named = F.col(item).isNotNull() & F.col(cluster).isNotNull()
-    return item_category.where(named).select(item, cluster).distinct()
+    """Distinct categories of items; a null item matches none."""
+    return item_category.where(F.col(item).isNotNull()).select(item, cluster).distinct()
 
 
 def _order_item_pairs(
@@ -136,29 +152,20 @@ def _order_item_pairs(
 ) -> DataFrame:
     """Distinct (order, item) of the window: all that distinct-order counts need.
 
-    Null items go first, as the joins would drop them: said here, it keeps this part the
-    same in both of its uses, and they share its shuffle.
     Grouped by the pair as one value, so that rows which arrive partitioned by order are
     spread again and an order with very many items does not stay in one task.
     """
     return (
-        order_items.where(within_days(order_time, first_day, last_day) & F.col(item).isNotNull())
+        order_items.where(within_days(order_time, first_day, last_day))
         .select(F.struct(order, item).alias("pair"))
         .distinct()
         .select("pair.*")
     )
 
 
-def _orders_per_item(
-    pairs: DataFrame, categories: DataFrame, order: str, item: str, cluster: str
-) -> DataFrame:
-    """Distinct orders per (category, item); counted before the category is joined on."""
-    return (
-        pairs.groupBy(item)
-        .agg(F.count(order).alias("total_item_per_cluster"))
-        .join(categories, item)
-        .select(cluster, item, "total_item_per_cluster")
-    )
+def _orders_per_item(pairs: DataFrame, order: str, item: str) -> DataFrame:
+    """Distinct orders per item; counted before the category is joined on."""
+    return pairs.groupBy(item).agg(F.count(order).alias("total_item_per_cluster"))
 
 
 def _orders_per_cluster(
@@ -170,7 +177,7 @@ def _orders_per_cluster(
     execution can split an item that is in a large part of all orders.
     """
     return (
-        pairs.join(categories, item)
+        pairs.join(categories.where(F.col(cluster).isNotNull()), item)
         .groupBy(cluster)
         .agg(F.count_distinct(order).alias("total_order_per_cluster"))
     )

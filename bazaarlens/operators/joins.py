@@ -9,11 +9,6 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-LOOKUP_SPLITS = 256
-BROADCAST_ROWS = 100_000
-
-_SALT = "__salt"
-
 
 def join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Join rows back to an aggregation of them, so that a hot key can be split.
@@ -34,32 +29,13 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], how: st
     )
 
 
-def join_lookup(
-    rows: DataFrame,
-    lookup: DataFrame,
-    keys: Sequence[str],
-    spread: Sequence[str],
-    bounded_by: DataFrame | None = None,
-    max_rows: int = BROADCAST_ROWS,
-    splits: int = LOOKUP_SPLITS,
-) -> DataFrame:
+def join_lookup(rows: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
     """LEFT JOIN many rows to a lookup with few keys, such as one row per region.
 
-    ``bounded_by`` is a table known to hold at least as many rows as ``lookup`` (the
-    lookup itself, or the dimension its key comes from). If it holds at most
-    ``max_rows``, which one small count checks, the lookup is broadcast. Without that
-    proof the join shuffles, with the rows of each key spread over ``splits`` salts
-    by a hash of the ``spread`` columns and the lookup copied to every salt. Both sides
-    come straight from a shuffle, so adaptive execution can split further.
+    A plain equi join without hints: adaptive execution broadcasts the lookup if its
+    measured size allows, and otherwise splits a hot key, as long as both sides are
+    shuffled for this join and not partitioned by the keys already.
     """
-    if bounded_by is not None and bounded_by.limit(max_rows + 1).count() <= max_rows:
-        return rows.join(F.broadcast(lookup), list(keys), "left").select(
-            *rows.columns, *[c for c in lookup.columns if c not in keys]
-        )
-    salted_rows = rows.withColumn(_SALT, F.pmod(F.xxhash64(*spread), F.lit(splits)))
-    salted_lookup = lookup.withColumn(
-        _SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(splits - 1).cast("bigint")))
-    )
-    return salted_rows.join(salted_lookup, [*keys, _SALT], "left").select(
+    return rows.join(lookup, list(keys), "left").select(
         *rows.columns, *[c for c in lookup.columns if c not in keys]
     )

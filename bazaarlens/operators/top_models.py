@@ -4,7 +4,8 @@ A model (region, item, model) has one threshold: 30% of its order total, rounded
 half-even to a whole number. Its rows in the join with the platform lookup, one per
 lookup row of its region, are ranked by their share of the platform's orders, and the
 ranks up to the threshold are kept. So a model passes if its threshold is 1 or more.
-See :func:`bazaarlens.functions.last_admitted_rank` for thresholds of 1,000 and above.
+``text_threshold`` asks for the threshold's text to be compared as it stands: see
+:func:`bazaarlens.functions.last_admitted_rank`.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ from bazaarlens.operators.joins import join_groups, join_lookup
 from bazaarlens.operators.pricing import PricingColumns
 
 SHARE = 0.3
+FLAG = "is_top_30_model"
 _RATIO_DIGITS = 10
+_COPIES, _LISTINGS = "__copies", "__listings"
 
 
 def top30_ranked_models(
@@ -34,25 +37,21 @@ def top30_ranked_models(
     platform: DataFrame,
     columns: PricingColumns = PricingColumns(),
     share: float = SHARE,
-    strict_numeric: bool = False,
+    text_threshold: bool = False,
     descending: bool = True,
-    platform_bounded_by: DataFrame | None = None,
 ) -> DataFrame:
     """The kept rows, with order total, platform total, share, threshold and rank.
 
     The share is ranked as the ten-decimal text it is shown as, highest first unless
     ``descending`` is off; the platform total breaks ties. A window holds the lookup
     rows of one region, never the pricing rows of a model.
-    See :func:`bazaarlens.operators.joins.join_lookup` for ``platform_bounded_by``.
     """
-    admitted = _last_rank(share, strict_numeric)
+    admitted = _last_rank(share, text_threshold)
     lookup = platform.select(columns.region, columns.platform_order)
     shares = join_lookup(
         _order_sums(pricing, columns).where(admitted >= 1),
         lookup,
         keys=[columns.region],
-        spread=[columns.item, columns.model],
-        bounded_by=platform_bounded_by,
     ).withColumn(
         "contribute_ratio",
         fixed_text(ratio(F.col("sum_units"), F.col(columns.platform_order)), _RATIO_DIGITS),
@@ -79,7 +78,7 @@ def top30_item_count(
     pricing: DataFrame,
     columns: PricingColumns = PricingColumns(),
     share: float = SHARE,
-    strict_numeric: bool = False,
+    text_threshold: bool = False,
 ) -> DataFrame:
     """Distinct items per region with a model that passes.
 
@@ -88,7 +87,7 @@ def top30_item_count(
     """
     return (
         _order_sums(pricing, columns)
-        .where(_last_rank(share, strict_numeric) >= 1)
+        .where(_last_rank(share, text_threshold) >= 1)
         .groupBy(columns.region)
         .agg(F.count_distinct(columns.item).alias("number_of_item_tops_30"))
     )
@@ -99,40 +98,38 @@ def top30_model_flag(
     platform: DataFrame | None = None,
     columns: PricingColumns = PricingColumns(),
     share: float = SHARE,
-    strict_numeric: bool = False,
+    text_threshold: bool = False,
     drop: Sequence[str] = ("_c0",),
-    platform_bounded_by: DataFrame | None = None,
 ) -> DataFrame:
     """Every pricing row with ``is_top_30_model`` 1 or 0; ``drop`` names index columns.
 
     A row whose region the lookup lists n times appears once per kept rank, up to n
     times; ``platform`` is needed only if a region can repeat in it. Rows with a null in
-    (region, item, model) are never flagged.
+    (region, item, model) are never flagged. A flag column the table has already is
+    replaced.
     """
     key = columns.model_key
-    admitted = _last_rank(share, strict_numeric)
+    admitted = _last_rank(share, text_threshold)
     passing = (
         _order_sums(pricing.where(_whole_key(key)), columns)
         .where(admitted >= 1)
-        .select(*key, admitted.alias("copies"))
+        .select(*key, admitted.alias(_COPIES))
     )
     if platform is None:
-        passing = passing.withColumn("copies", F.lit(1))
+        passing = passing.withColumn(_COPIES, F.lit(1))
     else:
-        listings = platform.groupBy(columns.region).agg(F.count("*").alias("listings"))
-        passing = join_lookup(
-            passing, listings, [columns.region], key[1:], bounded_by=platform_bounded_by
-        ).select(
-            *key, F.least("copies", F.coalesce("listings", F.lit(1))).cast("int").alias("copies")
+        listings = platform.groupBy(columns.region).agg(F.count("*").alias(_LISTINGS))
+        passing = join_lookup(passing, listings, [columns.region]).select(
+            *key, F.least(_COPIES, F.coalesce(_LISTINGS, F.lit(1))).cast("int").alias(_COPIES)
         )
 
-    flagged = join_groups(pricing.drop(*drop), passing, key, "left")
-    others = [c for c in flagged.columns if c not in key and c != "copies"]
-    flag = F.col("copies").isNotNull().cast("int")
+    flagged = join_groups(pricing.drop(*drop, FLAG), passing, key, "left")
+    others = [c for c in flagged.columns if c not in key and c != _COPIES]
+    flag = F.col(_COPIES).isNotNull().cast("int")
     if platform is None:
-        return flagged.select(*key, *others, flag.alias("is_top_30_model"))
-    each_copy = F.explode(F.array_repeat(flag, F.coalesce("copies", F.lit(1))))
-    return flagged.select(*key, *others, each_copy.alias("is_top_30_model"))
+        return flagged.select(*key, *others, flag.alias(FLAG))
+    each_copy = F.explode(F.array_repeat(flag, F.coalesce(_COPIES, F.lit(1))))
+    return flagged.select(*key, *others, each_copy.alias(FLAG))
 
 
 def _order_sums(pricing: DataFrame, columns: PricingColumns) -> DataFrame:
@@ -143,5 +140,5 @@ def _whole_key(key: Sequence[str]) -> Column:
     return reduce(and_, [F.col(k).isNotNull() for k in key])
 
 
-def _last_rank(share: float, strict_numeric: bool) -> Column:
-    return last_admitted_rank(F.col("sum_units"), share, strict_numeric)
+def _last_rank(share: float, text_threshold: bool) -> Column:
+    return last_admitted_rank(F.col("sum_units"), share, text_threshold)

@@ -25,8 +25,8 @@ TABLE_NAMES = [
     "conversations",
 ]
 
-# The columns of the tables the views read. Declared, so that no file is
-# opened before the query runs.
+# The columns of the tables. Declared, so that no file is opened before the
+# query runs.
 SCHEMAS = {
     "region": "r_regionkey INT, r_name STRING",
     "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
@@ -48,9 +48,23 @@ SCHEMAS = {
         "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
         "l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"
     ),
+    "events": (
+        "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, "
+        "props STRING"
+    ),
+    "documents": "doc_id BIGINT, text STRING, lang STRING, source STRING, n_chars BIGINT",
+    "embeddings": "vec_id BIGINT, embedding ARRAY<FLOAT>, label INT",
+    "pages": "page_id BIGINT, url STRING, html STRING",
+    "benchmark": "item_id BIGINT, text STRING",
+    "labels": "doc_id BIGINT, quality INT, toxic INT",
+    "conversations": "conv_id BIGINT, turn BIGINT, role STRING, text STRING",
 }
 
 
+#: The discount up to which a line counts as our own sale.
+OWN_DISCOUNT = 0.05
+
+
 class Marketplace:
     """Lazy views over the Parquet tables of one directory."""
 
@@ -68,15 +82,18 @@ class Marketplace:
         return self._tables[name]
 
     def offers(self) -> DataFrame:
-        """Pricing rows without their region, which needs no join."""
-        return self._listed_lines().select(_item(), _model(), _units(), _status())
+        """(item_id, model_id, status), one row per line, for what needs no region."""
+        return self.table("lineitem").select(_item(), _model(), _status())
 
     def pricing(self) -> DataFrame:
-        """(region, item_id, model_id, units, status), one row per listed line."""
+        """(region, item_id, model_id, units, status), one row per placed line.
+
+        Lines with a discount above OWN_DISCOUNT were sold by others: their units are 0.
+        """
         return (
-            self._listed_lines()
+            self.table("lineitem")
             .join(self._orders_with_place(), F.col("l_orderkey") == F.col("o_orderkey"))
-            .select("region", _item(), _model(), _units(), _status())
+            .select("region", _item(), _model(), _own_units(), _status())
         )
 
     def platform(self) -> DataFrame:
@@ -134,20 +151,13 @@ class Marketplace:
             .select(F.col("s_suppkey").alias("item_id"), F.col("n_name").alias("cluster"))
         )
 
-    def _listed_lines(self) -> DataFrame:
-        return self.table("lineitem").where(F.col("l_discount") <= 0.05)
-
     def _orders_with_place(self) -> DataFrame:
         """(o_orderkey, region, nation): built before the lines are joined, so that the
-        line items shuffle once, on the order.
-
-        Region names are never null; a lookup joined on them would add that filter to its
-        own copy of this view, so it is stated for all, and the copies share their shuffles.
+        line items shuffle once, on the order. A null region name stays a region.
         """
         places = (
             self.table("nation")
             .join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-            .where(F.col("r_name").isNotNull())
             .select(
                 "n_nationkey", F.col("n_name").alias("nation"), F.col("r_name").alias("region")
             )
@@ -164,11 +174,14 @@ class Marketplace:
         )
 
     def _platform_by(self, *place: str) -> DataFrame:
+        """Units are summed per order before the join, which that sum is partitioned for."""
+        per_order = (
+            self.table("lineitem").groupBy("l_orderkey").agg(F.sum(_units()).alias("order_units"))
+        )
         return (
-            self.table("lineitem")
-            .join(self._orders_with_place(), F.col("l_orderkey") == F.col("o_orderkey"))
+            per_order.join(self._orders_with_place(), F.col("l_orderkey") == F.col("o_orderkey"))
             .groupBy(*place)
-            .agg(F.sum(_units()).alias("platform_order"))
+            .agg(F.sum("order_units").alias("platform_order"))
             .select("region", "platform_order")
         )
 
@@ -186,6 +199,11 @@ def _units() -> Column:
     return (2 * quantity * quantity - 2).cast("bigint").alias("units")
 
 
+def _own_units() -> Column:
+    ours = F.col("l_discount") <= OWN_DISCOUNT
+    return F.when(ours, _units()).otherwise(F.lit(0)).cast("bigint").alias("units")
+
+
 def _status() -> Column:
     labels = StatusLabels()
     return (

@@ -26,14 +26,25 @@ JOIN region ON n_regionkey = r_regionkey
 _PRICING = f"""
 pricing AS (
   SELECT r_name AS region, l_partkey AS item_id, l_partkey * 1000 + l_suppkey AS model_id,
-    {_UNITS} AS units,
+    CASE WHEN l_discount <= 0.05 THEN {_UNITS} ELSE 0 END AS units,
     CASE WHEN l_returnflag = 'A' THEN 'OWN < REF'
          WHEN l_returnflag = 'N' THEN 'OWN = REF'
          WHEN l_linestatus = 'F' THEN 'OWN > REF' END AS status
   {_PLACED_LINES}
-  WHERE l_discount <= 0.05
 )"""
 
+_OFFERS = """
+offers AS (
+  SELECT l_partkey AS item_id, l_partkey * 1000 + l_suppkey AS model_id,
+    CASE WHEN l_returnflag = 'A' THEN 'OWN < REF'
+         WHEN l_returnflag = 'N' THEN 'OWN = REF'
+         WHEN l_linestatus = 'F' THEN 'OWN > REF' END AS status
+  FROM lineitem
+)"""
+
+_ORDER_LINES = """
+order_lines AS (SELECT l_orderkey AS order_id, l_suppkey AS item_id FROM lineitem)"""
+
 _PLATFORM = f"""
 platform AS (
   SELECT r_name AS region, CAST(sum({_UNITS}) AS BIGINT) AS platform_order
@@ -107,13 +118,17 @@ rates AS (
   FROM item_counts i LEFT JOIN cluster_counts c ON i.cluster = c.cluster
 )"""
 
+# Status counts, each joined to the count of all models.
 _NET = """
-CASE WHEN region IS NOT NULL THEN
-  format('{:,.6f}',
-    CAST(sum(CASE WHEN status = 'OWN < REF' THEN CAST(model_id IS NOT NULL AS INT) END)
-       - sum(CASE WHEN status = 'OWN > REF' THEN CAST(model_id IS NOT NULL AS INT) END)
-      AS DOUBLE) / nullif(count(model_id), 0))
-END AS net_competitiveness"""
+models AS (SELECT region, count(model_id) AS n FROM pricing GROUP BY region),
+statuses AS (SELECT region, status, count(model_id) AS n FROM pricing GROUP BY region, status),
+net AS (
+  SELECT m.region,
+    format('{:,.6f}', CAST(win.n - lose.n AS DOUBLE) / nullif(m.n, 0)) AS net_competitiveness
+  FROM models m
+  LEFT JOIN (SELECT * FROM statuses WHERE status = 'OWN > REF') lose ON m.region = lose.region
+  LEFT JOIN (SELECT * FROM statuses WHERE status = 'OWN < REF') win ON m.region = win.region
+)"""
 
 _COVERAGE = """
 format('{:,.6f}', CAST(t.sum_units AS DOUBLE) / nullif(p.platform_order, 0))
@@ -125,10 +140,26 @@ sums AS (
   FROM pricing GROUP BY region, item_id, model_id
 )"""
 
-_WHOLE_THRESHOLD = "round_even(CAST(sum_units AS DOUBLE) * CAST(0.3 AS DOUBLE), 0)"
+# One row per model and lookup row of its region: share, threshold and rank.
+_RANKED = """
+shares AS (
+  SELECT s.*, p.platform_order,
+    format('{:,.10f}', CAST(sum_units AS DOUBLE) / nullif(platform_order, 0))
+      AS contribute_ratio,
+    format('{:,.0f}', CAST(sum_units AS DOUBLE) * CAST(0.3 AS DOUBLE)) AS order_threshold
+  FROM sums s LEFT JOIN platform p ON s.region = p.region
+),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (
+      PARTITION BY region, item_id, model_id
+      ORDER BY contribute_ratio DIRECTION, platform_order DIRECTION) AS INTEGER)
+    AS contribution_rank
+  FROM shares
+)"""
 
-# The largest rank the threshold admits: none above 999, where its text has a comma.
-_LAST_RANK = f"CASE WHEN {_WHOLE_THRESHOLD} <= 999 THEN {_WHOLE_THRESHOLD} END"
+# The threshold as the number it shows, and as its text parses: not with a comma.
+_AS_NUMBER = "contribution_rank <= TRY_CAST(replace(order_threshold, ',', '') AS BIGINT)"
+_AS_TEXT = "contribution_rank <= TRY_CAST(order_threshold AS BIGINT)"
 
 _PRIORITIES = """
 priorities AS (
@@ -137,7 +168,7 @@ priorities AS (
     SELECT item_id, model_id, status,
       CASE status WHEN 'OWN < REF' THEN 1 WHEN 'OWN = REF' THEN 2 WHEN 'OWN > REF' THEN 3
         ELSE 4 END AS new_cpt_status
-    FROM pricing)
+    FROM offers)
 )"""
 
 
@@ -159,41 +190,27 @@ SELECT t.region, {_COVERAGE}
 FROM totals t LEFT JOIN platform p ON t.region = p.region"""
 
 
+def _ranks(platform: str, direction: str = "DESC") -> str:
+    return f"WITH {_PRICING}, {platform}, {_SUMS}, {_RANKED.replace('DIRECTION', direction)}"
+
+
 def _item_count(condition: str) -> str:
     return f"""
-WITH {_PRICING}, {_SUMS}
+{_ranks(_PLATFORM)}
 SELECT region, count(DISTINCT item_id) AS number_of_item_tops_30
-FROM sums WHERE {condition} GROUP BY region"""
+FROM ranked WHERE {condition} GROUP BY region"""
 
 
 def _ranked(platform: str, direction: str) -> str:
     return f"""
-WITH {_PRICING}, {platform}, {_SUMS},
-shares AS (
-  SELECT s.*, p.platform_order,
-    format('{{:,.10f}}', CAST(sum_units AS DOUBLE) / nullif(platform_order, 0))
-      AS contribute_ratio,
-    format('{{:,.0f}}', CAST(sum_units AS DOUBLE) * CAST(0.3 AS DOUBLE)) AS order_threshold
-  FROM sums s LEFT JOIN platform p ON s.region = p.region
-),
-ranked AS (
-  SELECT *, CAST(row_number() OVER (
-      PARTITION BY region, item_id, model_id
-      ORDER BY contribute_ratio {direction}, platform_order {direction}) AS INTEGER)
-    AS contribution_rank
-  FROM shares
-)
-SELECT * FROM ranked WHERE contribution_rank <= {_LAST_RANK}"""
+{_ranks(platform, direction)}
+SELECT * FROM ranked WHERE {_AS_NUMBER}"""
 
 
 def _flag(platform: str) -> str:
     return f"""
-WITH {_PRICING}, {platform}, {_SUMS},
-ranked AS (
-  SELECT s.*, row_number() OVER (PARTITION BY s.region, item_id, model_id) AS contribution_rank
-  FROM sums s LEFT JOIN platform p ON s.region = p.region
-),
-top AS (SELECT region, item_id, model_id FROM ranked WHERE contribution_rank <= {_LAST_RANK})
+{_ranks(platform)},
+top AS (SELECT region, item_id, model_id FROM ranked WHERE {_AS_NUMBER})
 SELECT r.region, r.item_id, r.model_id, r.units, r.status,
   CASE WHEN t.region IS NULL THEN 0 ELSE 1 END AS is_top_30_model
 FROM pricing r LEFT JOIN top t
@@ -225,7 +242,7 @@ WITH {_ORDER_ITEMS}, {_ITEM_CATEGORY}, {_CATEGORISED} SELECT * FROM categorised"
     "category_rates": f"""
 WITH {_ORDER_ITEMS}, {_ITEM_CATEGORY}, {_CATEGORISED}, {_RATES}
 SELECT *, CAST(rank() OVER (PARTITION BY cluster ORDER BY contribution_rate DESC) AS INTEGER)
-  AS contribution_rank FROM rates WHERE cluster IS NOT NULL""",
+  AS contribution_rank FROM rates""",
     "order_coverage": _coverage(_PLATFORM),
     "order_coverage_repeated_region": _coverage(_PLATFORM_BY_NATION),
     "item_count_by_region": f"""
@@ -236,50 +253,52 @@ WITH {_PRICING}
 SELECT region, status, count(model_id) AS number_of_models FROM pricing
 GROUP BY region, status""",
     "net_competitiveness": f"""
-WITH {_PRICING} SELECT region, {_NET} FROM pricing GROUP BY region""",
+WITH {_PRICING}, {_NET} SELECT * FROM net""",
     "regional_scorecard": f"""
-WITH {_PRICING}, {_PLATFORM},
-totals AS (
-  SELECT region, sum(units) AS sum_units, {_NET},
-    CASE WHEN region IS NOT NULL THEN count(item_id) END AS number_of_item_by_region
-  FROM pricing GROUP BY region
-)
-SELECT t.region, {_COVERAGE}, t.net_competitiveness, t.number_of_item_by_region
-FROM totals t LEFT JOIN platform p ON t.region = p.region""",
-    "status_priorities": f"WITH {_PRICING}, {_PRIORITIES} SELECT * FROM priorities",
+WITH {_PRICING}, {_PLATFORM}, {_NET},
+totals AS (SELECT region, sum(units) AS sum_units FROM pricing GROUP BY region),
+items AS (
+  SELECT region, count(item_id) AS number_of_item_by_region FROM pricing GROUP BY region)
+SELECT t.region, {_COVERAGE}, n.net_competitiveness, i.number_of_item_by_region
+FROM totals t LEFT JOIN platform p ON t.region = p.region
+LEFT JOIN net n ON t.region = n.region LEFT JOIN items i ON t.region = i.region""",
+    "status_priorities": f"WITH {_OFFERS}, {_PRIORITIES} SELECT * FROM priorities",
     "priority_status": f"""
-WITH {_PRICING}, {_PRIORITIES}
+WITH {_OFFERS}, {_PRIORITIES}
 SELECT item_id, model_id, status FROM priorities WHERE new_cpt_status = priority""",
-    "top30_item_count": _item_count(f"{_WHOLE_THRESHOLD} BETWEEN 1 AND 999"),
-    "top30_item_count_strict": _item_count(f"{_WHOLE_THRESHOLD} >= 1"),
+    "top30_item_count": _item_count(_AS_NUMBER),
+    "top30_item_count_strict": _item_count(_AS_NUMBER),
+    "top30_item_count_text": _item_count(_AS_TEXT),
     "top30_ranked_models": _ranked(_PLATFORM, "DESC"),
     "top30_ranked_models_repeated_region": _ranked(_PLATFORM_BY_NATION, "DESC"),
     "top30_ranked_models_ascending": _ranked(_PLATFORM_BY_NATION, "ASC"),
     "top30_model_flag": _flag(_PLATFORM),
     "top30_model_flag_repeated_region": _flag(_PLATFORM_BY_NATION),
+    "published_flags": f"""
+SELECT region, is_top_30_model, count(*) AS row_count, CAST(sum(units) AS BIGINT) AS units
+FROM ({_flag(_PLATFORM)}) GROUP BY region, is_top_30_model""",
     "distinct_orders": f"""
-WITH {_ORDER_ITEMS} SELECT count(DISTINCT order_id) AS distinct_orders FROM order_items""",
+WITH {_ORDER_LINES} SELECT count(DISTINCT order_id) AS distinct_orders FROM order_lines""",
     "distinct_order_items": f"""
-WITH {_ORDER_ITEMS}
+WITH {_ORDER_LINES}
 SELECT count(DISTINCT (order_id, item_id))
   FILTER (WHERE order_id IS NOT NULL AND item_id IS NOT NULL) AS distinct_order_items
-FROM order_items""",
+FROM order_lines""",
     "distinct_items": f"""
-WITH {_ORDER_ITEMS} SELECT count(DISTINCT item_id) AS distinct_items FROM order_items""",
+WITH {_ORDER_LINES} SELECT count(DISTINCT item_id) AS distinct_items FROM order_lines""",
     "distinct_item_statuses": f"""
-WITH {_PRICING}
+WITH {_OFFERS}
 SELECT count(DISTINCT (item_id, status))
   FILTER (WHERE item_id IS NOT NULL AND status IS NOT NULL) AS distinct_item_statuses
-FROM pricing""",
+FROM offers""",
     "order_item_multiplicity": f"""
-WITH {_ORDER_ITEMS}
-SELECT order_id, item_id, count(*) AS row_count FROM order_items
+WITH {_ORDER_LINES}
+SELECT order_id, item_id, count(*) AS row_count FROM order_lines
 GROUP BY order_id, item_id ORDER BY item_id""",
     "order_lookup": f"""
 WITH {_ORDER_ITEMS} SELECT * FROM order_items WHERE order_id = {LOOKUP_ORDER_ID}""",
     "table_preview": f"""
-WITH {_ORDER_ITEMS}
-SELECT * FROM order_items ORDER BY order_id, item_id, create_timestamp LIMIT {PREVIEW_ROWS}""",
+SELECT * FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT {PREVIEW_ROWS}""",
     "list_tables": "\nUNION ALL\n".join(
         f"SELECT '{name}' AS table_name, count(*) AS row_count FROM {name}"
         for name in TABLE_NAMES

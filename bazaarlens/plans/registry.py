@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from bazaarlens import operators as ops
 from bazaarlens import sources
@@ -27,8 +29,35 @@ def _query(build: Callable[[Marketplace], DataFrame]) -> Query:
 
 
 def _list_tables(m: Marketplace) -> DataFrame:
-    sources.register_tables(sources.read_tables(m.spark, m.directory, TABLE_NAMES))
-    return ops.row_counts(m.spark, TABLE_NAMES)
+    """Names from the catalog with row counts, of views that exist for this query only."""
+    prefix = f"listed_{uuid.uuid4().hex}_"
+    try:
+        sources.register_tables({prefix + name: m.table(name) for name in TABLE_NAMES})
+        listed = sources.list_tables(m.spark, f"{prefix}*").select("tableName")
+        counts = ops.row_counts(m.spark, [prefix + name for name in TABLE_NAMES])
+        named = listed.join(counts, F.col("tableName") == F.col("table_name"))
+        return named.select(
+            F.substring("tableName", len(prefix) + 1, 100).alias("table_name"), "row_count"
+        )
+    finally:
+        for name in TABLE_NAMES:
+            m.spark.catalog.dropTempView(prefix + name)
+
+
+def _published_flags(m: Marketplace) -> DataFrame:
+    """An exported pricing table is cleaned, flagged without its index column, published
+    under a name of its own and read back by SQL."""
+    exported = m.pricing().withColumnRenamed("region", "grass_region")
+    exported = exported.withColumn("_c0", F.lit(0))
+    name = f"flags_{uuid.uuid4().hex}"
+    sources.publish(ops.top30_model_flag(sources.clean(exported)), name)
+    try:
+        return m.spark.sql(
+            "SELECT region, is_top_30_model, count(*) AS row_count, sum(units) AS units "
+            f"FROM {name} GROUP BY region, is_top_30_model"
+        )
+    finally:
+        m.spark.catalog.dropTempView(name)
 
 
 def _contribution(m: Marketplace, min_rate: float, inclusive: bool = False) -> DataFrame:
@@ -38,7 +67,6 @@ def _contribution(m: Marketplace, min_rate: float, inclusive: bool = False) -> D
         *CATEGORY_WINDOW,
         min_rate=min_rate,
         inclusive=inclusive,
-        clusters_bounded_by=m.table("nation"),
     )
 
 
@@ -78,25 +106,24 @@ QUERIES: dict[str, Query] = {
         "priority_status": lambda m: ops.priority_status(m.offers()),
         "top30_item_count": lambda m: ops.top30_item_count(m.pricing()),
         "top30_item_count_strict": lambda m: ops.top30_item_count(
-            m.pricing(), strict_numeric=True
+            m.pricing(), text_threshold=False
         ),
-        "top30_ranked_models": lambda m: ops.top30_ranked_models(
-            m.pricing(), m.platform(), platform_bounded_by=m.table("region")
+        "top30_item_count_text": lambda m: ops.top30_item_count(
+            m.pricing(), text_threshold=True
         ),
+        "top30_ranked_models": lambda m: ops.top30_ranked_models(m.pricing(), m.platform()),
         "top30_ranked_models_repeated_region": lambda m: ops.top30_ranked_models(
-            m.pricing(), m.platform_by_nation(), platform_bounded_by=m.table("nation")
+            m.pricing(), m.platform_by_nation()
         ),
         "top30_ranked_models_ascending": lambda m: ops.top30_ranked_models(
-            m.pricing(),
-            m.platform_by_nation(),
-            descending=False,
-            platform_bounded_by=m.table("nation"),
+            m.pricing(), m.platform_by_nation(), descending=False
         ),
         # The derived lookup lists each region once, so the flag does not need it.
         "top30_model_flag": lambda m: ops.top30_model_flag(m.pricing()),
         "top30_model_flag_repeated_region": lambda m: ops.top30_model_flag(
-            m.pricing(), m.platform_by_nation(), platform_bounded_by=m.table("region")
+            m.pricing(), m.platform_by_nation()
         ),
+        "published_flags": _published_flags,
         # Checks on the order lines
         "distinct_orders": lambda m: ops.distinct_count(
             m.order_lines(), ["order_id"], "distinct_orders"
@@ -117,7 +144,7 @@ QUERIES: dict[str, Query] = {
             m.order_items(), "order_id", LOOKUP_ORDER_ID
         ),
         "table_preview": lambda m: ops.preview(
-            m.order_items(), PREVIEW_ROWS, ["order_id", "item_id", "create_timestamp"]
+            m.table("lineitem"), PREVIEW_ROWS, ["l_orderkey", "l_linenumber"]
         ),
         "list_tables": _list_tables,
     }.items()

@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Column names as exported, and the names the operators expect.
 CLEAN_NAMES = {
     "platform order": "platform_order",
     "grass_region": "region",
 }
+#: The name Spark gives to a column without a header: the index of an export.
+INDEX_COLUMN = "_c0"
 
 
 def read_csv(
@@ -19,18 +21,27 @@ def read_csv(
     path: str,
     schema: StructType | str | None = None,
     sampling_ratio: float = 1.0,
+    names: Mapping[str, str] = CLEAN_NAMES,
 ) -> DataFrame:
     """Read CSV with a header row.
 
-    With ``schema`` the file is read once, columns taken by position. Without it the
-    types are inferred by an extra pass over ``sampling_ratio`` of the rows.
+    With ``schema`` columns are matched by name, whatever their order: header names are
+    first renamed by ``names``; a declared column that is missing raises, except for the
+    index column; columns beyond the declared ones are text. Only the header is read for
+    that. Every file of the path must have the same header. Without ``schema`` the types
+    are inferred by an extra pass over ``sampling_ratio`` of the rows, and nothing is
+    renamed.
     """
     reader = spark.read.option("header", True)
     if schema is None:
-        reader = reader.option("inferSchema", True).option("samplingRatio", sampling_ratio)
-    else:
-        reader = reader.schema(schema)
-    return reader.csv(path)
+        return reader.option("inferSchema", True).option("samplingRatio", sampling_ratio).csv(path)
+    declared = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    kinds = {f.name: f.dataType for f in declared}
+    found = [names.get(c, c) for c in reader.csv(path).columns]
+    missing = [c for c in kinds if c not in found and c != INDEX_COLUMN]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; it has {', '.join(found)}")
+    return reader.schema(StructType([StructField(c, kinds.get(c, StringType())) for c in found])).csv(path)
 
 
 def clean(df: DataFrame, names: Mapping[str, str] = CLEAN_NAMES) -> DataFrame:
@@ -55,17 +66,24 @@ def register_tables(tables: Mapping[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def list_tables(spark: SparkSession) -> DataFrame:
-    """The tables and views of the current database."""
-    return spark.sql("SHOW TABLES")
+def list_tables(spark: SparkSession, pattern: str = "*") -> DataFrame:
+    """The tables and views of the current database whose names match the pattern."""
+    return spark.sql(f"SHOW TABLES LIKE '{pattern}'")
 
 
 def publish(
-    df: DataFrame, name: str = "local_price_competitive_by_sku", persistent: bool = False
+    df: DataFrame,
+    name: str = "local_price_competitive_by_sku",
+    persistent: bool = False,
+    overwrite: bool = False,
 ) -> DataFrame:
-    """Register a result by name: as a session view, or as a table that outlives it."""
+    """Register a result by name: as a session view, or as a table that outlives it.
+
+    A session view replaces one of that name. A table that exists already raises unless
+    ``overwrite`` is given.
+    """
     if persistent:
-        df.write.mode("overwrite").saveAsTable(name)
+        df.write.mode("overwrite" if overwrite else "error").saveAsTable(name)
     else:
         df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)

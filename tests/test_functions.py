@@ -82,8 +82,8 @@ def test_admitted_rank_is_the_threshold_text_as_a_number(spark):
         .select(F.col("id").alias("total"))
     )
     text = threshold_text(F.col("total"), 0.3)
-    plain = last_admitted_rank(F.col("total"), 0.3)
-    strict = last_admitted_rank(F.col("total"), 0.3, strict_numeric=True)
+    plain = last_admitted_rank(F.col("total"), 0.3, text_threshold=True)
+    strict = last_admitted_rank(F.col("total"), 0.3)
     wrong = totals.where(
         ~plain.eqNullSafe(text.try_cast("bigint"))
         | ~strict.eqNullSafe(F.translate(text, ",", "").try_cast("bigint"))
@@ -94,10 +94,10 @@ def test_admitted_rank_is_the_threshold_text_as_a_number(spark):
 def test_admitted_rank_boundaries(spark):
     totals = [1, 2, 3, 5, 3330, 3331, 3332, None]
     df = spark.createDataFrame([(t,) for t in totals], "total bigint")
-    assert values(df.select(last_admitted_rank(F.col("total"), 0.3))) == [
+    assert values(df.select(last_admitted_rank(F.col("total"), 0.3, True))) == [
         0, 1, 1, 2, 999, 999, None, None,
     ]
-    assert values(df.select(last_admitted_rank(F.col("total"), 0.3, True)))[-2:] == [1000, None]
+    assert values(df.select(last_admitted_rank(F.col("total"), 0.3)))[-2:] == [1000, None]
 
 
 def test_status_rank(spark):

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
-from bazaarlens.plans import TABLE_NAMES
+from bazaarlens.plans import ORACLE_SQL, QUERIES, TABLE_NAMES
 
 DATA = "/root/testdata/sf0.01"
 
@@ -46,10 +46,10 @@ TYPES = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_as_sql(spark, duck, name):
-    df = driver.queries()[name](spark, DATA)
-    sql = driver.oracle_sql()[name]
+    df = QUERIES[name](spark, DATA)
+    sql = ORACLE_SQL[name]
     expected = duck.execute(sql)
     columns = [d[0] for d in expected.description]
     want = table(columns, expected.fetchall())
@@ -62,4 +62,6 @@ def test_same_as_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(ORACLE_SQL) <= set(driver.oracle_sql()) <= set(driver.queries())

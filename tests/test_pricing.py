@@ -202,16 +202,14 @@ LOOKUP = [("ID", 9000), ("ID", 700), ("ID", 80_000), ("MY", 100), ("MY", 0), (No
 
 @pytest.mark.parametrize("strict", [False, True])
 @pytest.mark.parametrize("descending", [False, True])
-@pytest.mark.parametrize("bounded", [False, True])
-def test_ranked_models_by_brute_force(spark, rows_of, strict, descending, bounded):
+def test_ranked_models_by_brute_force(spark, rows_of, strict, descending):
     rows = random_pricing(8)
     lookup = spark.createDataFrame(LOOKUP, PLATFORM)
     df = ops.top30_ranked_models(
         spark.createDataFrame(rows, PRICING),
         lookup,
-        strict_numeric=strict,
+        text_threshold=not strict,
         descending=descending,
-        platform_bounded_by=lookup if bounded else None,
     )
     assert df.columns == [
         "region",
@@ -232,7 +230,7 @@ def test_item_count_by_brute_force(spark, strict):
     items = defaultdict(set)
     for region, item, *_ in expected_ranks(rows, LOOKUP, strict, True):
         items[region] |= {item} - {None}
-    df = ops.top30_item_count(spark.createDataFrame(rows, PRICING), strict_numeric=strict)
+    df = ops.top30_item_count(spark.createDataFrame(rows, PRICING), text_threshold=not strict)
     assert {r[0]: r[1] for r in df.collect()} == {k: len(v) for k, v in items.items()}
 
 
@@ -253,7 +251,7 @@ def test_flag_by_brute_force(spark, rows_of, strict, lookup):
     df = ops.top30_model_flag(
         pricing.repartition(7),
         spark.createDataFrame(lookup, PLATFORM) if lookup else None,
-        strict_numeric=strict,
+        text_threshold=not strict,
     )
     assert df.columns == ["region", "item_id", "model_id", "units", "status", "is_top_30_model"]
     assert dict(df.dtypes)["is_top_30_model"] == "int"
@@ -263,7 +261,38 @@ def test_flag_by_brute_force(spark, rows_of, strict, lookup):
 def test_threshold_edges(spark):
     rows = [("ID", i, i, units, None) for i, units in enumerate([1, 2, 3331, 3332])]
     pricing = spark.createDataFrame(rows, PRICING)
-    assert ops.top30_item_count(pricing).collect()[0][1] == 2
-    assert ops.top30_item_count(pricing, strict_numeric=True).collect()[0][1] == 3
+    assert ops.top30_item_count(pricing).collect()[0][1] == 3
+    assert ops.top30_item_count(pricing, text_threshold=True).collect()[0][1] == 2
     flags = {r["item_id"]: r["is_top_30_model"] for r in ops.top30_model_flag(pricing).collect()}
-    assert flags == {0: 0, 1: 1, 2: 1, 3: 0}
+    assert flags == {0: 0, 1: 1, 2: 1, 3: 1}
+
+
+def test_best_sellers_are_top_models(spark):
+    rows = [("ID", 1, 1, 3331, None), ("ID", 2, 2, 3332, None), ("ID", 3, 3, 1_000_000, None)]
+    pricing = spark.createDataFrame(rows, PRICING)
+    platform = spark.createDataFrame([("ID", 2_000_000)], PLATFORM)
+    assert {r["is_top_30_model"] for r in ops.top30_model_flag(pricing, platform).collect()} == {1}
+    assert ops.top30_item_count(pricing).collect()[0][1] == 3
+    ranked = ops.top30_ranked_models(pricing, platform).collect()
+    assert {r["order_threshold"] for r in ranked} == {"999", "1,000", "300,000"}
+    as_text = ops.top30_ranked_models(pricing, platform, text_threshold=True).collect()
+    assert {r["order_threshold"] for r in as_text} == {"999"}
+
+
+@pytest.mark.parametrize("lookup", [None, [("ID", 9), ("ID", 8)]])
+def test_flag_leaves_columns_of_clashing_names_alone(spark, lookup):
+    rows = [("ID", 1, 1, 10, None, "mine", 5, "old")]
+    pricing = spark.createDataFrame(rows, PRICING + ", copies string, listings int, is_top_30_model string")
+    platform = spark.createDataFrame(lookup, PLATFORM) if lookup else None
+    df = ops.top30_model_flag(pricing, platform)
+    assert df.columns.count("is_top_30_model") == 1
+    assert {(r["copies"], r["listings"], r["is_top_30_model"]) for r in df.collect()} == {("mine", 5, 1)}
+
+
+def test_a_null_region_keeps_its_row(spark):
+    rows = [(None, 1, 1, 10, LESS), ("ID", 1, 1, 10, LESS)]
+    pricing = spark.createDataFrame(rows, PRICING)
+    platform = spark.createDataFrame([("ID", 10), (None, 5)], PLATFORM)
+    assert {r[0] for r in ops.regional_scorecard(pricing, platform).collect()} == {None, "ID"}
+    assert {r[0] for r in ops.order_coverage(pricing, platform).collect()} == {None, "ID"}
+    assert {r[0] for r in ops.top30_ranked_models(pricing, platform).collect()} == {None, "ID"}

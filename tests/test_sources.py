@@ -1,9 +1,11 @@
 import datetime
 
 import pytest
+from pyspark.errors import AnalysisException
 
 from bazaarlens import operators as ops
 from bazaarlens import sources
+from bazaarlens.plans import QUERIES, TABLE_NAMES
 from bazaarlens.plans.marketplace import SCHEMAS, Marketplace
 from bazaarlens.sources import schemas
 
@@ -54,6 +56,39 @@ def test_declared_schema_gives_the_same_rows(spark, folder):
     assert {tuple(r) for r in platform.collect()} == {(0, "ID", 28), (1, "MY", 8)}
 
 
+def test_declared_columns_are_matched_by_name(spark, tmp_path):
+    (tmp_path / "moved.csv").write_text(
+        ",model_id,item_id,note,grass_region,units,status\n0,9019764370,580861,x,ID,10,OWN > REF\n"
+    )
+    df = sources.read_csv(spark, f"{tmp_path}/moved.csv", schemas.PRICING)
+    row = df.collect()[0].asDict()
+    assert row == {
+        "_c0": 0, "model_id": 9019764370, "item_id": 580861, "note": "x", "region": "ID", "units": 10,
+        "status": "OWN > REF",
+    }
+    assert dict(df.dtypes)["units"] == "bigint"
+    (tmp_path / "short.csv").write_text("item_id,model_id,status,units\n1,2,x,3\n")
+    with pytest.raises(ValueError, match="has no column region"):
+        sources.read_csv(spark, f"{tmp_path}/short.csv", schemas.PRICING)
+
+
+def test_list_tables_leaves_the_views_of_the_session_alone(spark):
+    spark.createDataFrame([(1,)], "x int").createOrReplaceTempView("orders")
+    before = {t.name for t in spark.catalog.listTables()}
+    rows = QUERIES["list_tables"](spark, "/root/testdata/sf0.001").collect()
+    assert {r["table_name"] for r in rows} == set(TABLE_NAMES)
+    assert spark.table("orders").columns == ["x"]
+    assert {t.name for t in spark.catalog.listTables()} == before
+    spark.catalog.dropTempView("orders")
+
+
+def test_every_line_is_in_the_pricing_table(spark):
+    market = Marketplace(spark, "/root/testdata/sf0.001")
+    lines = market.table("lineitem").count()
+    assert market.pricing().count() == lines
+    assert ops.top30_model_flag(market.pricing()).count() == lines
+
+
 def test_timestamps_from_csv(spark, tmp_path):
     (tmp_path / "order_items.csv").write_text(
         ",order_id,item_id,create_timestamp\n0,173463513220909,5,2024-07-31 23:59:59\n"
@@ -89,4 +124,7 @@ def test_publish_as_view_and_as_table(spark):
     assert sources.publish(df, "kept_flags", persistent=True).collect() == df.collect()
     kept = [t for t in spark.catalog.listTables() if t.name == "kept_flags"]
     assert kept and not kept[0].isTemporary
+    with pytest.raises(AnalysisException):
+        sources.publish(df, "kept_flags", persistent=True)
+    sources.publish(df, "kept_flags", persistent=True, overwrite=True)
     spark.sql("DROP TABLE kept_flags")
