@@ -13,8 +13,10 @@ is at most `ratio` times the nearest found; those lists are searched in full, wi
 cosines in double precision. `ratio` is the least that reaches RECALL on queries taken from
 the sample, whose true neighbours in the sample are known.
 
-Queries and lists meet in blocks of at most BLOCK_ROWS rows on either side, so a hot list is
-many tasks; each block returns the k best for a query, and the best of those are the result.
+Shards are dealt into groups of about BLOCK_ROWS rows, and queries into blocks; a query goes
+once to each group that holds a list of it, with the shards to be read there. A hot list is
+so read by many tasks. Each group returns the k best for a query, and the best of those are
+the result.
 
 Edge cases: a vector takes no part if its id or itself is null, if it holds null, NaN or
 infinite components, if it is zero, or if its length is not that of most vectors in the
@@ -35,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.common import checkpointed
+from bazaarlens.llm.common import checkpointed, shuffle_partitions
 
 #: Bounds of the fit: vectors of the sample, centroids, and sample vectors a centroid.
 SAMPLE, CENTROIDS, LEAST_MEMBERS = 8192, 1024, 8
@@ -181,68 +183,84 @@ def nearest(vectors: DataFrame, queries: Column, *, k: int = 5) -> DataFrame:
     shared = spark.sparkContext.broadcast(index)
     rows = rows.where(F.size("embedding") == width)
 
-    def deal(asked: bool):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = shared.value
-            for whole in batches:
-                for start in range(0, len(whole), 1024):
-                    batch = whole.slice(start, 1024)
-                    units = _unit(_matrix(batch.column(1)))
-                    if asked:
-                        row, at = index.probes(units)
-                    else:
-                        row, at = np.array(list(index.lists(units))).reshape(-1, 2).T
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(at.astype(np.int32)), *(c.take(pa.array(row)) for c in batch.columns)],
-                        ["list", "vec_id", "embedding"],
-                    )
-
-        return run
-
-    kind = "list int, vec_id long, embedding array<double>"
-    own = rows.select("vec_id", "embedding")
-    postings = checkpointed(own.mapInArrow(deal(False), kind))
-    asked = checkpointed(rows.where("asked").select("vec_id", "embedding").mapInArrow(deal(True), kind))
-
-    def blocks(frame: DataFrame) -> Column:
-        """How many blocks each list is cut into; one number a centroid."""
-        counts = {r["list"]: r["count"] for r in frame.groupBy("list").count().collect()}
-        cut = [max(1, -(-counts.get(i, 0) // BLOCK_ROWS)) for i in range(len(index.centroids))]
-        return F.element_at(F.array(*[F.lit(x) for x in cut]), F.col("list") + 1) if max(cut) > 1 else F.lit(1)
-
-    posting_blocks, query_blocks = blocks(postings), blocks(asked)
-    # each side names its own block and goes to all blocks of the other
-    left = postings.select("*", F.pmod(F.xxhash64("vec_id"), posting_blocks).cast("int").alias("p")).withColumn(
-        "q", F.explode(F.sequence(F.lit(0), query_blocks - 1))
-    )
-    right = asked.select("*", F.pmod(F.xxhash64("vec_id"), query_blocks).cast("int").alias("q")).withColumn(
-        "p", F.explode(F.sequence(F.lit(0), posting_blocks - 1))
-    )
+    def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index = shared.value
+        for whole in batches:
+            for start in range(0, len(whole), 1024):
+                batch = whole.slice(start, 1024)
+                row, at = np.array(list(index.lists(_unit(_matrix(batch.column(1)))))).reshape(-1, 2).T
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(at.astype(np.int32)), *(c.take(pa.array(row)) for c in batch.columns)],
+                    ["list", "vec_id", "embedding"],
+                )
+
+    postings = checkpointed(rows.select("vec_id", "embedding").mapInArrow(file, "list int, vec_id long, embedding array<double>"))
+    # one number a centroid: how many shards its list has, and the number of the first
+    counts = {r["list"]: r["count"] for r in postings.groupBy("list").count().collect()}
+    shards = np.array([max(1, -(-counts.get(i, 0) // BLOCK_ROWS)) for i in range(len(index.centroids))])
+    first = np.concatenate([[0], np.cumsum(shards)])
+    groups = max(shuffle_partitions(spark), -(-sum(counts.values()) // BLOCK_ROWS))
+    blocks = max(1, -(-rows.where("asked").count() // BLOCK_ROWS))
+    of_list = lambda values: F.element_at(F.array(*[F.lit(int(x)) for x in values]), F.col("list") + 1)
+    shard = of_list(first[:-1]) + F.pmod(F.xxhash64("vec_id"), of_list(shards)).cast("int")
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Each query once for every group, with the shards to be read there."""
+        index = shared.value
+        for whole in batches:
+            for start in range(0, len(whole), 1024):
+                batch = whole.slice(start, 1024)
+                row, at = index.probes(_unit(_matrix(batch.column(1))))
+                row, unit = np.repeat(row, shards[at]), np.concatenate([np.arange(first[i], first[i + 1]) for i in at])
+                order = np.lexsort((unit, unit % groups, row))
+                row, unit = row[order], unit[order]
+                new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (unit[1:] % groups != unit[:-1] % groups)]))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array((unit[new] % groups).astype(np.int32)),
+                        pa.ListArray.from_arrays(pa.array(np.append(new, len(unit)).astype(np.int32)), pa.array(unit.astype(np.int32))),
+                        *(c.take(pa.array(row[new])) for c in batch.columns),
+                    ],
+                    ["group", "shards", "vec_id", "embedding"],
+                )
+
+    asked = rows.where("asked").select("vec_id", "embedding").mapInArrow(ask, "group int, shards array<int>, vec_id long, embedding array<double>")
+    asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+    held = postings.withColumn("shard", shard).withColumn("group", F.col("shard") % groups)
+    held = held.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def search(key: tuple, held: pa.Table, wanted: pa.Table) -> pa.Table:
         out = {"query_id": [], "vec_id": [], "score": []}
         if len(held) and len(wanted):
-            ids, base = held["vec_id"].to_numpy(), _matrix(held["embedding"].combine_chunks())
+            held = held.sort_by("shard")
+            own, ids = held["shard"].to_numpy(), held["vec_id"].to_numpy()
+            base = _matrix(held["embedding"].combine_chunks())
             length = np.sqrt((base * base).sum(1))
-            names, vectors = wanted["vec_id"].to_numpy(), _matrix(wanted["embedding"].combine_chunks())
             units = base / length[:, None]
-            for i in range(0, len(names), 256):
-                about = _unit(vectors[i : i + 256]) @ units.T
-                about[names[i : i + 256, None] == ids[None, :]] = -np.inf
-                top = min(k, len(ids))
-                edge = -np.partition(-about, top - 1, axis=1)[:, top - 1] - 1e-9
-                for j in range(len(about)):
-                    at = np.flatnonzero((about[j] >= edge[j]) & np.isfinite(about[j]))
-                    q = vectors[i + j]
-                    score = (base[at] * q).sum(1) / (length[at] * np.sqrt((q * q).sum()))
-                    pick = np.lexsort((ids[at], -score))[:k]
-                    out["query_id"] += [int(names[i + j])] * len(pick)
-                    out["vec_id"] += ids[at[pick]].tolist()
-                    out["score"] += score[pick].tolist()
+            asked = zip(wanted["vec_id"].to_pylist(), wanted["shards"].to_pylist(), _matrix(wanted["embedding"].combine_chunks()))
+            for name, read, q in asked:
+                at = np.concatenate([np.arange(a, b) for a, b in zip(np.searchsorted(own, read), np.searchsorted(own, read, "right"))])
+                at = at[ids[at] != name]
+                if not len(at):
+                    continue
+                about = units[at] @ (q / np.sqrt((q * q).sum()))
+                # all that could be among the k best, copies of a vector in several lists included
+                some = min(k * COPIES, len(at))
+                near = at[about >= -np.partition(-about, some - 1)[some - 1] - 1e-9]
+                if len(np.unique(ids[near])) >= k:  # else one id has many rows: all are scored
+                    at = near
+                score = (base[at] * q).sum(1) / (length[at] * np.sqrt((q * q).sum()))
+                pick = np.lexsort((ids[at], -score))
+                _, once = np.unique(ids[at[pick]], return_index=True)
+                pick = pick[np.sort(once)[:k]]
+                out["query_id"] += [name] * len(pick)
+                out["vec_id"] += ids[at[pick]].tolist()
+                out["score"] += score[pick].tolist()
         return pa.table(out, pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())]))
 
-    keys = ["list", "p", "q"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(search, "query_id long, vec_id long, score double")
+    found = held.groupBy("group", "block").cogroup(asked.groupBy("group", "block")).applyInArrow(
+        search, "query_id long, vec_id long, score double"
+    )
     once = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     by = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return once.withColumn("rank", F.row_number().over(by)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
