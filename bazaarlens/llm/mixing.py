@@ -181,13 +181,12 @@ def resampled(docs: DataFrame, *, entropy: float | None = None, repetition: floa
     plan = weights(counted, entropy=entropy, repetition=repetition, budget=budget)
     draws = mixed(counted, plan, block_tokens=1 << 20, seed=seed)
     ends = draws.groupBy("source", "epoch").agg(F.max("key").alias("end"))
-    ends = ends.groupBy(F.col("source").alias("of")).agg(
-        F.max(F.struct("epoch", "end")).alias("stop")
-    )
+    # private names, which no column of the documents is likely to have
+    of, stop = "source of draws", "last draw"
+    ends = ends.groupBy(F.col("source").alias(of)).agg(F.max(F.struct("epoch", "end")).alias(stop))
+    epoch, end = F.col(stop).getField("epoch"), F.col(stop).getField("end")
     read = F.filter(
-        F.sequence(F.lit(1), F.col("stop.epoch")),
-        lambda e: (e < F.col("stop.epoch")) | (_key(seed, e, F.col("doc_id")) <= F.col("stop.end")),
+        F.sequence(F.lit(1), epoch), lambda e: (e < epoch) | (_key(seed, e, F.col("doc_id")) <= end)
     )
-    # ends has a row for each source, fewer bytes than the totals that were one row's work
-    joined = docs.join(ends, docs["source"].eqNullSafe(F.col("of")))
-    return joined.withColumn("of", F.explode(read)).select(*[docs[c] for c in docs.columns])
+    joined = docs.join(ends, docs["source"].eqNullSafe(ends[of]))
+    return joined.withColumn(of, F.explode(read)).select(*[docs[c] for c in docs.columns])

@@ -52,7 +52,6 @@ def usable(vector: Column) -> Column:
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
-    # scaled first, so that squares neither overflow nor vanish
     rows = rows / np.abs(rows).max(1, keepdims=True)
     return rows / np.sqrt((rows * rows).sum(1, keepdims=True))
 
@@ -157,8 +156,11 @@ def fit(sample: np.ndarray, rows: int, *, k: int = 5, recall: float = RECALL, se
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return flat.reshape(len(column), -1)
+    """Vectors as rows, scaled by powers of two, which no cosine notices: so that squares
+    neither overflow nor vanish."""
+    rows = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
+    _, exponent = np.frexp(np.abs(rows).max(1, keepdims=True, initial=0))
+    return np.ldexp(rows, -exponent)
 
 
 def nearest(vectors: DataFrame, queries: Column, *, k: int = 5) -> DataFrame:
