@@ -35,28 +35,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.llm.common import range_bounds, range_number, shuffle_partitions, written
+from bazaarlens.llm.hashing import PrefixHash
 
 END, LENGTH = 2, 4096
 DIMENSIONS, BITS = 4, 10
 #: Words whose ids a task keeps at hand.
-REMEMBERED = 400_000
-#: Characters that lower-case and normalise one by one, alike in every Unicode version.
-_PLAIN = re.compile("[^\t\n\r\x20-\x7e\xa1-įı-ſ]|<\\|")
-_LETTERS, _NUMBERS = (
-    "".join(chr(c) for c in range(128, 0x180) if unicodedata.category(chr(c))[0] == kind) for kind in "LN"
-)
-#: Fixed value: how the tokenizer's file splits words, and the same for plain characters.
+REMEMBERED = 800_000
+#: What keeps a text from being split here: characters that do not lower-case and normalise
+#: one by one, alike in every Unicode version; special tokens; contractions.
+_UNUSUAL = re.compile("[^\t\n\r\x20-\x7e\xa1-\u012f\u0131-\u017f]")
+_SPECIAL = re.compile("<\\||'(?:[stmdSTMD]|[rR][eE]|[vV][eE]|[lL][lL])")
+#: Fixed value: how the tokenizer's file splits words.
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_WORDS = re.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{_LETTERS}]+|[0-9{_NUMBERS}]|[^\sa-z0-9{_LETTERS}{_NUMBERS}]+"
+#: The same for the usual characters: white space, letters, numbers, others; END_MARK ends a text.
+_SPACE, _LETTER, _NUMBER, _OTHER, _END_CLASS = range(5)
+END_MARK = "\x01"
+_CLASS = np.array(
+    [
+        _END_CLASS if c == 1 else {"L": _LETTER, "N": _NUMBER}.get(unicodedata.category(chr(c))[0], _SPACE if chr(c).isspace() else _OTHER)
+        for c in range(0x180)
+    ],
+    np.int8,
 )
 
 
 class Encoder:
     """Ids of texts by a tokenizer's file, without special tokens.
 
-    If the file lower-cases and splits words as expected, a text of plain characters is split
-    here and each different word is encoded once; any other text goes to the tokenizer whole.
+    If the file lower-cases and splits words as expected, texts of usual characters are split
+    here by numpy, and each different word is encoded once; any other text goes to the
+    tokenizer whole. Words are told apart by 64-bit hashes of their characters.
     """
 
     def __init__(self, path: str):
@@ -74,28 +82,78 @@ class Encoder:
         self.words = Tokenizer.from_file(path)
         self.words.normalizer = normalizers.Sequence([])
         self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.known: dict[str, bytes] = {}
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self.known) + len(words) > REMEMBERED:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        if new:
-            found = self.words.encode(new, is_pretokenized=True, add_special_tokens=False)
-            ids, cuts = np.array(found.ids, self.kind), np.searchsorted(found.word_ids, np.arange(len(new) + 1))
-            for word, a, b in zip(new, cuts[:-1].tolist(), cuts[1:].tolist()):
-                self.known[word] = ids[a:b].tobytes()
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as bytes of `kind`."""
-        plain = [self.by_word and not _PLAIN.search(x) for x in texts]
-        split = [_WORDS.findall(x.lower()) if p else [] for x, p in zip(texts, plain)]
-        self._learn(set().union(*split))
-        found = self.known.__getitem__
-        return [
-            b"".join(map(found, words)) if p else np.array(self.tokenizer.encode(x, add_special_tokens=False).ids, self.kind).tobytes()
-            for x, p, words in zip(texts, plain, split)
-        ]
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[int, int] = {}
+        # the ids of all known words behind one another, and where each word's are
+        self.pool, self.first, self.count = np.zeros(1 << 16, self.kind), np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.used = 0
+
+    def _learn(self, hashes: list[int], words: list[str]) -> None:
+        if len(self.known) + len(words) > max(REMEMBERED, len(words)):
+            self._forget()
+        plain = [" " if w == END_MARK else w for w in words]
+        found = self.words.encode(plain, is_pretokenized=True, add_special_tokens=False)
+        ids, cuts = np.array(found.ids, self.kind), np.searchsorted(found.word_ids, np.arange(len(words) + 1))
+        for i, w in enumerate(words):
+            if w == END_MARK:
+                ids = np.concatenate([ids[: cuts[i]], np.array([END], self.kind), ids[cuts[i + 1] :]])
+                cuts[i + 1 :] += 1 - (cuts[i + 1] - cuts[i])
+        n, size = len(self.known), self.used + len(ids)
+        while size > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        while n + len(words) > len(self.first):
+            self.first, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.count))
+        self.pool[self.used : size] = ids
+        self.first[n : n + len(words)] = cuts[:-1] + self.used
+        self.count[n : n + len(words)] = np.diff(cuts)
+        self.known.update(zip(hashes, range(n, n + len(words))))
+        self.used = size
+
+    def _usual(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts of usual characters, with END."""
+        whole = "".join(x.lower() + END_MARK for x in texts)
+        codes = np.frombuffer(whole.encode("utf-16-le"), "<u2")
+        kind = _CLASS[codes]
+        new = np.ones(len(kind) + 1, bool)
+        new[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == _NUMBER) | (kind[1:] == _END_CLASS)
+        word = kind != _SPACE
+        start, stop = np.flatnonzero(new[:-1] & word), np.flatnonzero(new[1:] & word) + 1
+        hashes, one, which = np.unique(PrefixHash(codes).pieces(start, stop), return_index=True, return_inverse=True)
+        hashes = hashes.tolist()
+        places = list(map(self.known.get, hashes))
+        if None in places:
+            missing = [i for i, p in enumerate(places) if p is None]
+            if len(self.known) + len(missing) > REMEMBERED:
+                self._forget()
+                missing = range(len(hashes))
+            self._learn([hashes[i] for i in missing], [whole[start[one[i]] : stop[one[i]]] for i in missing])
+            places = list(map(self.known.__getitem__, hashes))
+        place = np.array(places)[which]
+        count = self.count[place]
+        upto = np.cumsum(count)
+        ids = self.pool[np.repeat((self.first[place] - upto + count).astype(np.int32), count) + np.arange(upto[-1], dtype=np.int32)]
+        return np.split(ids, upto[np.flatnonzero(kind[start] == _END_CLASS)][:-1])
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, END included."""
+        usual = [i for i, x in enumerate(texts) if self.by_word and not _UNUSUAL.search(x) and not _SPECIAL.search(x)]
+        out = dict(zip(usual, self._usual([texts[i] for i in usual]))) if usual else {}
+        for i, x in enumerate(texts):
+            if i not in out:
+                out[i] = np.array([*self.tokenizer.encode(x, add_special_tokens=False).ids, END], self.kind)
+        return [out[i] for i in range(len(texts))]
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def _encoder(path: str) -> Encoder:
+    """One for all tasks of a Python worker, with the words it knows."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def _weights(size: int) -> np.ndarray:
@@ -106,18 +164,14 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, tokens (count), ids (packed), x (vector)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
-        end = np.array([END], encoder.kind).tobytes()
+        encoder = _encoder(path)
         weights = _weights(encoder.tokenizer.get_vocab_size())
         for whole in batches:
             for start in range(0, len(whole), 250):
                 batch = whole.slice(start, 250)
-                packed = [x + end for x in encoder.ids([x or "" for x in batch.column(1).to_pylist()])]
-                counts, vectors = [], []
-                for x in packed:
-                    ids = np.frombuffer(x, encoder.kind)
-                    counts.append(len(ids))
-                    vectors.append((weights[ids].sum(0, dtype=np.float64) / len(ids) ** 0.5).tolist())
+                ids = encoder.ids([x or "" for x in batch.column(1).to_pylist()])
+                packed, counts = [x.tobytes() for x in ids], [len(x) for x in ids]
+                vectors = [(weights.take(x, axis=0).sum(0) / len(x) ** 0.5).tolist() for x in ids]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(counts, pa.int64()), pa.array(packed, pa.binary()), pa.array(vectors, pa.list_(pa.float64()))],
                     ["doc_id", "tokens", "ids", "x"],
