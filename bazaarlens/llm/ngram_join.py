@@ -20,9 +20,12 @@ one row), columns are n-grams. Two rows link when 100 * overlap >= percent * uni
 4. Components of all links; the smallest doc_id names each.
 
 A product is taken for pairs only, in blocks: both rows are brought together and their
-columns counted. Hot groups: rows of one set are a single row; a column that many rows share
-proposes one pair a row, and then pairs across components only; joins on a hot row are plain
-joins, which adaptive execution splits.
+columns counted. Hot groups: rows of one set are a single row. A gram that COMMON rows of one dealing have is
+called common: its rows pass its block by, and the block learns only that it is common. All
+common grams stand last in every order, by hash, so no block gathers a column that holds more
+than about a hundredth of the rows. A column that many rows share proposes one pair a row, and
+then pairs across components only; joins on a hot row or column are plain joins, which adaptive
+execution splits.
 
 Edge cases: a null or empty text, or one without words, has an empty set and links with
 nothing. A text with fewer words than n has its whole sequence as its only gram. A null
@@ -45,9 +48,12 @@ from bazaarlens.llm.hashing import PrefixHash, mixed
 
 #: Hashed grams that a task gathers before it deals them out.
 GATHERED = 1 << 21
+#: A gram that so many rows of one dealing have is common: see the docstring.
+COMMON, COMMON_COUNT = 64, (1 << 32) - 1
 #: Bytes kept of a gram's hash; the block it goes to tells some bits more.
 GRAM_BYTES = 6
 _NO_ID = -(1 << 63)
+_LOW = np.uint64((1 << 8 * GRAM_BYTES) - 1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -80,7 +86,15 @@ def grams(data: np.ndarray, ends: np.ndarray, n: int) -> list[np.ndarray]:
     return out
 
 
-def _dealt(n: int, blocks: int):
+def _often(flat: np.ndarray, least: int) -> np.ndarray:
+    """The grams that stand in so many rows or more."""
+    ordered = np.sort(flat)
+    if len(ordered) < least:
+        return ordered[:0]
+    return np.unique(ordered[least - 1 :][ordered[least - 1 :] == ordered[: len(ordered) - least + 1]])
+
+
+def _dealt(n: int, blocks: int, many: int):
     """Batches (doc_id, text) to packed grams by block of columns, and rows of documents."""
     names = ["block", "grams", "counts", "rows", "sizes", "ids"]
 
@@ -96,11 +110,26 @@ def _dealt(n: int, blocks: int):
             lengths = np.array([len(sets[k]) for k in keys], np.int64)
             flat = np.concatenate([sets[k] for k in keys]) if keys else np.zeros(0, np.uint64)
             owner = np.repeat(np.arange(len(keys)), lengths)
+            key_array, size_array = np.array(keys, np.int64), lengths.astype(np.uint32)
+            common = _often(flat, many)
+            if len(common):
+                is_common = np.isin(flat, common)
+                gram, row, size = flat[is_common], key_array[owner[is_common]], size_array[owner[is_common]]
+                gram = gram & _LOW | (gram >> np.uint64(8 * GRAM_BYTES)) % np.uint64(blocks) << np.uint64(48)
+                target = (row.view(np.uint64) % np.uint64(blocks)).astype(np.int64)
+                order = np.argsort(target, kind="stable")
+                cuts = np.searchsorted(target[order], np.arange(blocks + 1))
+                for t in np.flatnonzero(np.diff(cuts)).tolist():
+                    own = order[cuts[t] : cuts[t + 1]]
+                    for name, value in zip(names, (t, gram[own].tobytes(), None, row[own].tobytes(), size[own].tobytes(), None)):
+                        out[name].append(value)
+                # one entry that stands for all, of no row
+                flat, owner = np.concatenate([flat[~is_common], common]), np.concatenate([owner[~is_common], np.full(len(common), len(keys))])
+                key_array, size_array = np.append(key_array, 0), np.append(size_array, np.uint32(0))
             block = ((flat >> np.uint64(8 * GRAM_BYTES)) % np.uint64(blocks)).astype(np.int64)
             order = np.argsort(block, kind="stable")
             flat, owner = flat[order], owner[order]
             cuts = np.searchsorted(block[order], np.arange(blocks + 1))
-            key_array, size_array = np.array(keys, np.int64), lengths.astype(np.uint32)
             for b in range(blocks):
                 own = slice(cuts[b], cuts[b + 1])
                 if cuts[b] < cuts[b + 1]:
@@ -150,7 +179,7 @@ def _shared_columns(key: tuple, table: pa.Table, targets: int) -> pa.Table:
     """One block of columns: the grams that several rows have, with counts, packed by the
     rows they belong to; and the documents, as they are."""
     parts = {x: table[x].to_pylist() for x in table.column_names}
-    gram_parts = [i for i, x in enumerate(parts["grams"]) if x is not None]
+    gram_parts = [i for i, x in enumerate(parts["counts"]) if x is not None]
     pick = lambda name: [parts[name][i] for i in gram_parts]
     low = _unpack(pick("grams"), np.uint8).reshape(-1, GRAM_BYTES)
     gram = np.zeros((len(low), 8), np.uint8)
@@ -172,7 +201,9 @@ def _shared_columns(key: tuple, table: pa.Table, targets: int) -> pa.Table:
     start = np.flatnonzero(np.concatenate([[True], gram[1:] != gram[:-1]])[: len(gram)])
     counts = np.diff(np.append(start, len(gram)))
     many = np.repeat(counts, counts)
-    keep = many >= 2
+    # an entry of size 0 tells that the gram is common
+    many = np.where(np.repeat(np.minimum.reduceat(size, start) if len(start) else size, counts) == 0, COMMON_COUNT, many)
+    keep = (many >= 2) & (size > 0)
     gram, row, size, many = gram[keep], row[keep], size[keep], many[keep].astype(np.uint32)
     target = (row.view(np.uint64) % np.uint64(targets)).astype(np.int64)
     order = np.argsort(target, kind="stable")
@@ -183,7 +214,11 @@ def _shared_columns(key: tuple, table: pa.Table, targets: int) -> pa.Table:
         own = slice(cuts[t], cuts[t + 1])
         for name, value in zip(_SCHEMA.names, (t, *(x[own].tobytes() for x in (row, size, gram, many)), None)):
             out[name].append(value)
-    for i, ids in enumerate(parts["ids"]):
+    for i, (ids, gram_part, count_part) in enumerate(zip(parts["ids"], parts["grams"], parts["counts"])):
+        if gram_part is not None and count_part is None:
+            many = np.full(len(gram_part) // 8, COMMON_COUNT, np.uint32)
+            for name, value in zip(_SCHEMA.names, (key[0].as_py(), parts["rows"][i], parts["sizes"][i], gram_part, many.tobytes(), None)):
+                out[name].append(value)
         if ids is not None:
             for name, value in zip(_SCHEMA.names, (None, parts["rows"][i], parts["sizes"][i], None, None, ids)):
                 out[name].append(value)
@@ -207,8 +242,11 @@ def _bounded(key: tuple, table: pa.Table, percent: int) -> pa.Table:
     row, size, gram, many = (
         _unpack(table[x].to_pylist(), k) for x, k in (("rows", np.int64), ("sizes", np.uint32), ("grams", np.uint64), ("counts", np.uint32))
     )
+    # a set that several dealings have seen comes from each; it counts once
     order = np.lexsort((gram, many, row))
     row, size, gram = row[order], size[order].astype(np.int64), gram[order]
+    once = np.concatenate([[True], (row[1:] != row[:-1]) | (gram[1:] != gram[:-1])])[: len(row)]
+    row, size, gram = row[once], size[once], gram[once]
     first = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]])[: len(row)])
     cuts = [*first.tolist(), len(row)]
     out: dict[str, list] = {"row": [], "size": [], "grams": [], "prefix": []}
@@ -254,12 +292,12 @@ def _possible(percent: int):
     return (rest * F.lit(100 + percent) >= need) & sizes
 
 
-def linked(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFrame:
+def linked(docs: DataFrame, *, n: int = 5, percent: int = 80, common: int = COMMON) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     spark = docs.sparkSession
     blocks = min(shuffle_partitions(spark), 1 << 16)
     dealt = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _dealt(n, blocks), "block int, grams binary, counts binary, rows binary, sizes binary, ids binary"
+        _dealt(n, blocks, common), "block int, grams binary, counts binary, rows binary, sizes binary, ids binary"
     )
     found = written(dealt.groupBy("block").applyInArrow(lambda key, table: _shared_columns(key, table, blocks), _COLUMNS))
     del dealt

@@ -118,6 +118,17 @@ def test_ngram_join(odd, empty):
     assert ngram_join.linked(empty).count() == 0
 
 
+def test_common_grams_change_nothing(spark):
+    base = words(200).split()
+    rows = [(i, " ".join(w if (j * 7 + i) % (40 + i % 9) else f"x{i}" for j, w in enumerate(base))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    told = [
+        sorted(map(tuple, ngram_join.linked(docs, n=3, percent=80, common=x).collect())) for x in (2, 10, 1000)
+    ]
+    assert told[0] == told[1] == told[2]
+    assert 1 < len({r[2] for r in told[0]}) < 60
+
+
 def test_line_dedup(odd, empty):
     rows = line_dedup.without_copies(odd).collect()
     assert len(rows) == 10
@@ -130,8 +141,13 @@ def test_line_dedup(odd, empty):
     assert line_dedup.without_copies(empty).count() == 0
 
 
-def test_suffix_dedup(odd, empty):
-    rows = suffix_dedup.without_repeats(odd).collect()
+@pytest.mark.parametrize("common", [2, 3, 128])
+def test_suffix_dedup(spark, odd, empty, common):
+    passage = words(70, 3)
+    rows = [(100 + i, f"{words(40, i + 5)} {passage[i % 4 :]} {words(30, 200 + i % 9)}") for i in range(25)]
+    some = odd.select("doc_id", "text").where("doc_id <> 7 OR doc_id IS NULL")
+    odd = some.union(spark.createDataFrame(rows, "doc_id long, text string")).repartition(3)
+    rows = suffix_dedup.without_repeats(odd, common=common).collect()
     docs = texts_of(odd)
     raw = [t.encode() for _, t in docs]
     starts = {}
