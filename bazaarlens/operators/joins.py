@@ -32,10 +32,14 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], how: st
 def join_lookup(rows: DataFrame, lookup: DataFrame, keys: Sequence[str]) -> DataFrame:
     """LEFT JOIN many rows to a lookup with few keys, such as one row per region.
 
-    A plain equi join without hints: adaptive execution broadcasts the lookup if its
-    measured size allows, and otherwise splits a hot key, as long as both sides are
-    shuffled for this join and not partitioned by the keys already.
+    No hint is given: adaptive execution broadcasts the lookup if its measured size allows,
+    and otherwise splits a hot key. For the split both sides must be shuffled for this join,
+    also a lookup that is grouped by the keys; the null-safe comparison sees to that, as in
+    :func:`join_groups`. A null key matches nothing.
     """
-    return rows.join(lookup, list(keys), "left").select(
-        *rows.columns, *[c for c in lookup.columns if c not in keys]
+    known = lookup.where(reduce(and_, [F.col(f"`{k}`").isNotNull() for k in keys]))
+    match = [F.col(f"r.`{k}`").eqNullSafe(F.col(f"l.`{k}`")) for k in keys]
+    joined = rows.alias("r").join(known.alias("l"), reduce(and_, match), "left")
+    return joined.select(
+        "r.*", *[F.col(f"l.`{c}`") for c in lookup.columns if c not in keys]
     )

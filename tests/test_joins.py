@@ -104,9 +104,9 @@ def test_hot_model_is_split(spark, tmp_path, report):
 
 
 def test_lookup_is_broadcast_at_run_time_or_hot_keys_are_split(spark, skewed, tmp_path):
-    listed = spark.createDataFrame([(7, "a"), (8, "b"), (8, "c")], "k bigint, name string")
-    # an aggregation, whose size is known only when it has run
-    lookup = listed.groupBy("k", "name").agg(F.count("*").alias("n"))
+    listed = spark.createDataFrame([(7, "a"), (8, "b"), (8, "c"), (None, "d")], "k bigint, name string")
+    # an aggregation by the key, whose size is known only when it has run
+    lookup = listed.groupBy("k").agg(F.max("name").alias("name"), F.count("*").alias("n"))
     want = sorted(
         map(tuple, skewed.join(lookup, "k", "left").groupBy("name").count().collect()), key=repr
     )
