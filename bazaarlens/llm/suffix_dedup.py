@@ -10,14 +10,17 @@ of a corpus is not needed to that end. In three steps:
    by anchor into blocks. A context that occurs twice repeats all windows of its runs. A run
    whose anchor, but not context, occurs elsewhere is open: it stands at an end of a match.
 2. Suffix sort. For open runs, and one run of each repeated context they may match, the
-   windows are sorted as suffixes by a merge sort with hashed comparisons, inside groups of
+   SPAN-byte windows are sorted as suffixes by a merge sort with hashed comparisons, inside groups of
    one anchor at one place. Neighbours that agree over SPAN bytes repeat each other; their
    bytes are compared, and after a collision the block is sorted again with other hashes.
 3. All spans of a document are joined to its text and removed.
 
 Hot groups: runs with one context are counted in each task, and only one goes on, so a
-passage of a third of all documents sends one run a task. Open runs of a hot anchor, at the
-ends of such a passage, meet in one block, at about 300 bytes each.
+passage of a third of all documents sends one run a task. At the ends of such a passage an
+anchor has as many contexts. An anchor with COMMON contexts in one dealing is called common;
+its runs pass the block by, and their windows are matched one by one, by hashes of 128 bits,
+again counted in each task before they meet. So no block gathers what more than about a
+hundredth of the documents share.
 
 Edge cases: matches never cross documents. A null text counts as empty; texts under SPAN
 bytes lose nothing. Equal rows are copies of one another, so a long text in two equal rows
@@ -43,9 +46,12 @@ SPAN, GRAM = 200, 100
 PIECE_LOG2 = 20
 #: Runs that a task gathers before it deals them out.
 GATHERED = 1 << 19
-_RUN = np.dtype([("anchor", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("more", "u1"), ("lead", "u1"), ("often", "u1"), ("rest", "u1")])
+#: An anchor with so many contexts among them is common.
+COMMON = 128
+_RUN = np.dtype([("anchor", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("more", "u1"), ("lead", "u1"), ("often", "u1"), ("mark", "u1")])
 _FOUND = np.dtype([("start", "<u4"), ("end", "<u4")])
-_OPEN = np.dtype([("anchor", "<u8"), ("start", "<u4"), ("more", "u1"), ("lead", "u1"), ("known", "u1"), ("rest", "u1")])
+_OPEN = np.dtype([("anchor", "<u8"), ("start", "<u4"), ("more", "u1"), ("lead", "u1"), ("known", "u1"), ("common", "u1")])
+_WINDOW = np.dtype([("h1", "<u8"), ("h2", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("known", "<u4")])
 
 
 def _least(values: np.ndarray, size: int) -> np.ndarray:
@@ -147,8 +153,18 @@ def _joined(start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return out
 
 
-def _dealt(blocks: int):
-    """Batches (doc, text) to packed runs by block of anchors, and spans known already."""
+def _opened(rows: np.ndarray, common: bool) -> bytes:
+    part = np.zeros(len(rows), _OPEN)
+    for name in ("anchor", "start", "more", "lead"):
+        part[name] = rows[name]
+    part["known"] = rows["often"]
+    part["common"] = common
+    return part.tobytes()
+
+
+def _dealt(blocks: int, many: int):
+    """Batches (doc, text) to packed runs by block of anchors, spans known already, and open
+    runs of common anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered: list[np.ndarray] = []
@@ -160,6 +176,7 @@ def _dealt(blocks: int):
             packed: list[bytes | None] = []
             doc_of: list[int | None] = []
             spans: list[bytes | None] = []
+            opened: list[bytes | None] = []
             if len(own):
                 own, often = _settled(own)
                 for doc, rows in _by_doc(own[often]):
@@ -167,9 +184,23 @@ def _dealt(blocks: int):
                     packed.append(None)
                     doc_of.append(doc)
                     spans.append(_spans(rows))
+                    opened.append(None)
                 first = _firsts(own["anchor"], own["context"])
                 own["often"] = often
                 own = own[first]
+                first = _firsts(own["anchor"])
+                size = np.diff(np.append(first, len(own)))
+                common = np.repeat(size >= many, size)
+                for doc, rows in _by_doc(own[common]):
+                    block_of.append(doc % blocks)
+                    packed.append(None)
+                    doc_of.append(doc)
+                    spans.append(None)
+                    opened.append(_opened(rows, True))
+                # the block is told by one marked entry
+                marks = own[first[size >= many]]
+                marks["mark"], marks["often"] = 1, 0
+                own = np.concatenate([own[~common], marks])
                 block = (own["anchor"] >> np.uint64(40)) % np.uint64(blocks)
                 order = np.argsort(block, kind="stable")
                 own, cuts = own[order], np.searchsorted(block[order], np.arange(blocks + 1, dtype=np.uint64))
@@ -178,9 +209,10 @@ def _dealt(blocks: int):
                     packed.append(own[cuts[b] : cuts[b + 1]].tobytes())
                     doc_of.append(None)
                     spans.append(None)
+                    opened.append(None)
             return pa.RecordBatch.from_arrays(
-                [pa.array(block_of, pa.int32()), pa.array(packed, pa.binary()), pa.array(doc_of, pa.int64()), pa.array(spans, pa.binary())],
-                ["block", "runs", "doc", "spans"],
+                [pa.array(block_of, pa.int32()), pa.array(packed, pa.binary()), pa.array(doc_of, pa.int64()), pa.array(spans, pa.binary()), pa.array(opened, pa.binary())],
+                ["block", "runs", "doc", "spans", "open"],
             )
 
         held = 0
@@ -202,9 +234,11 @@ _KNOWN = pa.schema([("doc", pa.int64()), ("spans", pa.binary()), ("open", pa.bin
 
 def _matched(key: tuple, table: pa.Table) -> pa.Table:
     """One block of anchors: spans of repeated contexts, and open runs, by document."""
-    kept = table.filter(pc.is_valid(table["spans"])).select(["doc", "spans"])
-    out: dict[str, list] = {"doc": kept["doc"].to_pylist(), "spans": kept["spans"].to_pylist(), "open": [None] * len(kept)}
+    kept = table.filter(pc.is_valid(table["doc"]))
+    out: dict[str, list] = {x: kept[x].to_pylist() for x in ("doc", "spans", "open")}
     own = np.frombuffer(b"".join(x for x in table["runs"].to_pylist() if x), _RUN)
+    common = np.unique(own["anchor"][own["mark"] > 0])
+    own = own[own["mark"] == 0]
     if len(own):
         own, often = _settled(own)
         first = _firsts(own["anchor"])
@@ -213,49 +247,87 @@ def _matched(key: tuple, table: pa.Table) -> pa.Table:
         unsettled = np.add.reduceat((~often).astype(np.int64), first)
         contexts = np.zeros(len(own), np.int64)
         contexts[_firsts(own["anchor"], own["context"])] = 1
-        asks = np.repeat((unsettled > 0) & (np.add.reduceat(contexts, first) > 1), size)
+        is_common = np.isin(own["anchor"], common)
+        asks = np.repeat((unsettled > 0) & (np.add.reduceat(contexts, first) > 1), size) | is_common
         for doc, rows in _by_doc(own[often]):
             out["doc"].append(doc)
             out["spans"].append(_spans(rows))
             out["open"].append(None)
         chosen = asks & (~often | (contexts == 1))
-        known = often[chosen]
-        own = own[chosen]
-        own["often"] = known
-        for doc, rows in _by_doc(own):
-            part = np.zeros(len(rows), _OPEN)
-            for name in ("anchor", "start", "more", "lead"):
-                part[name] = rows[name]
-            part["known"] = rows["often"]
-            out["doc"].append(doc)
-            out["spans"].append(None)
-            out["open"].append(part.tobytes())
+        own["often"] = often
+        for which in (False, True):
+            for doc, rows in _by_doc(own[chosen & (is_common == which)]):
+                out["doc"].append(doc)
+                out["spans"].append(None)
+                out["open"].append(_opened(rows, which))
     return pa.table(out, _KNOWN)
 
 
+def _windows(raw: bytes, doc: int, rows: np.ndarray) -> np.ndarray:
+    """All windows of some runs, with two hashes."""
+    data = np.frombuffer(raw, np.uint8)
+    count = rows["more"].astype(np.int64) + 1
+    start = np.repeat(rows["start"].astype(np.int64) - np.cumsum(count) + count, count) + np.arange(count.sum())
+    out = np.zeros(len(start), _WINDOW)
+    out["h1"] = PrefixHash(data).pieces(start, start + SPAN)
+    out["h2"] = Suffixes(data, 1).hashes.pieces(start, start + SPAN)
+    out["doc"], out["start"], out["known"] = doc, start, np.repeat(rows["known"], count)
+    return out
+
+
+def _paired(own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Windows sorted by their hashes; which occur twice."""
+    own = own[np.lexsort((own["h2"], own["h1"]))]
+    first = _firsts(own["h1"], own["h2"])
+    size = np.diff(np.append(first, len(own)))
+    twice = np.repeat((size > 1) | (np.maximum.reduceat(own["known"], first) > 0), size) if len(own) else np.zeros(0, bool)
+    return own, twice
+
+
+def _window_spans(own: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    for doc, rows in _by_doc(own[own["known"] == 0]):
+        at = np.sort(rows["start"])
+        yield doc, _joined(at, at + np.uint32(SPAN)).tobytes()
+
+
+_MET = "block int, runs binary, contexts binary, windows binary, doc long, spans binary"
+
+
 def _contexts(blocks: int):
-    """Batches (doc, text, open) to packed contexts of open runs by block of anchors."""
+    """Batches (doc, text, open) to packed contexts of open runs by block of anchors; of
+    common anchors to windows by block of hashes, and spans known already."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = [x.split()[0] for x in _MET.split(", ")]
+        kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.binary()]
         for batch in batches:
-            block_of: list[int] = []
-            parts: list[bytes] = []
-            texts: list[bytes] = []
+            out: list[tuple] = []
+            found: list[np.ndarray] = []
             for doc, text, lists in zip(*(c.to_pylist() for c in batch.columns)):
                 if not lists:
                     continue
                 raw = text.encode()
                 rows = np.unique(np.frombuffer(b"".join(lists), _OPEN))
+                common = rows["common"] > 0
+                if common.any():
+                    found.append(_windows(raw, doc, rows[common]))
+                rows = rows[~common]
                 block = (rows["anchor"] >> np.uint64(40)) % np.uint64(blocks)
                 for b in np.unique(block).tolist():
                     some = rows[block == b]
-                    block_of.append(b)
-                    parts.append(np.array([doc], "<i8").tobytes() + some.tobytes())
-                    texts.append(b"".join(raw[s : s + m + SPAN] for s, m in zip(some["start"].tolist(), some["more"].tolist())))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(block_of, pa.int32()), pa.array(parts, pa.binary()), pa.array(texts, pa.binary())],
-                ["block", "runs", "contexts"],
-            )
+                    texts = b"".join(raw[s : s + m + SPAN] for s, m in zip(some["start"].tolist(), some["more"].tolist()))
+                    out.append((b, np.array([doc], "<i8").tobytes() + some.tobytes(), texts, None, None, None))
+            own, twice = _paired(np.concatenate([np.zeros(0, _WINDOW), *found]))
+            out += [(doc % blocks, None, None, None, doc, spans) for doc, spans in _window_spans(own[twice])]
+            own["known"] = twice
+            own = own[_firsts(own["h1"], own["h2"])]
+            block = own["h1"] % np.uint64(blocks)
+            order = np.argsort(block, kind="stable")
+            cuts = np.searchsorted(block[order], np.arange(blocks + 1, dtype=np.uint64))
+            for b in np.flatnonzero(np.diff(cuts)).tolist():
+                out.append((b, None, None, own[order[cuts[b] : cuts[b + 1]]].tobytes(), None, None))
+            columns = zip(*out) if out else [[]] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
     return run
 
@@ -352,14 +424,20 @@ class Suffixes:
 
 def _sorted(key: tuple, table: pa.Table) -> pa.Table:
     """One block of open runs: the spans that the suffix sort finds, by document."""
+    kept = table.filter(pc.is_valid(table["doc"]))
+    out: dict[str, list] = {x: kept[x].to_pylist() for x in ("doc", "spans")}
+    schema = pa.schema([("doc", pa.int64()), ("spans", pa.binary())])
+    own, twice = _paired(np.frombuffer(b"".join(x for x in table["windows"].to_pylist() if x), _WINDOW))
+    for doc_id, spans in _window_spans(own[twice]):
+        out["doc"].append(doc_id)
+        out["spans"].append(spans)
     rows, docs = [], []
+    table = table.filter(pc.is_valid(table["contexts"]))
     for part in table["runs"].to_pylist():
         rows.append(np.frombuffer(part[8:], _OPEN))
         docs.append(np.full(len(rows[-1]), np.frombuffer(part[:8], "<i8")[0]))
     own, doc = np.concatenate([np.zeros(0, _OPEN), *rows]), np.concatenate([np.zeros(0, np.int64), *docs])
     data = np.frombuffer(b"".join(table["contexts"].to_pylist()), np.uint8)
-    out: dict[str, list] = {"doc": [], "spans": []}
-    schema = pa.schema([("doc", pa.int64()), ("spans", pa.binary())])
     if not len(own):
         return pa.table(out, schema)
     begin = np.concatenate([[0], np.cumsum(own["more"].astype(np.int64) + SPAN)])[:-1]
@@ -408,22 +486,21 @@ def document(docs: DataFrame) -> Column:
     return F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
 
 
-def removed_spans(docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """doc and packed spans, several rows a document."""
-    blocks = shuffle_partitions(docs.sparkSession)
-    dealt = texts.mapInArrow(_dealt(blocks), "block int, runs binary, doc long, spans binary")
+def removed_spans(texts: DataFrame, common: int = COMMON) -> DataFrame:
+    """doc and packed spans, several rows a document; texts: doc, text."""
+    blocks = shuffle_partitions(texts.sparkSession)
+    dealt = texts.mapInArrow(_dealt(blocks, common), "block int, runs binary, doc long, spans binary, open binary")
     known = written(dealt.groupBy("block").applyInArrow(_matched, "doc long, spans binary, open binary"))
     opened = known.where("open IS NOT NULL").groupBy("doc").agg(F.collect_list("open").alias("open"))
     asked = texts.join(opened, "doc", "left").select("doc", "text", "open")
-    contexts = asked.mapInArrow(_contexts(blocks), "block int, runs binary, contexts binary")
-    found = contexts.groupBy("block").applyInArrow(_sorted, "doc long, spans binary")
-    return known.where("spans IS NOT NULL").select("doc", "spans").union(found)
+    met = asked.mapInArrow(_contexts(blocks), _MET).groupBy("block").applyInArrow(_sorted, "doc long, spans binary")
+    return known.where("spans IS NOT NULL").select("doc", "spans").union(met)
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(docs: DataFrame, *, common: int = COMMON) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept (the remaining bytes) of every document."""
     texts = docs.select(F.col("doc_id").cast("long"), "text", document(docs).alias("doc"))
-    spans = removed_spans(docs, texts.select("doc", "text"))
+    spans = removed_spans(texts.select("doc", "text"), common)
     spans = spans.groupBy("doc").agg(F.collect_list("spans").alias("spans"))
     joined = texts.join(spans, "doc", "left").select("doc_id", "text", "spans")
 
