@@ -140,7 +140,7 @@ class Restorer:
         """Letters that stand alone, three or more in a row, drawn together."""
         if not _SPACED.search(text):
             return text
-        return _SPACED.sub(lambda m: self.decode(m[0].replace(" ", "").replace("\t", "")) if len(m[0]) < 200 else m[0], text)
+        return _SPACED.sub(lambda m: self.decode(m[0].replace(" ", "").replace("\t", "")), text)
 
     def text(self, text: str) -> str:
         """A whole text in lower case, restored."""
