@@ -8,7 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bazaarlens.llm import fingerprints, language_id, line_dedup, mixing, ngram_join, packing, suffix_dedup, toxicity, url_filter, vector_search
+from bazaarlens.llm import (
+    fingerprints,
+    language_id,
+    line_dedup,
+    mixing,
+    ngram_join,
+    packing,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+    vector_search,
+)
+from bazaarlens.llm.common import ship
 
 #: How often the mix may read one source, at most; documents per mixing block in tokens.
 REPETITION, BLOCK_TOKENS = 2.0, 1 << 20
@@ -85,15 +97,26 @@ def op10_url_filter(spark: SparkSession, directory: str) -> DataFrame:
     return url_filter.filter_urls(pages, listed, spark.sql(URL_RULES)).drop("url")
 
 
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    def run(spark: SparkSession, directory: str) -> DataFrame:
+        ship(spark)
+        return query(spark, directory)
+
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_temperature_mixing": op1_temperature_mixing,
-    "op2_document_fingerprints": op2_document_fingerprints,
-    "op3_ngram_jaccard_join": op3_ngram_jaccard_join,
-    "op4_nearest_neighbours": op4_nearest_neighbours,
-    "op5_packing": op5_packing,
-    "op6_toxicity": op6_toxicity,
-    "op7_line_dedup": op7_line_dedup,
-    "op8_suffix_dedup": op8_suffix_dedup,
-    "op9_language_id": op9_language_id,
-    "op10_url_filter": op10_url_filter,
+    f.__name__: _shipped(f)
+    for f in (
+        op1_temperature_mixing,
+        op2_document_fingerprints,
+        op3_ngram_jaccard_join,
+        op4_nearest_neighbours,
+        op5_packing,
+        op6_toxicity,
+        op7_line_dedup,
+        op8_suffix_dedup,
+        op9_language_id,
+        op10_url_filter,
+    )
 }

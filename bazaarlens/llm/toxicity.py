@@ -7,9 +7,9 @@ the Viterbi algorithm finds the likeliest path under a character trigram model.
 counted over all documents. Where a word has no sign, digit or drawn-out letter the lattice
 has one path, and the word stands as it is.
 
-Score. A restored text is the set of its words and of their beginnings. Those that go with
+Score. A restored text is the bag of its words and of their beginnings. Those that go with
 the label are found on a bounded sample of labelled documents, by a likelihood-ratio test
-over counts of documents; a logistic regression weighs them.
+over counts of documents; a logistic regression weighs the logarithms of their counts.
 
 Bounds: SAMPLE labelled documents, FEATURES features. Their texts stay on the executors; the
 driver gets the features' hashes, and for each document of the sample which of them it has.
@@ -168,17 +168,18 @@ class Reader:
             found = {self.chosen[x] for x in found if x in self.chosen}
         return tuple(found)
 
-    def read(self, text: str) -> set[int]:
-        words = set(self.restorer.spaced(text.lower()).split())
+    def read(self, text: str) -> dict[int, int]:
+        """How often each feature occurs."""
+        words = Counter(self.restorer.spaced(text.lower()).split())
         if len(self.known) > REMEMBERED:
             self.known.clear()
-        out: set[int] = set()
-        for word in words:
+        out: dict[int, int] = {}
+        for word, times in words.items():
             found = self.known.get(word)
             if found is None:
                 found = self.known[word] = self._word(word)
-            if found:
-                out.update(found)
+            for x in found:
+                out[x] = out.get(x, 0) + times
         return out
 
 
@@ -188,16 +189,17 @@ class Model:
     def __init__(self, characters: list[float], chosen: list[int], weights: np.ndarray, bias: float):
         self.characters, self.chosen, self.weights, self.bias = characters, chosen, weights, bias
 
-    def score(self, found: set[int]) -> float:
-        return 1 / (1 + math.exp(-max(-500.0, min(500.0, self.bias + sum(self.weights[i] for i in found)))))
+    def score(self, found: dict[int, int]) -> float:
+        total = self.bias + sum(self.weights[i] * math.log1p(n) for i, n in found.items())
+        return 1 / (1 + math.exp(-max(-500.0, min(500.0, total))))
 
 
-def regression(rows: list[list[int]], labels: np.ndarray, width: int, penalty: float = 0.5) -> tuple[np.ndarray, float]:
-    """Weights and bias by Newton's method with a ridge; rows name their features."""
+def regression(rows: list[dict[int, int]], labels: np.ndarray, width: int, penalty: float = 0.2) -> tuple[np.ndarray, float]:
+    """Weights and bias by Newton's method with a ridge; rows have counts of features."""
     x = np.zeros((len(rows), width + 1), np.float64)
     x[:, width] = 1
     for i, row in enumerate(rows):
-        x[i, row] = 1
+        x[i, list(row)] = np.log1p(np.array(list(row.values()), float))
     ridge = np.full(width + 1, penalty)
     ridge[width] = 1e-3
     w = np.zeros(width + 1)
@@ -252,16 +254,16 @@ def train(docs: DataFrame, labels: DataFrame, taught: Column) -> Model:
     k1, k0 = F.col("k1"), F.col("k0")
     pooled = (k1 + k0) / (n1 + n0)
     ratio = part(k1, n1, k1 / n1) + part(k0, n0, k0 / n0) - part(k1, n1, pooled) - part(k0, n0, pooled)
-    ranked = counted.where("feature >= 0").where(k1 * n0 > k0 * n1).withColumn("gain", ratio).where("gain > 6")
+    ranked = counted.where("feature >= 0").where(k1 * n0 > k0 * n1).withColumn("gain", ratio).where("gain > 10")
     names = [r["feature"] for r in ranked.orderBy(F.desc("gain"), "feature").limit(FEATURES).collect()]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(shared.value, names)
         for batch in batches:
-            rows = [sorted(reader.read(x)) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.list_(pa.int32()))], ["toxic", "found"])
+            rows = [list(reader.read(x).items()) for x in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.map_(pa.int32(), pa.int32()))], ["toxic", "found"])
 
-    rows = sample.mapInArrow(find, "toxic boolean, found array<int>").collect()
+    rows = sample.mapInArrow(find, "toxic boolean, found map<int,int>").collect()
     weights, bias = regression([r["found"] for r in rows], np.array([float(r["toxic"]) for r in rows]), len(names))
     return Model(characters, names, weights, bias)
 
