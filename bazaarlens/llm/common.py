@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import gc
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,21 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the Python workers, once an application."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        package = Path(__file__).parents[1]
+        archive = shutil.make_archive(
+            f"{tempfile.mkdtemp(prefix='bazaarlens-')}/{package.name}", "zip", package.parent, package.name
+        )
+        context.addPyFile(archive)
+        _SHIPPED.add(context.applicationId)
+
+
 def checkpointed(frame: DataFrame) -> DataFrame:
     """The rows written to the shared folder, with the lineage cut."""
     shared_dir(frame.sparkSession)
@@ -42,12 +58,6 @@ def written(frame: DataFrame) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
-def released(spark: SparkSession) -> None:
-    """Lets the driver collect its garbage, so that shuffle files no plan needs any more go."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

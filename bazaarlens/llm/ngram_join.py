@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.common import checkpointed, components, released, shuffle_partitions, steps, utf8, written
+from bazaarlens.llm.common import checkpointed, components, shuffle_partitions, steps, utf8, written
 from bazaarlens.llm.hashing import PrefixHash, mixed
 
 #: Hashed grams that a task gathers before it deals them out.
@@ -300,22 +300,21 @@ def linked(docs: DataFrame, *, n: int = 5, percent: int = 80, common: int = COMM
         _dealt(n, blocks, common), "block int, grams binary, counts binary, rows binary, sizes binary, ids binary"
     )
     found = written(dealt.groupBy("block").applyInArrow(lambda key, table: _shared_columns(key, table, blocks), _COLUMNS))
-    del dealt
-    released(spark)
     members = found.where("ids IS NOT NULL").select("rows", "sizes", "ids").mapInArrow(_documents, "doc_id long, row long, size int")
     sets = found.where("ids IS NULL").groupBy("target").applyInArrow(lambda key, table: _bounded(key, table, percent), _SETS)
     sets = written(sets)
-    released(spark)
     entries = sets.select("row", "size", F.explode("prefix").alias("entry"))
     entries = entries.select("row", "size", F.col("entry.gram").alias("gram"), F.col("entry.place").alias("place"))
 
+    # null-safe, so that both sides are shuffled for the join and hot columns can be split
+    same = F.col("x.gram").eqNullSafe(F.col("y.gram"))
     # the row that has the column earliest in its order proposes itself to all others
     hubs = entries.groupBy("gram").agg(
         F.min(F.struct((F.col("place") / F.col("size")).alias("share"), "row", "size", "place")).alias("hub"),
         F.count("*").alias("many"),
     )
     hubs = hubs.where("many > 1").select("gram", "hub.row", "hub.size", "hub.place").alias("x")
-    met = entries.alias("y").join(hubs, "gram").where(F.col("x.row") != F.col("y.row")).where(_possible(percent))
+    met = entries.alias("y").join(hubs, same).where(F.col("x.row") != F.col("y.row")).where(_possible(percent))
     met = met.groupBy(F.col("x.row").alias("a"), F.col("y.row").alias("b")).count()
     first = met.groupBy("b").agg(F.max_by("a", F.struct("count", "a")).alias("a"))
     links = checkpointed(_products(first, sets, percent))
@@ -325,10 +324,11 @@ def linked(docs: DataFrame, *, n: int = 5, percent: int = 80, common: int = COMM
     told = entries.join(labels.select(F.col("node").alias("row"), F.col("component").alias("part")), "row")
     per_part = told.groupBy("gram", "part").count()
     split = per_part.groupBy("gram").agg(F.max_by("part", F.struct("count", "part")).alias("main"), F.count("*").alias("parts"))
-    told = told.join(split.where("parts > 1").select("gram", "main"), "gram")
+    split = split.where("parts > 1").select("gram", "main").alias("x")
+    told = told.alias("y").join(split, same).select("y.*", "x.main")
     x, y = told.where("part <> main").alias("x"), told.alias("y")
     rest = (
-        x.join(y, "gram")
+        x.join(y, same)
         .where(F.col("x.part") != F.col("y.part"))
         .where((F.col("y.part") == F.col("y.main")) | (F.col("x.row") < F.col("y.row")))
         .where(_possible(percent))
