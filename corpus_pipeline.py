@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlens.llm import language_id, line_dedup, mixing, ngram_join, packing
-from bazaarlens.llm.common import written
+from bazaarlens.llm.common import ship, written
 
 #: Words and percent of the near-duplicate stage; how often the mixture may read one source.
 SHINGLE, PERCENT, REPETITION = 5, 80, 2.0
@@ -70,6 +70,7 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir))
