@@ -68,7 +68,8 @@ def _step(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     broken = np.flatnonzero(data == 10)
     room = (np.repeat(broken, np.diff(broken, prepend=-1)) - np.arange(len(data)))[:size]
     short = np.flatnonzero(room < WINDOW)
-    mask = np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(8) * (np.uint64(WINDOW) - room[short].astype(np.uint64)) % np.uint64(64))
+    beyond = 8 * (WINDOW - room[short]) % 64
+    mask = np.uint64(0xFFFFFFFFFFFFFFFF) >> beyond.astype(np.uint64)
     window[short] = np.where(room[short] > 0, window[short] & mask, 0)
     mixed = (window * _MIX) ^ (window * _MIX >> np.uint64(29))
     mixed = mixed * _MIX2 >> np.uint64(55)
@@ -113,8 +114,9 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     def map_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [x or "" for x in batch.column(1).to_pylist()]
+            made = text_of(*vectors([x.encode() for x in texts]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([len(x) for x in texts], pa.int64()), pa.array(text_of(*vectors([x.encode() for x in texts])), pa.string())],
+                [batch.column(0), pa.array([len(x) for x in texts], pa.int64()), pa.array(made, pa.string())],
                 ["doc_id", "n_chars", "fingerprint"],
             )
 
@@ -138,9 +140,11 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     docs = docs.withColumn("key", F.coalesce(F.bitwise_not("doc_id"), F.lit((1 << 63) - 1)))
     docs = docs.withColumn("range", range_number(F.col("key"), range_bounds(docs, "key", 4 * parts)))
     # one row a range: its first key, and the range before it, or the last for the first
-    firsts = [(r["range"], r["key"]) for r in docs.groupBy("range").agg(F.min("key").alias("key")).orderBy("range").collect()]
+    found = docs.groupBy("range").agg(F.min("key").alias("key")).orderBy("range").collect()
+    firsts = [(r["range"], r["key"]) for r in found]
     place = F.array_position(F.array(*[F.lit(key).cast("long") for _, key in firsts]), F.col("key"))
-    before = F.try_element_at(F.array(*[F.lit(firsts[i - 1][0]) for i in range(len(firsts))]), F.nullif(place.cast("int"), F.lit(0)))
+    ranges = F.array(*[F.lit(firsts[i - 1][0]) for i in range(len(firsts))])
+    before = F.try_element_at(ranges, F.nullif(place.cast("int"), F.lit(0)))
     deal = F.array(
         F.struct("range", F.lit(False).alias("guest")), F.struct(before.alias("range"), F.lit(True).alias("guest"))
     )

@@ -87,7 +87,13 @@ def find_exponent(shares: DataFrame, entropy: float | None, repetition: float |
     return round(high, 9)
 
 
-def weights(counted: DataFrame, *, entropy: float | None = None, repetition: float | None = None, budget: int | None = None) -> DataFrame:
+def weights(
+    counted: DataFrame,
+    *,
+    entropy: float | None = None,
+    repetition: float | None = None,
+    budget: int | None = None,
+) -> DataFrame:
     """One row per source: docs, tokens, share, weight, budget, repetition.
 
     counted: source, tokens. The exponent is in every row.
@@ -169,7 +175,14 @@ def mixed(counted: DataFrame, plan: DataFrame, *, block_tokens: int, seed: int =
     )
 
 
-def resampled(docs: DataFrame, *, entropy: float | None = None, repetition: float | None = None, budget: int | None = None, seed: int = 7) -> DataFrame:
+def resampled(
+    docs: DataFrame,
+    *,
+    entropy: float | None = None,
+    repetition: float | None = None,
+    budget: int | None = None,
+    seed: int = 7,
+) -> DataFrame:
     """The documents, each as often as the mix draws it, with their own columns.
 
     The part read of a source is the same set of documents as in `mixed`. It is told by the

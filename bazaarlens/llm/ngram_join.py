@@ -106,6 +106,12 @@ def _dealt(n: int, blocks: int, many: int):
 
         def deal() -> pa.RecordBatch:
             out: dict[str, list] = {x: [] for x in names}
+
+            def put(block: int, **parts: np.ndarray) -> None:
+                out["block"].append(block)
+                for name in names[1:]:
+                    out[name].append(parts[name].tobytes() if name in parts else None)
+
             keys = list(sets)
             lengths = np.array([len(sets[k]) for k in keys], np.int64)
             flat = np.concatenate([sets[k] for k in keys]) if keys else np.zeros(0, np.uint64)
@@ -121,10 +127,10 @@ def _dealt(n: int, blocks: int, many: int):
                 cuts = np.searchsorted(target[order], np.arange(blocks + 1))
                 for t in np.flatnonzero(np.diff(cuts)).tolist():
                     own = order[cuts[t] : cuts[t + 1]]
-                    for name, value in zip(names, (t, gram[own].tobytes(), None, row[own].tobytes(), size[own].tobytes(), None)):
-                        out[name].append(value)
+                    put(t, grams=gram[own], rows=row[own], sizes=size[own])
                 # one entry that stands for all, of no row
-                flat, owner = np.concatenate([flat[~is_common], common]), np.concatenate([owner[~is_common], np.full(len(common), len(keys))])
+                owner = np.concatenate([owner[~is_common], np.full(len(common), len(keys))])
+                flat = np.concatenate([flat[~is_common], common])
                 key_array, size_array = np.append(key_array, 0), np.append(size_array, np.uint32(0))
             block = ((flat >> np.uint64(8 * GRAM_BYTES)) % np.uint64(blocks)).astype(np.int64)
             order = np.argsort(block, kind="stable")
@@ -135,16 +141,20 @@ def _dealt(n: int, blocks: int, many: int):
                 if cuts[b] < cuts[b + 1]:
                     some, counts = np.unique(owner[own], return_counts=True)
                     low = flat[own].view(np.uint8).reshape(-1, 8)[:, :GRAM_BYTES]
-                    for name, value in zip(names, (b, low.tobytes(), counts.astype(np.uint32).tobytes(), key_array[some].tobytes(), size_array[some].tobytes(), None)):
-                        out[name].append(value)
+                    put(b, grams=low, counts=counts.astype(np.uint32), rows=key_array[some], sizes=size_array[some])
             for b in range(0, len(ids), 4096):
                 part = slice(b, b + 4096)
-                for name, value in zip(names, (b // 4096 % blocks, None, None, np.array(rows[part], np.int64).tobytes(), np.array(sizes[part], np.uint32).tobytes(), np.array(ids[part], np.int64).tobytes())):
-                    out[name].append(value)
+                put(
+                    b // 4096 % blocks,
+                    rows=np.array(rows[part], np.int64),
+                    sizes=np.array(sizes[part], np.uint32),
+                    ids=np.array(ids[part], np.int64),
+                )
             sets.clear()
             for x in (rows, sizes, ids):
                 x.clear()
-            return pa.RecordBatch.from_arrays([pa.array(out["block"], pa.int32()), *(pa.array(out[x], pa.binary()) for x in names[1:])], names)
+            columns = [pa.array(out["block"], pa.int32()), *(pa.array(out[x], pa.binary()) for x in names[1:])]
+            return pa.RecordBatch.from_arrays(columns, names)
 
         held = 0
         for batch in batches:
@@ -210,18 +220,21 @@ def _shared_columns(key: tuple, table: pa.Table, targets: int) -> pa.Table:
     gram, row, size, many = gram[order], row[order], size[order], many[order]
     cuts = np.searchsorted(target[order], np.arange(targets + 1))
     out: dict[str, list] = {x: [] for x in _SCHEMA.names}
+
+    def put(target: int | None, **values: bytes) -> None:
+        out["target"].append(target)
+        for name in _SCHEMA.names[1:]:
+            out[name].append(values.get(name))
+
     for t in np.flatnonzero(np.diff(cuts)).tolist():
         own = slice(cuts[t], cuts[t + 1])
-        for name, value in zip(_SCHEMA.names, (t, *(x[own].tobytes() for x in (row, size, gram, many)), None)):
-            out[name].append(value)
+        put(t, **{x: v[own].tobytes() for x, v in (("rows", row), ("sizes", size), ("grams", gram), ("counts", many))})
     for i, (ids, gram_part, count_part) in enumerate(zip(parts["ids"], parts["grams"], parts["counts"])):
         if gram_part is not None and count_part is None:
-            many = np.full(len(gram_part) // 8, COMMON_COUNT, np.uint32)
-            for name, value in zip(_SCHEMA.names, (key[0].as_py(), parts["rows"][i], parts["sizes"][i], gram_part, many.tobytes(), None)):
-                out[name].append(value)
+            many = np.full(len(gram_part) // 8, COMMON_COUNT, np.uint32).tobytes()
+            put(key[0].as_py(), rows=parts["rows"][i], sizes=parts["sizes"][i], grams=gram_part, counts=many)
         if ids is not None:
-            for name, value in zip(_SCHEMA.names, (None, parts["rows"][i], parts["sizes"][i], None, None, ids)):
-                out[name].append(value)
+            put(None, rows=parts["rows"][i], sizes=parts["sizes"][i], ids=ids)
     return pa.table(out, _SCHEMA)
 
 
@@ -239,9 +252,8 @@ _SETS = "row long, size int, grams binary, prefix array<struct<gram:long,place:i
 def _bounded(key: tuple, table: pa.Table, percent: int) -> pa.Table:
     """Rows whose shared columns reach the bound: all of them, rarest first, and the prefix
     with each column's place among the columns of the row, those of the row alone included."""
-    row, size, gram, many = (
-        _unpack(table[x].to_pylist(), k) for x, k in (("rows", np.int64), ("sizes", np.uint32), ("grams", np.uint64), ("counts", np.uint32))
-    )
+    kinds = {"rows": np.int64, "sizes": np.uint32, "grams": np.uint64, "counts": np.uint32}
+    row, size, gram, many = (_unpack(table[x].to_pylist(), k) for x, k in kinds.items())
     # a set that several dealings have seen comes from each; it counts once
     order = np.lexsort((gram, many, row))
     row, size, gram = row[order], size[order].astype(np.int64), gram[order]
@@ -277,7 +289,7 @@ def _products(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 x, y = np.frombuffer(ga[i], np.uint64), np.frombuffer(gb[i], np.uint64)
                 overlap = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * overlap >= percent * (na[i] + nb[i] - overlap))
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(keep, pa.bool_())), batch.column(1).filter(pa.array(keep, pa.bool_()))], ["a", "b"])
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return both.select("a", "b", "size_a", "size_b", "grams_a", "grams_b").mapInArrow(run, "a long, b long")
 

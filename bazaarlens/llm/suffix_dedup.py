@@ -48,7 +48,10 @@ PIECE_LOG2 = 20
 GATHERED = 1 << 19
 #: An anchor with so many contexts among them is common.
 COMMON = 128
-_RUN = np.dtype([("anchor", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("more", "u1"), ("lead", "u1"), ("often", "u1"), ("mark", "u1")])
+_RUN = np.dtype(
+    [("anchor", "<u8"), ("context", "<u8"), ("doc", "<i8"), ("start", "<u4")]
+    + [(name, "u1") for name in ("more", "lead", "often", "mark")]
+)
 _FOUND = np.dtype([("start", "<u4"), ("end", "<u4")])
 _OPEN = np.dtype([("anchor", "<u8"), ("start", "<u4"), ("more", "u1"), ("lead", "u1"), ("known", "u1"), ("common", "u1")])
 _WINDOW = np.dtype([("h1", "<u8"), ("h2", "<u8"), ("doc", "<i8"), ("start", "<u4"), ("known", "<u4")])
@@ -210,10 +213,9 @@ def _dealt(blocks: int, many: int):
                     doc_of.append(None)
                     spans.append(None)
                     opened.append(None)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(block_of, pa.int32()), pa.array(packed, pa.binary()), pa.array(doc_of, pa.int64()), pa.array(spans, pa.binary()), pa.array(opened, pa.binary())],
-                ["block", "runs", "doc", "spans", "open"],
-            )
+            columns = {"block": block_of, "runs": packed, "doc": doc_of, "spans": spans, "open": opened}
+            kinds = [pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.binary()]
+            return pa.RecordBatch.from_pydict(columns, pa.schema(list(zip(columns, kinds))))
 
         held = 0
         for batch in batches:

@@ -216,7 +216,8 @@ def nearest(vectors: DataFrame, queries: Column, *, k: int = 5) -> DataFrame:
                 row, unit = np.repeat(row, shards[at]), np.concatenate([np.arange(first[i], first[i + 1]) for i in at])
                 order = np.lexsort((unit, unit % groups, row))
                 row, unit = row[order], unit[order]
-                new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (unit[1:] % groups != unit[:-1] % groups)]))
+                apart = (row[1:] != row[:-1]) | (unit[1:] % groups != unit[:-1] % groups)
+                new = np.flatnonzero(np.concatenate([[True], apart]))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array((unit[new] % groups).astype(np.int32)),
