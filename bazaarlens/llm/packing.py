@@ -39,8 +39,8 @@ from bazaarlens.llm.hashing import PrefixHash
 
 END, LENGTH = 2, 4096
 DIMENSIONS, BITS = 4, 10
-#: Words whose ids a task keeps at hand.
-REMEMBERED = 800_000
+#: Words whose ids a Python worker keeps at hand; of more, the half met most often stays.
+REMEMBERED = 200_000
 #: What keeps a text from being split here: characters that do not lower-case and normalise
 #: one by one, alike in every Unicode version; special tokens; contractions.
 _UNUSUAL = re.compile("[^\t\n\r\x20-\x7e\xa1-\u012f\u0131-\u017f]")
@@ -71,28 +71,38 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.path, self.whole = path, None
+        # the model for words that are lower-cased and split already
+        self.words = Tokenizer.from_file(path)
+        self.words.normalizer = normalizers.Sequence([])
+        self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.size = self.words.get_vocab_size()
+        self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         with open(path) as file:
             told = json.load(file)
         splits = [x.get("pattern", {}).get("Regex") for x in (told["pre_tokenizer"] or {}).get("pretokenizers", [])]
         kinds = [x["type"] for x in (told["normalizer"] or {}).get("normalizers", [])]
         self.by_word = kinds == ["NFC", "Replace", "Lowercase"] and splits == [_SPLIT, None]
-        # the same model for words that are lower-cased and split already
-        self.words = Tokenizer.from_file(path)
-        self.words.normalizer = normalizers.Sequence([])
-        self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self._forget()
-
-    def _forget(self) -> None:
         self.known: dict[int, int] = {}
-        # the ids of all known words behind one another, and where each word's are
-        self.pool, self.first, self.count = np.zeros(1 << 16, self.kind), np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
-        self.used = 0
+        # the ids of all known words behind one another; for each word where its are, how
+        # many, its hash and how often it was met
+        self.pool, self.used = np.zeros(1 << 16, self.kind), 0
+        self.first, self.count, self.hits = (np.zeros(1 << 12, np.int64) for _ in range(3))
+        self.hashes = np.zeros(1 << 12, np.uint64)
+
+    def _forget(self, most: int) -> None:
+        """Keeps the words met most often."""
+        n = len(self.known)
+        kept = np.sort(np.argsort(-self.hits[:n], kind="stable")[:most])
+        count = self.count[kept]
+        upto = np.cumsum(count)
+        ids = self.pool[np.repeat(self.first[kept] - upto + count, count) + np.arange(count.sum())]
+        self.pool[: len(ids)], self.used = ids, len(ids)
+        self.hashes[: len(kept)], self.hits[: len(kept)] = self.hashes[kept], self.hits[kept] // 2
+        self.first[: len(kept)], self.count[: len(kept)] = upto - count, count
+        self.known = dict(zip(self.hashes[: len(kept)].tolist(), range(len(kept))))
 
     def _learn(self, hashes: list[int], words: list[str]) -> None:
-        if len(self.known) + len(words) > max(REMEMBERED, len(words)):
-            self._forget()
         plain = [" " if w == END_MARK else w for w in words]
         found = self.words.encode(plain, is_pretokenized=True, add_special_tokens=False)
         ids, cuts = np.array(found.ids, self.kind), np.searchsorted(found.word_ids, np.arange(len(words) + 1))
@@ -104,10 +114,13 @@ class Encoder:
         while size > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
         while n + len(words) > len(self.first):
-            self.first, self.count = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.count))
+            self.first, self.count, self.hits, self.hashes = (
+                np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.count, self.hits, self.hashes)
+            )
+        new = slice(n, n + len(words))
         self.pool[self.used : size] = ids
-        self.first[n : n + len(words)] = cuts[:-1] + self.used
-        self.count[n : n + len(words)] = np.diff(cuts)
+        self.first[new], self.count[new] = cuts[:-1] + self.used, np.diff(cuts)
+        self.hits[new], self.hashes[new] = 0, hashes
         self.known.update(zip(hashes, range(n, n + len(words))))
         self.used = size
 
@@ -126,23 +139,33 @@ class Encoder:
         if None in places:
             missing = [i for i, p in enumerate(places) if p is None]
             if len(self.known) + len(missing) > REMEMBERED:
-                self._forget()
-                missing = range(len(hashes))
+                self._forget(REMEMBERED // 2)
+                missing = [i for i, h in enumerate(hashes) if h not in self.known]
             self._learn([hashes[i] for i in missing], [whole[start[one[i]] : stop[one[i]]] for i in missing])
             places = list(map(self.known.__getitem__, hashes))
-        place = np.array(places)[which]
+        place = np.array(places)
+        self.hits[place] += 1
+        place = place[which]
         count = self.count[place]
         upto = np.cumsum(count)
         ids = self.pool[np.repeat((self.first[place] - upto + count).astype(np.int32), count) + np.arange(upto[-1], dtype=np.int32)]
         return np.split(ids, upto[np.flatnonzero(kind[start] == _END_CLASS)][:-1])
 
+    def _tokenizer(self):
+        """The tokenizer itself, loaded when the first text needs it."""
+        if self.whole is None:
+            from tokenizers import Tokenizer
+
+            self.whole = Tokenizer.from_file(self.path)
+        return self.whole
+
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, END included."""
         usual = [i for i, x in enumerate(texts) if self.by_word and not _UNUSUAL.search(x) and not _SPECIAL.search(x)]
         out = dict(zip(usual, self._usual([texts[i] for i in usual]))) if usual else {}
         for i, x in enumerate(texts):
             if i not in out:
-                out[i] = np.array([*self.tokenizer.encode(x, add_special_tokens=False).ids, END], self.kind)
+                out[i] = np.array([*self._tokenizer().encode(x, add_special_tokens=False).ids, END], self.kind)
         return [out[i] for i in range(len(texts))]
 
 
@@ -165,7 +188,7 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
-        weights = _weights(encoder.tokenizer.get_vocab_size())
+        weights = _weights(encoder.size)
         for whole in batches:
             for start in range(0, len(whole), 250):
                 batch = whole.slice(start, 250)
