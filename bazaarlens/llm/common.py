@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -29,11 +30,18 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+#: Bytes of an Arrow batch between Spark and a Python worker, where the session names none:
+#: rows alone do not bound it, as texts may be long.
+BATCH_BYTES = 4 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 _SHIPPED: set[str] = set()
 
 
-def ship(spark: SparkSession) -> None:
-    """Sends this package to the Python workers, once an application."""
+def prepare(spark: SparkSession) -> None:
+    """Bounds Arrow batches by bytes, and sends this package to the Python workers, once an
+    application."""
+    if spark.conf.get(_BATCH_SETTING, None) is None:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
         package = Path(__file__).parents[1]
@@ -58,6 +66,27 @@ def written(frame: DataFrame) -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Returns freed memory of this Python worker, which the next stage may need elsewhere."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+Batches = Iterator[pa.RecordBatch]
+
+
+def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """The same function over batches, with freed memory returned at the end of a task."""
+
+    def wrapped(batches: Batches) -> Batches:
+        yield from run(batches)
+        give_back()
+
+    return wrapped
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

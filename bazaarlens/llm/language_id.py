@@ -33,7 +33,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.common import steps, utf8
+from bazaarlens.llm.common import steps, tidy, utf8
 
 UNKNOWN = "und"
 #: Bounds of the training sample, by language and by document.
@@ -232,4 +232,4 @@ def identified(docs: DataFrame, model: Model, keep: list[str] | None = None) ->
             )
 
     schema = docs.select(*kept).schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
-    return docs.mapInArrow(predict, schema)
+    return docs.mapInArrow(tidy(predict), schema)

@@ -31,6 +31,8 @@ from bazaarlens.llm.common import checkpointed
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents of a source that one slice of its permutation holds on average.
 SLICE_ROWS = 5000
+#: Up to so many bytes of sources, what is told of each source is broadcast to the texts.
+BROADCAST_BYTES = 8 << 20
 #: Digits of a permutation key that number the slices: at most 16 ** 7 slices a source.
 SLICE_DIGITS = 7
 
@@ -201,5 +203,7 @@ def resampled(
     read = F.filter(
         F.sequence(F.lit(1), epoch), lambda e: (e < epoch) | (_key(seed, e, F.col("doc_id")) <= end)
     )
-    joined = docs.join(ends, docs["source"].eqNullSafe(ends[of]))
+    told = plan.agg(F.sum(F.coalesce(F.octet_length("source"), F.lit(0)) + 64)).first()[0] or 0
+    side = F.broadcast(ends) if told <= BROADCAST_BYTES else ends
+    joined = docs.join(side, docs["source"].eqNullSafe(ends[of]))
     return joined.withColumn(of, F.explode(read)).select(*[docs[c] for c in docs.columns])

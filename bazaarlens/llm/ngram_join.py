@@ -43,13 +43,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.common import checkpointed, components, shuffle_partitions, steps, utf8, written
+from bazaarlens.llm.common import checkpointed, components, give_back, shuffle_partitions, steps, tidy, utf8, written
 from bazaarlens.llm.hashing import PrefixHash, mixed
 
 #: Hashed grams that a task gathers before it deals them out.
-GATHERED = 1 << 21
+GATHERED = 1 << 20
 #: A gram that so many rows of one dealing have is common: see the docstring.
-COMMON, COMMON_COUNT = 64, (1 << 32) - 1
+COMMON, COMMON_COUNT = 32, (1 << 32) - 1
 #: Bytes kept of a gram's hash; the block it goes to tells some bits more.
 GRAM_BYTES = 6
 _NO_ID = -(1 << 63)
@@ -235,6 +235,7 @@ def _shared_columns(key: tuple, table: pa.Table, targets: int) -> pa.Table:
             put(key[0].as_py(), rows=parts["rows"][i], sizes=parts["sizes"][i], grams=gram_part, counts=many)
         if ids is not None:
             put(None, rows=parts["rows"][i], sizes=parts["sizes"][i], ids=ids)
+    give_back()
     return pa.table(out, _SCHEMA)
 
 
@@ -291,7 +292,7 @@ def _products(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * overlap >= percent * (na[i] + nb[i] - overlap))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "size_a", "size_b", "grams_a", "grams_b").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "size_a", "size_b", "grams_a", "grams_b").mapInArrow(tidy(run), "a long, b long")
 
 
 def _possible(percent: int):
@@ -307,9 +308,10 @@ def _possible(percent: int):
 def linked(docs: DataFrame, *, n: int = 5, percent: int = 80, common: int = COMMON) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     spark = docs.sparkSession
-    blocks = min(shuffle_partitions(spark), 1 << 16)
+    # several blocks a shuffle partition, so that a task holds a part of its partition at a time
+    blocks = min(3 * shuffle_partitions(spark), 1 << 16)
     dealt = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _dealt(n, blocks, common), "block int, grams binary, counts binary, rows binary, sizes binary, ids binary"
+        tidy(_dealt(n, blocks, common)), "block int, grams binary, counts binary, rows binary, sizes binary, ids binary"
     )
     found = written(dealt.groupBy("block").applyInArrow(lambda key, table: _shared_columns(key, table, blocks), _COLUMNS))
     members = found.where("ids IS NOT NULL").select("rows", "sizes", "ids").mapInArrow(_documents, "doc_id long, row long, size int")

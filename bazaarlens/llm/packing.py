@@ -34,13 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.common import range_bounds, range_number, shuffle_partitions, written
+from bazaarlens.llm.common import range_bounds, range_number, shuffle_partitions, tidy, written
 from bazaarlens.llm.hashing import PrefixHash
 
 END, LENGTH = 2, 4096
 DIMENSIONS, BITS = 4, 10
 #: Words whose ids a Python worker keeps at hand; of more, the half met most often stays.
-REMEMBERED = 200_000
+REMEMBERED = 150_000
 #: What keeps a text from being split here: characters that do not lower-case and normalise
 #: one by one, alike in every Unicode version; special tokens; contractions.
 _UNUSUAL = re.compile("[^\t\n\r\x20-\x7e\xa1-\u012f\u0131-\u017f]")
@@ -52,7 +52,11 @@ _SPACE, _LETTER, _NUMBER, _OTHER, _END_CLASS = range(5)
 END_MARK = "\x01"
 _CLASS = np.array(
     [
-        _END_CLASS if c == 1 else {"L": _LETTER, "N": _NUMBER}.get(unicodedata.category(chr(c))[0], _SPACE if chr(c).isspace() else _OTHER)
+        _END_CLASS
+        if c == 1
+        else {"L": _LETTER, "N": _NUMBER}.get(
+            unicodedata.category(chr(c))[0], _SPACE if chr(c).isspace() else _OTHER
+        )
         for c in range(0x180)
     ],
     np.int8,
@@ -148,7 +152,8 @@ class Encoder:
         place = place[which]
         count = self.count[place]
         upto = np.cumsum(count)
-        ids = self.pool[np.repeat((self.first[place] - upto + count).astype(np.int32), count) + np.arange(upto[-1], dtype=np.int32)]
+        behind = np.repeat((self.first[place] - upto + count).astype(np.int32), count)
+        ids = self.pool[behind + np.arange(upto[-1], dtype=np.int32)]
         return np.split(ids, upto[np.flatnonzero(kind[start] == _END_CLASS)][:-1])
 
     def _tokenizer(self):
@@ -200,7 +205,7 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
                     ["doc_id", "tokens", "ids", "x"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, tokens long, ids binary, x array<double>")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(run), "doc_id long, tokens long, ids binary, x array<double>")
 
 
 def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:

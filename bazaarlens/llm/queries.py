@@ -20,7 +20,7 @@ from bazaarlens.llm import (
     url_filter,
     vector_search,
 )
-from bazaarlens.llm.common import ship
+from bazaarlens.llm.common import prepare
 
 #: How often the mix may read one source, at most; documents per mixing block in tokens.
 REPETITION, BLOCK_TOKENS = 2.0, 1 << 20
@@ -97,16 +97,16 @@ def op10_url_filter(spark: SparkSession, directory: str) -> DataFrame:
     return url_filter.filter_urls(pages, listed, spark.sql(URL_RULES)).drop("url")
 
 
-def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+def _prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, directory: str) -> DataFrame:
-        ship(spark)
+        prepare(spark)
         return query(spark, directory)
 
     return run
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: _shipped(f)
+    f.__name__: _prepared(f)
     for f in (
         op1_temperature_mixing,
         op2_document_fingerprints,
