@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlens.llm import language_id, line_dedup, mixing, ngram_join, packing
-from bazaarlens.llm.common import ship, written
+from bazaarlens.llm.common import prepare, written
 
 #: Words and percent of the near-duplicate stage; how often the mixture may read one source.
 SHINGLE, PERCENT, REPETITION = 5, 80, 2.0
@@ -32,18 +32,21 @@ TOKENIZER = "word_bpe_49k.json"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     model = language_id.train(language_id.sample(docs, F.lit(True)))
     told = language_id.identified(docs, model)
     return told.where(~F.col("rejected")).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     kept = line_dedup.without_copies(docs).where("lines_deleted = 0 OR text <> ''")
     changed = F.when(F.col("lines_deleted") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
     return kept.select(*[changed.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     told = ngram_join.linked(docs, n=SHINGLE, percent=PERCENT)
     gone = told.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
@@ -54,6 +57,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    prepare(spark)
     return packing.packed(docs, public_tokenizers.path(TOKENIZER))
 
 
@@ -70,7 +74,6 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir))
