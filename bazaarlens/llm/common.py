@@ -77,10 +77,18 @@ def give_back() -> None:
 Batches = Iterator[pa.RecordBatch]
 
 
-def tidy(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
-    """The same function over batches, with freed memory returned at the end of a task."""
+#: What a Python worker keeps from task to task of one operator.
+KEPT: dict[str, object] = {}
+
+
+def tidy(run: Callable[[Batches], Batches], *, keeps: bool = False) -> Callable[[Batches], Batches]:
+    """The same function over batches, with freed memory returned at the end of a task. What
+    another operator has kept in this worker goes first, unless this one keeps it."""
 
     def wrapped(batches: Batches) -> Batches:
+        if KEPT and not keeps:
+            KEPT.clear()
+            give_back()
         yield from run(batches)
         give_back()
 

@@ -34,13 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.common import range_bounds, range_number, shuffle_partitions, tidy, written
+from bazaarlens.llm.common import KEPT, range_bounds, range_number, shuffle_partitions, tidy, written
 from bazaarlens.llm.hashing import PrefixHash
 
 END, LENGTH = 2, 4096
 DIMENSIONS, BITS = 4, 10
 #: Words whose ids a Python worker keeps at hand; of more, the half met most often stays.
-REMEMBERED = 150_000
+REMEMBERED = 120_000
 #: What keeps a text from being split here: characters that do not lower-case and normalise
 #: one by one, alike in every Unicode version; special tokens; contractions.
 _UNUSUAL = re.compile("[^\t\n\r\x20-\x7e\xa1-\u012f\u0131-\u017f]")
@@ -145,7 +145,9 @@ class Encoder:
             if len(self.known) + len(missing) > REMEMBERED:
                 self._forget(REMEMBERED // 2)
                 missing = [i for i, h in enumerate(hashes) if h not in self.known]
-            self._learn([hashes[i] for i in missing], [whole[start[one[i]] : stop[one[i]]] for i in missing])
+            for i in range(0, len(missing), 4096):
+                part = missing[i : i + 4096]
+                self._learn([hashes[j] for j in part], [whole[start[one[j]] : stop[one[j]]] for j in part])
             places = list(map(self.known.__getitem__, hashes))
         place = np.array(places)
         self.hits[place] += 1
@@ -174,14 +176,11 @@ class Encoder:
         return [out[i] for i in range(len(texts))]
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def _encoder(path: str) -> Encoder:
     """One for all tasks of a Python worker, with the words it knows."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    if path not in KEPT:
+        KEPT[path] = Encoder(path)
+    return KEPT[path]
 
 
 def _weights(size: int) -> np.ndarray:
@@ -205,7 +204,7 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
                     ["doc_id", "tokens", "ids", "x"],
                 )
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(run), "doc_id long, tokens long, ids binary, x array<double>")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(run, keeps=True), "doc_id long, tokens long, ids binary, x array<double>")
 
 
 def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
