@@ -94,7 +94,7 @@ def _often(flat: np.ndarray, least: int) -> np.ndarray:
     return np.unique(ordered[least - 1 :][ordered[least - 1 :] == ordered[: len(ordered) - least + 1]])
 
 
-def _dealt(n: int, blocks: int, many: int):
+def _dealt(n: int, blocks: int, targets: int, many: int):
     """Batches (doc_id, text) to packed grams by block of columns, and rows of documents."""
     names = ["block", "grams", "counts", "rows", "sizes", "ids"]
 
@@ -122,9 +122,9 @@ def _dealt(n: int, blocks: int, many: int):
                 is_common = np.isin(flat, common)
                 gram, row, size = flat[is_common], key_array[owner[is_common]], size_array[owner[is_common]]
                 gram = gram & _LOW | (gram >> np.uint64(8 * GRAM_BYTES)) % np.uint64(blocks) << np.uint64(48)
-                target = (row.view(np.uint64) % np.uint64(blocks)).astype(np.int64)
+                target = (row.view(np.uint64) % np.uint64(targets)).astype(np.int64)
                 order = np.argsort(target, kind="stable")
-                cuts = np.searchsorted(target[order], np.arange(blocks + 1))
+                cuts = np.searchsorted(target[order], np.arange(targets + 1))
                 for t in np.flatnonzero(np.diff(cuts)).tolist():
                     own = order[cuts[t] : cuts[t + 1]]
                     put(t, grams=gram[own], rows=row[own], sizes=size[own])
@@ -309,11 +309,12 @@ def linked(docs: DataFrame, *, n: int = 5, percent: int = 80, common: int = COMM
     """doc_id, n_shingles and component_id of every document."""
     spark = docs.sparkSession
     # several blocks a shuffle partition, so that a task holds a part of its partition at a time
-    blocks = min(3 * shuffle_partitions(spark), 1 << 16)
+    targets = min(shuffle_partitions(spark), 1 << 14)
+    blocks = 3 * targets
     dealt = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        tidy(_dealt(n, blocks, common)), "block int, grams binary, counts binary, rows binary, sizes binary, ids binary"
+        tidy(_dealt(n, blocks, targets, common)), "block int, grams binary, counts binary, rows binary, sizes binary, ids binary"
     )
-    found = written(dealt.groupBy("block").applyInArrow(lambda key, table: _shared_columns(key, table, blocks), _COLUMNS))
+    found = written(dealt.groupBy("block").applyInArrow(lambda key, table: _shared_columns(key, table, targets), _COLUMNS))
     members = found.where("ids IS NOT NULL").select("rows", "sizes", "ids").mapInArrow(_documents, "doc_id long, row long, size int")
     sets = found.where("ids IS NULL").groupBy("target").applyInArrow(lambda key, table: _bounded(key, table, percent), _SETS)
     sets = written(sets)
