@@ -40,7 +40,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    kept = line_dedup.without_copies(docs).where("lines_deleted = 0 OR text <> ''")
+    kept = line_dedup.without_copies(docs, whole=True).where("lines_deleted = 0 OR text <> ''")
     changed = F.when(F.col("lines_deleted") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
     return kept.select(*[changed.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
 
