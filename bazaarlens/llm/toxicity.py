@@ -4,11 +4,16 @@ Restoration. A writer is thought to spell a word and a channel to disturb it: le
 look-alike digits and signs, letters are drawn out, signs or spaces are put between letters.
 What was observed gives a lattice of letters that may have been meant, each with a cost, and
 the Viterbi algorithm finds the likeliest path under a character trigram model. The model is
-counted over all documents. Where a word has no sign, digit or drawn-out letter the lattice
-has one path, and the word stands as it is.
-
-Score. A restored text is the bag of its words and of their beginnings. Those that go with
-the label are found on a bounded sample of labelled documents, by a likelihood-ratio test
+counted over all documents. A letter that stands twice may be meant once. Neighbouring pieces
+of up to SHORT characters, signs included, make one lattice, in which a blank is kept or
+dropped, so that the model chooses the word boundaries; longer pieces are not joined. In a row
+of three or more single characters a word may also begin and end at each of them, up to LONGEST
+letters, as a trigram tells little about boundaries there. Where
+only blanks or only doubled letters can be read in two ways, each choice depends on the
+letters next to it alone, and is made without the lattice.
+
+Score. A text is the bag of its words and of their beginnings, as they stand and as restored.
+Those that go with the label are found on a bounded sample of labelled documents, by a likelihood-ratio test
 over counts of documents; a logistic regression weighs the logarithms of their counts.
 
 Bounds: SAMPLE labelled documents, FEATURES features. Their texts stay on the executors; the
@@ -46,9 +51,16 @@ LOOKS_LIKE = {
     "8": "b", "9": "g", "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "(": "c",
 }
 #: Costs, as negative logarithms of chances, of what the channel does.
-LOOK, DRAWN_OUT, PUT_BETWEEN, LOST = 1.0, 0.5, 1.0, 12.0
+LOOK, DRAWN_OUT, DOUBLED, PUT_BETWEEN, LOST = 1.0, 0.5, 2.0, 1.0, 12.0
+#: Characters of a piece that may be joined with its neighbours; pieces that one lattice holds,
+#: and how many of them the next one holds again.
+SHORT, PIECES, AGAIN = 3, 4096, 64
+#: Letters of a word spelled in single characters, without those that only begin it.
+LONGEST = 16
 _BETWEEN = ".-_*,~'"
-_SPACED = re.compile(r"(?<!\S)[a-z](?:[ \t][a-z]){2,}(?!\S)")
+_STRETCH = re.compile(rf"(?<!\S)\S{{1,{SHORT}}}(?:\s+\S{{1,{SHORT}}})+(?!\S)")
+_SINGLES = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
+_TWICE = re.compile(r"([a-z])\1")
 _WORD = re.compile(r"[^\W\d_]+")
 _ODD = re.compile(r"[0-9@$!|+(]|([a-z])\1\1|[a-z][.\-_*,~'][a-z]")
 _TAIL = re.compile(r"[^\w]+$|^[^\w@$(]+")
@@ -103,17 +115,24 @@ class Restorer:
             while end < len(seen) and seen[end] == c:
                 end += 1
             if c.isalpha():
-                lattice += [[(c, DRAWN_OUT), (c + c, DRAWN_OUT)]] if end - i > 2 else [[(c, 0.0)]] * (end - i)
+                if end - i > 2:
+                    lattice.append([(c, DRAWN_OUT), (c + c, DRAWN_OUT)])
+                elif end - i == 2 and "a" <= c <= "z":
+                    lattice.append([(c + c, 0.0), (c, DOUBLED)])
+                else:
+                    lattice += [[(c, 0.0)]] * (end - i)
             elif c in LOOKS_LIKE:
                 drawn = [(x, LOOK) for x in LOOKS_LIKE[c]] + [(x + x, LOOK) for x in LOOKS_LIKE[c] if end - i > 1]
                 lattice.append(drawn + [("", LOST)])
+            elif c == " ":
+                lattice.append([(" ", 0.0), ("", PUT_BETWEEN)])
             else:
                 lattice.append([("", PUT_BETWEEN)])
             i = end
-        # a state is the last two symbols; it keeps its best path
-        best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        # a state is the last two symbols; it keeps its best path, from its end
+        best: dict[tuple[int, int], tuple] = {(0, 0): (0.0, None)}
         for choices in lattice:
-            following: dict[tuple[int, int], tuple[float, str]] = {}
+            following: dict[tuple[int, int], tuple] = {}
             for (a, b), (cost, path) in best.items():
                 for letters, more in choices:
                     x, y, total = a, b, cost + more
@@ -122,29 +141,78 @@ class Restorer:
                         total += self.model[(x * 27 + y) * 27 + z]
                         x, y = y, z
                     known = following.get((x, y))
-                    if known is None or (total, path + letters) < known:
-                        following[x, y] = (total, path + letters)
+                    if known is None or total < known[0]:
+                        following[x, y] = (total, (letters, path))
             best = following
-        return min((cost + self.model[(a * 27 + b) * 27], path) for (a, b), (cost, path) in best.items())[1]
+        _, path = min(((cost + self.model[(a * 27 + b) * 27], path) for (a, b), (cost, path) in best.items()), key=lambda x: x[0])
+        letters = []
+        while path:
+            letters.append(path[0])
+            path = path[1]
+        return "".join(reversed(letters))
+
+    def once(self, word: str) -> str:
+        """A word whose only oddities are doubled letters, each meant twice or once: what the
+        lattice gives, as the letters before and after a double do not depend on the choice."""
+
+        def choose(m: re.Match) -> str:
+            b, c, d = (self._symbol(word, i) for i in (m.start() - 1, m.start(), m.end()))
+            model = self.model
+            twice = model[(b * 27 + c) * 27 + c] + model[(c * 27 + c) * 27 + d]
+            return m[0] if twice <= model[(b * 27 + c) * 27 + d] + DOUBLED else m[1]
+
+        return _TWICE.sub(choose, word)
+
+    @staticmethod
+    def _symbol(word: str, i: int) -> int:
+        return ord(word[i]) - 96 if 0 <= i < len(word) and "a" <= word[i] <= "z" else 0
 
     def word(self, token: str) -> str:
         """A piece without spaces, restored if something in it can be read in two ways."""
         if not _ODD.search(token):
-            return token
+            return self.once(token) if _TWICE.search(token) else token
         core = _TAIL.sub("", token)
-        if not _ODD.search(core) or not any(c.isalpha() for c in core):
+        if not any(c.isalpha() for c in core):
             return token
+        if not _ODD.search(core):
+            return self.once(core) if _TWICE.search(core) else token
         return self.decode(core)
 
-    def spaced(self, text: str) -> str:
-        """Letters that stand alone, three or more in a row, drawn together."""
-        if not _SPACED.search(text):
-            return text
-        return _SPACED.sub(lambda m: self.decode(m[0].replace(" ", "").replace("\t", "")), text)
+    def readings(self, token: str) -> list[str]:
+        """A piece without spaces as it stands and, if that differs, restored."""
+        restored = self.word(token)
+        return [token] if restored == token else [token, restored]
+
+    def joined(self, stretch: str) -> str:
+        """Neighbouring short pieces, with blanks where the model has them."""
+        pieces = stretch.split()
+        if all(len(p) > 1 and p.isalpha() for p in pieces):
+            # the two letters on each side are the same whatever is chosen elsewhere
+            model, symbol, out = self.model, self._symbol, [pieces[0]]
+            for left, right in zip(pieces, pieces[1:]):
+                a, b = symbol(left, len(left) - 2), symbol(left, len(left) - 1)
+                c, d = symbol(right, 0), symbol(right, 1)
+                kept = model[(a * 27 + b) * 27] + model[b * 729 + c] + model[c * 27 + d]
+                dropped = model[(a * 27 + b) * 27 + c] + model[(b * 27 + c) * 27 + d] + PUT_BETWEEN
+                out += [right] if dropped < kept else [" ", right]
+            return "".join(out)
+        return self.decode(" ".join(pieces))
+
+    def stretches(self, text: str) -> Iterator[str]:
+        """Neighbouring short pieces that hold a letter, in parts that overlap."""
+        for m in _STRETCH.finditer(text):
+            found = m[0]
+            if len(found) <= 2 * PIECES:
+                parts = [found]
+            else:
+                pieces = found.split()
+                parts = [" ".join(pieces[i : i + PIECES]) for i in range(0, len(pieces), PIECES - AGAIN)]
+            yield from (x for x in parts if any(c.isalpha() for c in x))
 
     def text(self, text: str) -> str:
         """A whole text in lower case, restored."""
-        return " ".join(self.word(t) for t in self.spaced(text.lower()).split())
+        whole = _STRETCH.sub(lambda m: self.joined(m[0]) if any(c.isalpha() for c in m[0]) else m[0], text.lower())
+        return " ".join(self.word(t) for t in whole.split())
 
 
 def features(word: str) -> set[int]:
@@ -161,8 +229,23 @@ class Reader:
         self.known: dict[str, tuple[int, ...]] = {}
 
     def _word(self, token: str) -> tuple[int, ...]:
+        return self._chosen({word for x in self.restorer.readings(token) for word in _WORD.findall(x)})
+
+    def _stretch(self, stretch: str) -> tuple[int, ...]:
+        """Of the words that joining makes; those that stand are counted already."""
+        pieces = stretch.split()
+        made = set(self.restorer.joined(stretch).split()) - set(pieces)
+        words = {word for x in made for y in self.restorer.readings(x) for word in _WORD.findall(y)}
+        for m in _SINGLES.finditer(" ".join(pieces)):
+            row = m[0].replace(" ", "")
+            if any(c.isalpha() for c in row):
+                row = self.restorer.decode(row)
+                words.update(row[i:j] for i in range(len(row)) for j in range(i + 3, min(i + LONGEST, len(row)) + 1))
+        return self._chosen(words)
+
+    def _chosen(self, words: set[str]) -> tuple[int, ...]:
         found: set[int] = set()
-        for word in _WORD.findall(self.restorer.word(token)):
+        for word in words:
             found |= features(word)
         if self.chosen is not None:
             found = {self.chosen[x] for x in found if x in self.chosen}
@@ -170,7 +253,8 @@ class Reader:
 
     def read(self, text: str) -> dict[int, int]:
         """How often each feature occurs."""
-        words = Counter(self.restorer.spaced(text.lower()).split())
+        text = text.lower()
+        words = Counter(text.split())
         if len(self.known) > REMEMBERED:
             self.known.clear()
         out: dict[int, int] = {}
@@ -180,6 +264,15 @@ class Reader:
                 found = self.known[word] = self._word(word)
             for x in found:
                 out[x] = out.get(x, 0) + times
+        # a stretch has a blank and thus is no word; long ones are not kept at hand
+        for stretch, times in Counter(self.restorer.stretches(text)).items():
+            found = self.known.get(stretch)
+            if found is None:
+                found = self._stretch(stretch)
+                if len(stretch) <= 64:
+                    self.known[stretch] = found
+            for x in found:
+                out[x] = out.get(x, 0) + times
         return out
 
 
