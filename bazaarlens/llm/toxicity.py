@@ -6,7 +6,9 @@ What was observed gives a lattice of letters that may have been meant, each with
 the Viterbi algorithm finds the likeliest path under a character trigram model. The model is
 counted over all documents. A letter that stands twice may be meant once. Neighbouring pieces
 of up to SHORT characters, signs included, make one lattice, in which a blank is kept or
-dropped, so that the model chooses the word boundaries; longer pieces are not joined. In a row
+dropped, so that the model chooses the word boundaries; longer pieces are not joined. Signs at the
+edges of a word may be letters or punctuation, which is cheap there and dear elsewhere; the
+word is read in each way, as the model alone prefers the shorter one. In a row
 of three or more single characters a word may also begin and end at each of them, up to LONGEST
 letters, as a trigram tells little about boundaries there. Where
 only blanks or only doubled letters can be read in two ways, each choice depends on the
@@ -57,9 +59,12 @@ LOOK, DRAWN_OUT, DOUBLED, PUT_BETWEEN, LOST = 1.0, 0.5, 2.0, 1.0, 12.0
 SHORT, PIECES, AGAIN = 3, 4096, 64
 #: Letters of a word spelled in single characters, without those that only begin it.
 LONGEST = 16
+#: Combinations of the signs at both edges of a word that are all read.
+MANY_EDGES = 36
 _BETWEEN = ".-_*,~'"
 _STRETCH = re.compile(rf"(?<!\S)\S{{1,{SHORT}}}(?:\s+\S{{1,{SHORT}}})+(?!\S)")
 _SINGLES = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
+_LETTER = re.compile(r"[^\W\d_]")
 _TWICE = re.compile(r"([a-z])\1")
 _WORD = re.compile(r"[^\W\d_]+")
 _ODD = re.compile(r"[0-9@$!|+(]|([a-z])\1\1|[a-z][.\-_*,~'][a-z]")
@@ -178,10 +183,31 @@ class Restorer:
             return self.once(core) if _TWICE.search(core) else token
         return self.decode(core)
 
-    def readings(self, token: str) -> list[str]:
-        """A piece without spaces as it stands and, if that differs, restored."""
-        restored = self.word(token)
-        return [token] if restored == token else [token, restored]
+    def readings(self, token: str) -> set[str]:
+        """A piece without spaces as it stands, restored, and with each number of the signs at
+        its edges read as letters, from none to all; what is farther out is punctuation."""
+        if not _ODD.search(token):  # most pieces
+            return {token, self.once(token)} if _TWICE.search(token) else {token}
+        found = {token, self.word(token)}
+        inside = [i for i, c in enumerate(token) if c.isalnum()]
+        if not inside or not _LETTER.search(token):
+            return found
+        first, last = inside[0], inside[-1] + 1
+        # equal signs in a row are read as one drawn-out sign
+        starts = [first, *(i for i in range(first) if token[i] in LOOKS_LIKE and token[i] != token[i - 1 : i])]
+        ends = [last, *(i for i in range(last + 1, len(token) + 1) if token[i - 1] in LOOKS_LIKE and token[i - 1] != token[i : i + 1])]
+        if len(starts) * len(ends) == 1:
+            if last - first < len(token):
+                found.add(self.word(token[first:last]))
+            return found
+        if len(starts) * len(ends) > MANY_EDGES:  # each edge with the other one as none or all
+            cuts = {(a, b) for a in starts for b in (last, ends[-1])} | {(a, b) for a in (first, min(starts)) for b in ends}
+        else:
+            cuts = {(a, b) for a in starts for b in ends}
+        for a, b in cuts:
+            piece = token[a:b]
+            found.add(self.decode(piece) if _ODD.search(piece) else self.once(piece))
+        return found
 
     def joined(self, stretch: str) -> str:
         """Neighbouring short pieces, with blanks where the model has them."""

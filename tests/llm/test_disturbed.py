@@ -44,3 +44,19 @@ def test_plain_words_keep_their_features(reader):
 def test_doubled_letters_as_in_the_lattice(reader):
     for word in ("stuupid", "letter", "morron", "aabbcc", "ébbé", "annassee"):
         assert reader.restorer.once(word) == reader.restorer.decode(word)
+
+
+@pytest.mark.parametrize(
+    "seen, meant",
+    [
+        ("!diot", "idiot"), ("|oser", "loser"), ("+rash", "trash"), ("tra$h!!", "trash"), ("(idiot", "idiot"),
+        ("(loser)", "loser"), ("@stupid", "stupid"), ("(!diot).", "idiot"), ("$tupid!", "stupid"), ("id!o+,", "idiot"),
+        ("(house)", "house"), ("house!", "house"),
+    ],
+)
+def test_signs_at_the_edges(reader, seen, meant):
+    assert has(reader, f"hansh {seen} hansh", meant), reader.restorer.readings(seen)
+
+
+def test_a_word_among_very_many_signs(reader):
+    assert has(reader, "!+" * 30 + "(idiot" + "+!" * 30, "idiot")
