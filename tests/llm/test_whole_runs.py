@@ -50,3 +50,23 @@ def test_whole_runs_of_the_documents(spark):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
     got = {r["doc_id"]: r["text"] for r in line_dedup.without_copies(docs, whole=True).collect()}
     assert got == brute(texts, line_dedup.LEAST)
+
+
+def made_rows(plan):
+    """Rows out of every explode of an executed plan."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return made_rows(plan.executedPlan())
+    if plan.nodeName().endswith("QueryStage"):
+        return made_rows(plan.plan())
+    own = plan.metrics().apply("numOutputRows").value() if plan.nodeName() == "Generate" else 0
+    return own + sum(made_rows(plan.children().apply(i)) for i in range(plan.children().size()))
+
+
+@pytest.mark.parametrize("whole", [False, True])
+def test_a_block_of_blank_lines_is_exploded_once(spark, whole):
+    text = "x" * 160 + "\n" * 800 + "y" * 160
+    docs = spark.createDataFrame([(1, text), (2, text)], "doc_id long, text string")
+    gone = line_dedup.deleted_lines(docs, whole=whole)
+    rows = [(r["doc"]["id"], r["at"]) for r in gone.collect()]
+    assert sorted(rows) == [(2, i) for i in range(801)]
+    assert made_rows(gone._jdf.queryExecution().executedPlan()) == 801
