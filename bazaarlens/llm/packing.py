@@ -36,11 +36,10 @@ from pyspark.sql import functions as F
 
 from bazaarlens.llm.common import KEPT, range_bounds, range_number, shuffle_partitions, tidy, written
 from bazaarlens.llm.hashing import PrefixHash
+from bazaarlens.llm.units import Known, Ragged, pieces, stretches
 
 END, LENGTH = 2, 4096
 DIMENSIONS, BITS = 4, 10
-#: Words whose ids a Python worker keeps at hand; of more, the half met most often stays.
-REMEMBERED = 120_000
 #: What keeps a text from being split here: characters that do not lower-case and normalise
 #: one by one, alike in every Unicode version; special tokens; contractions.
 _UNUSUAL = re.compile("[^\t\n\r\x20-\x7e\xa1-\u012f\u0131-\u017f]")
@@ -50,6 +49,7 @@ _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: The same for the usual characters: white space, letters, numbers, others; END_MARK ends a text.
 _SPACE, _LETTER, _NUMBER, _OTHER, _END_CLASS = range(5)
 END_MARK = "\x01"
+_LAST = END_MARK.encode()
 _CLASS = np.array(
     [
         _END_CLASS
@@ -67,96 +67,89 @@ class Encoder:
     """Ids of texts by a tokenizer's file, without special tokens.
 
     If the file lower-cases and splits words as expected, texts of usual characters are split
-    here by numpy, and each different word is encoded once; any other text goes to the
-    tokenizer whole. Words are told apart by 64-bit hashes of their characters.
+    here by numpy, and the merges are applied once to each different word; any other text goes to
+    the tokenizer, cut at blanks if it is long. Words are told apart by hashes of their characters.
+
+    The merges are tiktoken's, by ranks: a word's last byte and its end mark form a token first, and a
+    token's rank is its place among the file's merges, each of which makes a token of its own.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
-
-        self.path, self.whole = path, None
-        # the model for words that are lower-cased and split already
-        self.words = Tokenizer.from_file(path)
-        self.words.normalizer = normalizers.Sequence([])
-        self.words.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.size = self.words.get_vocab_size()
-        self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         with open(path) as file:
             told = json.load(file)
+        self.path, self.whole, self.merges = path, None, None
+        model, end_mark = told["model"], told["model"].get("end_of_word_suffix")
+        added = {x["content"]: x["id"] for x in told.get("added_tokens") or []}
+        self.size = max([*model["vocab"].values(), *added.values()]) + 1
+        self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         splits = [x.get("pattern", {}).get("Regex") for x in (told["pre_tokenizer"] or {}).get("pretokenizers", [])]
         kinds = [x["type"] for x in (told["normalizer"] or {}).get("normalizers", [])]
-        self.by_word = kinds == ["NFC", "Replace", "Lowercase"] and splits == [_SPLIT, None]
-        self.known: dict[int, int] = {}
-        # the ids of all known words behind one another; for each word where its are, how
-        # many, its hash and how often it was met
-        self.pool, self.used = np.zeros(1 << 16, self.kind), 0
-        self.first, self.count, self.hits = (np.zeros(1 << 12, np.int64) for _ in range(3))
-        self.hashes = np.zeros(1 << 12, np.uint64)
-
-    def _forget(self, most: int) -> None:
-        """Keeps the words met most often."""
-        n = len(self.known)
-        kept = np.sort(np.argsort(-self.hits[:n], kind="stable")[:most])
-        count = self.count[kept]
-        upto = np.cumsum(count)
-        ids = self.pool[np.repeat(self.first[kept] - upto + count, count) + np.arange(count.sum())]
-        self.pool[: len(ids)], self.used = ids, len(ids)
-        self.hashes[: len(kept)], self.hits[: len(kept)] = self.hashes[kept], self.hits[kept] // 2
-        self.first[: len(kept)], self.count[: len(kept)] = upto - count, count
-        self.known = dict(zip(self.hashes[: len(kept)].tolist(), range(len(kept))))
-
-    def _learn(self, hashes: list[int], words: list[str]) -> None:
-        plain = [" " if w == END_MARK else w for w in words]
-        found = self.words.encode(plain, is_pretokenized=True, add_special_tokens=False)
-        ids, cuts = np.array(found.ids, self.kind), np.searchsorted(found.word_ids, np.arange(len(words) + 1))
-        for i, w in enumerate(words):
-            if w == END_MARK:
-                ids = np.concatenate([ids[: cuts[i]], np.array([END], self.kind), ids[cuts[i + 1] :]])
-                cuts[i + 1 :] += 1 - (cuts[i + 1] - cuts[i])
-        n, size = len(self.known), self.used + len(ids)
-        while size > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        while n + len(words) > len(self.first):
-            self.first, self.count, self.hits, self.hashes = (
-                np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.count, self.hits, self.hashes)
-            )
-        new = slice(n, n + len(words))
-        self.pool[self.used : size] = ids
-        self.first[new], self.count[new] = cuts[:-1] + self.used, np.diff(cuts)
-        self.hits[new], self.hashes[new] = 0, hashes
-        self.known.update(zip(hashes, range(n, n + len(words))))
-        self.used = size
-
-    def _usual(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of texts of usual characters, with END."""
-        whole = "".join(x.lower() + END_MARK for x in texts)
+        if kinds == ["NFC", "Replace", "Lowercase"] and splits == [_SPLIT, None] and end_mark:
+            self._read_merges(model, end_mark, added)
+        self.by_word = self.merges is not None
+        self.pool, self.sums, self.weights = Ragged(self.kind), np.zeros((1 << 12, DIMENSIONS)), _weights(self.size)
+        self.known = Known(self._learn, self._keep)
+
+    def _read_merges(self, model: dict, end_mark: str, added: dict[str, int]) -> None:
+        raw = {c: bytes([b]) for b, c in _byte_characters().items()}
+
+        def spelled(token: str) -> bytes:
+            ends = token.endswith(end_mark)
+            token = token[: -len(end_mark)] if ends else token
+            return b"".join(raw[c] for c in token) + (_LAST if ends else b"")
+
+        made = [spelled(a) + spelled(b) for a, b in (x.split(" ") if isinstance(x, str) else x for x in model["merges"])]
+        single = [bytes([b]) for b in range(256)]
+        ranks = {x: i for i, x in enumerate([*single, *(x + _LAST for x in single if x != _LAST), *made])}
+        ids = {spelled(x): i for x, i in model["vocab"].items() if x not in added}
+        if len(ranks) != 511 + len(made) or not all(x in ids for x in ranks if _LAST not in x[:-1] and x != _LAST):
+            return  # a token has two merges, or none
+        self.id_of = np.array([END if x == _LAST else ids.get(x, 0) for x in ranks])
+        self.ends = np.array([x.endswith(_LAST) for x in ranks])
+        import tiktoken
+
+        pattern = f"[^{END_MARK}]*{END_MARK}"
+        self.merges = tiktoken.Encoding("merges", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})._core_bpe
+
+    def _keep(self, rows: np.ndarray) -> None:
+        self.pool.keep(rows)
+        self.sums[: len(rows)] = self.sums[rows]
+
+    def _learn(self, places: np.ndarray) -> None:
+        """The ids of the words at these places of the different ones of this step, and the sum
+        of their weights."""
+        whole, start, stop = self.step
+        words = [whole[a:b] for a, b in zip(start[places].tolist(), stop[places].tolist())]
+        ended = "".join(w if w == END_MARK else w + END_MARK for w in words)
+        ranks = np.array(self.merges.encode_ordinary(ended), np.int64)
+        ids, stops = self.id_of[ranks], np.flatnonzero(self.ends[ranks]) + 1
+        starts = np.concatenate([[0], stops[:-1]])
+        rows = self.pool.rows
+        self.pool.add(ids.astype(self.kind), stops - starts)
+        while self.pool.rows > len(self.sums):
+            self.sums = np.concatenate([self.sums, np.zeros_like(self.sums)])
+        self.sums[rows : self.pool.rows] = np.add.reduceat(self.weights[ids].astype(np.float64), starts)
+
+    def _usual(self, held: list[str], ends: list[bool]) -> tuple[list[np.ndarray], np.ndarray]:
+        """Ids of texts of usual characters, with END, and the sums of their weights; the last
+        text may go on."""
+        whole = "".join(x.lower() + (END_MARK if e else " ") for x, e in zip(held, ends))
         codes = np.frombuffer(whole.encode("utf-16-le"), "<u2")
         kind = _CLASS[codes]
         new = np.ones(len(kind) + 1, bool)
         new[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == _NUMBER) | (kind[1:] == _END_CLASS)
         word = kind != _SPACE
         start, stop = np.flatnonzero(new[:-1] & word), np.flatnonzero(new[1:] & word) + 1
+        if not len(start):
+            return [np.zeros(0, self.kind)], np.zeros((1, DIMENSIONS))
         hashes, one, which = np.unique(PrefixHash(codes).pieces(start, stop), return_index=True, return_inverse=True)
-        hashes = hashes.tolist()
-        places = list(map(self.known.get, hashes))
-        if None in places:
-            missing = [i for i, p in enumerate(places) if p is None]
-            if len(self.known) + len(missing) > REMEMBERED:
-                self._forget(REMEMBERED // 2)
-                missing = [i for i, h in enumerate(hashes) if h not in self.known]
-            for i in range(0, len(missing), 4096):
-                part = missing[i : i + 4096]
-                self._learn([hashes[j] for j in part], [whole[start[one[j]] : stop[one[j]]] for j in part])
-            places = list(map(self.known.__getitem__, hashes))
-        place = np.array(places)
-        self.hits[place] += 1
-        place = place[which]
-        count = self.count[place]
-        upto = np.cumsum(count)
-        behind = np.repeat((self.first[place] - upto + count).astype(np.int32), count)
-        ids = self.pool[behind + np.arange(upto[-1], dtype=np.int32)]
-        return np.split(ids, upto[np.flatnonzero(kind[start] == _END_CLASS)][:-1])
+        self.step = whole, start[one], stop[one]
+        row = self.known.rows(hashes)[which]
+        ids, count = self.pool.take(row)
+        cut = np.flatnonzero(kind[start] == _END_CLASS) + 1
+        first = np.concatenate([[0], cut[cut < len(start)]])
+        return np.split(ids, np.cumsum(count)[first[1:] - 1]), np.add.reduceat(self.sums[row], first)
 
     def _tokenizer(self):
         """The tokenizer itself, loaded when the first text needs it."""
@@ -166,15 +159,40 @@ class Encoder:
             self.whole = Tokenizer.from_file(self.path)
         return self.whole
 
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        """The ids of each text, END included."""
+    def encoded(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The ids of each text, END included, and the sum of their weights."""
         usual = [i for i, x in enumerate(texts) if self.by_word and not _UNUSUAL.search(x) and not _SPECIAL.search(x)]
-        out = dict(zip(usual, self._usual([texts[i] for i in usual]))) if usual else {}
+        out: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        parts: list[np.ndarray] = []
+        total, done = np.zeros(DIMENSIONS), 0
+        for held, ends in stretches([texts[i] for i in usual]):
+            found, sums = self._usual(held, ends)
+            for k, (ids, added) in enumerate(zip(found, sums)):
+                parts.append(ids)
+                total = total + added
+                if k < sum(ends):
+                    out[usual[done]] = np.concatenate(parts), total
+                    parts, total, done = [], np.zeros(DIMENSIONS), done + 1
         for i, x in enumerate(texts):
             if i not in out:
-                out[i] = np.array([*self._tokenizer().encode(x, add_special_tokens=False).ids, END], self.kind)
+                cut = [x] if not self.by_word or _SPECIAL.search(x) else pieces(x)
+                ids = [y for p in cut for y in self._tokenizer().encode(p, add_special_tokens=False).ids]
+                ids = np.array([*ids, END], self.kind)
+                out[i] = ids, self.weights[ids].sum(0, dtype=np.float64)
         return [out[i] for i in range(len(texts))]
 
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, END included."""
+        return [ids for ids, _ in self.encoded(texts)]
+
+
+def _byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in the file: itself if it can be seen, else one of
+    those from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {**{b: chr(b) for b in seen}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
+
 
 def _encoder(path: str) -> Encoder:
     """One for all tasks of a Python worker, with the words it knows."""
@@ -192,13 +210,12 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
-        weights = _weights(encoder.size)
         for whole in batches:
             for start in range(0, len(whole), 250):
                 batch = whole.slice(start, 250)
-                ids = encoder.ids([x or "" for x in batch.column(1).to_pylist()])
-                packed, counts = [x.tobytes() for x in ids], [len(x) for x in ids]
-                vectors = [(weights.take(x, axis=0).sum(0) / len(x) ** 0.5).tolist() for x in ids]
+                found = encoder.encoded([x or "" for x in batch.column(1).to_pylist()])
+                packed, counts = [x.tobytes() for x, _ in found], [len(x) for x, _ in found]
+                vectors = [(total / len(x) ** 0.5).tolist() for x, total in found]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), pa.array(counts, pa.int64()), pa.array(packed, pa.binary()), pa.array(vectors, pa.list_(pa.float64()))],
                     ["doc_id", "tokens", "ids", "x"],

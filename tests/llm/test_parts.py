@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from bazaarlens.llm import fingerprints, packing, suffix_dedup, toxicity
+from bazaarlens.llm import fingerprints, ngram_join, packing, suffix_dedup, toxicity, units
 from bazaarlens.llm.common import components, range_bounds, range_number, shared_dir, steps
 from bazaarlens.llm.hashing import PrefixHash
 from bazaarlens.llm.vector_search import fit
@@ -129,12 +129,62 @@ def test_encoder_gives_the_tokenizers_ids(tokenizer, texts):
 
 def test_encoder_forgets_and_goes_on(tokenizer, monkeypatch):
     fast, slow = tokenizer
-    monkeypatch.setattr(packing, "REMEMBERED", 5)
+    monkeypatch.setattr(fast.known, "most", 5)
     for i in range(6):
         text = f"one two three {'abcdef'[i] * 3} x{i} y{i}z"
         assert fast.ids([text])[0].tolist() == [*slow.encode(text, add_special_tokens=False).ids, 2]
 
 
+def thue_morse(log2):
+    """The word and its complement, which collide modulo 2^64 for any odd base."""
+    bits = np.zeros(1, np.uint8)
+    for _ in range(log2):
+        bits = np.concatenate([bits, 1 - bits])
+    return tuple((97 + x).astype(np.uint8).tobytes().decode() for x in (bits, 1 - bits))
+
+
+@pytest.mark.parametrize("log2", [10, 11, 14])
+def test_thue_morse_words_have_ids_and_grams_of_their_own(tokenizer, log2):
+    fast, slow = tokenizer
+    a, b = thue_morse(log2)
+    hashes = PrefixHash(np.frombuffer((a + b).encode(), np.uint8))
+    ends = np.array([len(a), 2 * len(a)])
+    assert len(set(hashes.raw(ends - len(a), ends).tolist())) == 1  # the sum modulo 2^64 alone
+    assert len(set(hashes.pieces(ends - len(a), ends).tolist())) == 2
+    want = [[*slow.encode(t, add_special_tokens=False).ids, 2] for t in (a, b, f"{a} {b}")]
+    assert [x.tolist() for x in fast.ids([a, b, f"{a} {b}"])] == want
+    data = np.frombuffer(f"{a} x{b} x".encode(), np.uint8)
+    one, two = ngram_join.grams(data, np.array([0, len(a) + 2, len(data)]), 1)
+    assert len(np.intersect1d(one, two)) == 1
+
+
+def test_long_texts_are_encoded_in_pieces(tokenizer):
+    fast, slow = tokenizer
+    words = ["wort", "élan", "x2", "don't", "\n\n", "  ", "--", "日本"]
+    dice = np.random.default_rng(3)
+    long = " ".join(words[i] for i in dice.integers(0, 7, 500_000))
+    texts = ["first", long, "", long[:1_500_000] + " 日本 " + long[:900_000], "last"]
+    assert sum(len(p) for p in units.pieces(long)) + sum(1 for _ in units.pieces(long)) - 1 == len(long)
+    want = [[*slow.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert [x.tolist() for x in fast.ids(texts)] == want
+
+
+@given(st.lists(st.text(st.sampled_from("ab \n"), max_size=30), max_size=6), st.integers(1, 9))
+@settings(max_examples=200, deadline=None)
+def test_stretches_hold_all_texts(texts, most):
+    found, now = [], ""
+    for held, ends in units.stretches(texts, most):
+        assert len(held) == len(ends) and held
+        for piece, end in zip(held, ends):
+            now += piece
+            if end:
+                found.append(now)
+                now = ""
+            else:
+                now += " "
+    assert found == texts and now == ""
+
+
 def test_the_rest_is_cut_into_powers_of_two():
     for total in (0, 1, 4095, 4096, 4097, 10_000):
         cuts = packing._cuts(total, 4096)
