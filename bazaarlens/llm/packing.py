@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from bazaarlens.llm.common import KEPT, range_bounds, range_number, shuffle_partitions, tidy, written
 from bazaarlens.llm.hashing import PrefixHash
-from bazaarlens.llm.units import Known, Ragged, pieces, stretches
+from bazaarlens.llm.units import Known, Ragged, byte_characters, pieces, stretches
 
 END, LENGTH = 2, 4096
 DIMENSIONS, BITS = 4, 10
@@ -92,7 +92,7 @@ class Encoder:
         self.known = Known(self._learn, self._keep)
 
     def _read_merges(self, model: dict, end_mark: str, added: dict[str, int]) -> None:
-        raw = {c: bytes([b]) for b, c in _byte_characters().items()}
+        raw = {c: bytes([b]) for b, c in byte_characters().items()}
 
         def spelled(token: str) -> bytes:
             ends = token.endswith(end_mark)
@@ -186,14 +186,6 @@ class Encoder:
         return [ids for ids, _ in self.encoded(texts)]
 
 
-def _byte_characters() -> dict[int, str]:
-    """The character that stands for each byte in the file: itself if it can be seen, else one of
-    those from 256 on."""
-    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in seen]
-    return {**{b: chr(b) for b in seen}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
-
-
 def _encoder(path: str) -> Encoder:
     """One for all tasks of a Python worker, with the words it knows."""
     if path not in KEPT:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlens.llm import (
+    alignment,
     fingerprints,
     language_id,
     line_dedup,
@@ -97,6 +98,11 @@ def op10_url_filter(spark: SparkSession, directory: str) -> DataFrame:
     return url_filter.filter_urls(pages, listed, spark.sql(URL_RULES)).drop("url")
 
 
+def op12_cross_tokenizer_alignment(spark: SparkSession, directory: str) -> DataFrame:
+    docs = _table(spark, directory, "documents")
+    return alignment.aligned(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def _prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, directory: str) -> DataFrame:
         prepare(spark)
@@ -118,5 +124,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_suffix_dedup,
         op9_language_id,
         op10_url_filter,
+        op12_cross_tokenizer_alignment,
     )
 }

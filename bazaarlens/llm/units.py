@@ -53,6 +53,14 @@ def stretches(texts: list[str], most: int = PIECE) -> Iterator[tuple[list[str],
         yield held, ends
 
 
+def byte_characters() -> dict[int, str]:
+    """The character that stands for each byte in the files of byte-level tokenizers: itself if it
+    can be seen, else one of those from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {**{b: chr(b) for b in seen}, **{b: chr(256 + i) for i, b in enumerate(hidden)}}
+
+
 class Ragged:
     """Rows of numbers of different lengths, behind one another."""
 
