@@ -16,6 +16,7 @@ from bazaarlens.llm import (
     mixing,
     ngram_join,
     packing,
+    personal_data,
     suffix_dedup,
     toxicity,
     url_filter,
@@ -103,6 +104,10 @@ def op12_cross_tokenizer_alignment(spark: SparkSession, directory: str) -> DataF
     return alignment.aligned(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op13_personal_data(spark: SparkSession, directory: str) -> DataFrame:
+    return personal_data.told(personal_data.private_spans(_table(spark, directory, "documents")))
+
+
 def _prepared(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, directory: str) -> DataFrame:
         prepare(spark)
@@ -125,5 +130,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_language_id,
         op10_url_filter,
         op12_cross_tokenizer_alignment,
+        op13_personal_data,
     )
 }
