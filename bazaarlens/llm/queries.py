@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from bazaarlens.llm import (
     alignment,
+    conversations,
     fingerprints,
     language_id,
     line_dedup,
@@ -99,6 +100,16 @@ def op10_url_filter(spark: SparkSession, directory: str) -> DataFrame:
     return url_filter.filter_urls(pages, listed, spark.sql(URL_RULES)).drop("url")
 
 
+def op11_conversation_repair(spark: SparkSession, directory: str) -> DataFrame:
+    turns = _table(spark, directory, "conversations").select("conv_id", "turn", "role", "text")
+    shown = [F.coalesce(F.col(x).cast("string"), F.lit(" ")) for x in ("conv_id", "turn")]
+    damage = F.crc32(F.concat_ws(":", *shown).cast("binary")) % 20
+    text = F.coalesce("text", F.lit(" "))
+    text = F.when(damage == 1, "").when(damage == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text)
+    turns = turns.withColumns({"role": F.when(damage == 4, "user").otherwise(F.col("role")), "text": text})
+    return conversations.repaired(turns, F.when(damage == 0, 0).when(damage == 3, 2).otherwise(1))
+
+
 def op12_cross_tokenizer_alignment(spark: SparkSession, directory: str) -> DataFrame:
     docs = _table(spark, directory, "documents")
     return alignment.aligned(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -129,6 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_suffix_dedup,
         op9_language_id,
         op10_url_filter,
+        op11_conversation_repair,
         op12_cross_tokenizer_alignment,
         op13_personal_data,
     )
