@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import shutil
 import tempfile
 import uuid
@@ -20,10 +21,13 @@ STEP_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one only where none is set."""
+    """The folder that driver and executors share; a folder of its own only where none is set and
+    all run on one machine."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if not current.isDefined() and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("on a cluster, spark.checkpoint.dir must name a folder that all machines share")
         named = current.get() if current.isDefined() else tempfile.mkdtemp(prefix="bazaarlens-")
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(named)
@@ -58,10 +62,15 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The name of a new folder in the shared one."""
+    return f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+
+
 def written(frame: DataFrame) -> DataFrame:
     """The rows as a Parquet table in the shared folder, so that later reads prune columns."""
     spark = frame.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    path = shared_folder(spark)
     frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 

@@ -7,16 +7,13 @@ the name at level j + 1 is made of the names of both halves. Suffixes whose name
 at a level leave: their common prefix with every other is shorter. What stays at a level is
 the set of intervals of the suffix array with a longest common prefix of 2^j lines or more.
 
-From every line the shortest run that holds `least` characters is looked up: its m lines
-are covered by two names of the level of m, so equal runs are known exactly. A line goes when
-such a run that contains it has occurred before, in the order of doc_id and line. Copies
-inside one document count. This is the rule of the SQL of op7_line_dedup. It leaves lines at
-the end of a repeated run, from which `least` characters no longer fit in the run.
-
-With `whole` the shortest run that ends at each line is looked up too. Then every line of every
-repeated run of `least` characters goes: where so many fit in the run from the line, or up to
-it, the shortest run that starts or ends there lies in the run; where neither is so, the line
-lies in the shortest run from the first line. The stage lines of the pipeline asks for this.
+The levels are one table. A maximal repeated run of `least` characters or more is the union of the
+shortest runs of so many characters that start, or end, at its lines: where so many fit in the run
+from a line, or up to it, that shortest run lies inside; where neither is so, the line lies in the
+shortest run from the first line. So these are looked up, each by two names of the level of its
+number of lines, which cover it. A line goes when such a run that contains it has occurred before,
+in the order of doc_id and line, so later copies of maximal runs go whole. Copies inside one document
+count. This is the rule of the SQL of op7_line_dedup, which compares the maximal runs themselves.
 
 Only lines that occur twice are ever shuffled beyond the first count; the work of the later
 levels follows the repeated text. Names are counted with sums combined before the shuffle.
@@ -38,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.common import checkpointed
+from bazaarlens.llm.common import shared_folder, written
 
 #: Characters that a repeated run must have; line feeds do not count.
 LEAST = 150
@@ -71,66 +68,57 @@ def _repeated(named: DataFrame) -> DataFrame:
     return named.join(often, named["name"].eqNullSafe(often["name"]), "left_semi")
 
 
-def levels(all_lines: DataFrame) -> list[DataFrame]:
-    """Level j: doc, at, name of the 2^j lines from there, where that occurs twice."""
-    found = [checkpointed(_repeated(all_lines).distinct())]  # equal rows are one document
-    length = 1
+def levels(all_lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """doc, at, name and size of the lines that occur twice; and level, doc, at, name of the 2^level
+    lines from there, where those occur twice."""
+    base = written(_repeated(all_lines).distinct())  # equal rows are one document
+    spark, folder = all_lines.sparkSession, shared_folder(all_lines.sparkSession)
+    now, level = base.select("doc", "at", "name"), 0
+    schema = now.schema
     while True:
-        now = found[-1].select("doc", "at", "name")
-        later = now.select("doc", (F.col("at") - length).alias("at"), F.col("name").alias("next"))
-        pairs = now.join(later, ["doc", "at"]).select("doc", "at", _name("name", "next").alias("name"))
-        longer = checkpointed(_repeated(pairs))
-        if longer.isEmpty():
-            return found
-        found.append(longer)
-        length *= 2
-
-
-def deleted_lines(docs: DataFrame, *, least: int = LEAST, whole: bool = False) -> DataFrame:
-    """doc and at of every line that goes; whole: repeated runs go to their last line."""
-    found = levels(lines(docs))
-    base = found[0]
+        now.write.option("compression", "zstd").parquet(f"{folder}/level={level}")
+        now = spark.read.schema(schema).parquet(f"{folder}/level={level}")
+        if now.isEmpty():
+            break
+        later = now.select("doc", (F.col("at") - (1 << level)).alias("at"), F.col("name").alias("next"))
+        now = _repeated(now.join(later, ["doc", "at"]).select("doc", "at", _name("name", "next").alias("name")))
+        level += 1
+    return base, spark.read.schema(schema.add("level", "integer")).option("basePath", folder).parquet(folder)
+
+
+def _shortest(stretch: DataFrame, least: int) -> DataFrame:
+    """doc, at and m (lines) of the shortest runs of `least` characters from and up to each line."""
+    before = F.col("upto") - F.col("size")
+    rows = lambda ask, value: stretch.select("doc", "stretch", "at", F.lit(ask).alias("ask"), value.alias("value"))
+    window = Window.partitionBy("doc", "stretch").rowsBetween(Window.unboundedPreceding, 0)
+    mark = F.when(F.col("ask") == 0, F.col("at"))
+    # such a run from a line ends at the first line where the characters up to there exceed those
+    # before the line by so many; in falling order every mark at or above an asked value comes first
+    ahead = rows(0, F.col("upto")).union(rows(1, before + F.lit(least)))
+    ahead = ahead.withColumn("end", F.min(mark).over(window.orderBy(F.desc("value"), "ask")))
+    ahead = ahead.where("ask = 1 AND end >= at").select("doc", "at", (F.col("end") - F.col("at") + 1).alias("m"))
+    # one up to a line starts at the last line before which they are fewer by so many than those
+    # up to the line; in rising order every mark at or below an asked value comes first
+    back = rows(0, before).union(rows(1, F.col("upto") - F.lit(least)))
+    back = back.withColumn("start", F.max(mark).over(window.orderBy("value", "ask")))
+    back = back.where("ask = 1 AND start <= at").select("doc", F.col("start").alias("at"), (F.col("at") - F.col("start") + 1).alias("m"))
+    return ahead.union(back).distinct()
+
+
+def deleted_lines(docs: DataFrame, *, least: int = LEAST) -> DataFrame:
+    """doc and at of every line that goes."""
+    base, names = levels(lines(docs))
     # stretches of neighbouring repeated lines; a run lies inside one
     in_doc = Window.partitionBy("doc").orderBy("at")
     stretch = base.withColumn("stretch", F.col("at") - F.row_number().over(in_doc))
     so_far = Window.partitionBy("doc", "stretch").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    stretch = stretch.withColumn("upto", F.sum("size").over(so_far).cast("long"))
-    # the shortest run of `least` characters from a line ends at the first line where the
-    # characters up to there exceed those before the line by so many
-    from_here = F.col("upto") - F.col("size") + F.lit(least)
-    marks = stretch.select("doc", "stretch", "at", "upto", F.lit(0).alias("ask"), F.col("upto").alias("value"))
-    asks = stretch.select("doc", "stretch", "at", "upto", F.lit(1).alias("ask"), from_here.alias("value"))
-    # in falling order every mark at or above an asked value comes before it
-    after = Window.partitionBy("doc", "stretch").orderBy(F.desc("value"), "ask").rowsBetween(Window.unboundedPreceding, 0)
-    both = marks.union(asks).withColumn("end", F.min(F.when(F.col("ask") == 0, F.col("at"))).over(after))
-    runs = both.where("ask = 1 AND end IS NOT NULL AND end >= at")
-    runs = runs.select("doc", "at", (F.col("end") - F.col("at") + 1).alias("m"))
-    if whole:
-        # the shortest run that ends at a line starts at the last line before which the
-        # characters are fewer by so many than those up to the line
-        before = F.col("upto") - F.col("size")
-        marks = stretch.select("doc", "stretch", "at", F.lit(0).alias("ask"), before.alias("value"))
-        asks = stretch.select("doc", "stretch", "at", F.lit(1).alias("ask"), (F.col("upto") - F.lit(least)).alias("value"))
-        # in rising order every mark at or below an asked value comes before it
-        up = Window.partitionBy("doc", "stretch").orderBy("value", "ask").rowsBetween(Window.unboundedPreceding, 0)
-        both = marks.union(asks).withColumn("start", F.max(F.when(F.col("ask") == 0, F.col("at"))).over(up))
-        back = both.where("ask = 1 AND start IS NOT NULL AND start <= at")
-        back = back.select("doc", F.col("start").alias("at"), (F.col("at") - F.col("start") + 1).alias("m"))
-        runs = runs.union(back).distinct()
-    runs = checkpointed(runs)
-    named = None
-    for level, names in enumerate(found):
-        size = 1 << level
-        own = runs.where((F.col("m") >= size) & (F.col("m") < 2 * size))
-        at_end = names.select("doc", F.col("at").alias("tail"), F.col("name").alias("last"))
-        part = (
-            own.join(names.select("doc", "at", F.col("name").alias("first")), ["doc", "at"])
-            .withColumn("tail", F.col("at") + F.col("m") - size)
-            .join(at_end, ["doc", "tail"])
-            .select("doc", "at", "m", _name("m", "first", "last").alias("name"))
-        )
-        named = part if named is None else named.union(part)
-    named = checkpointed(named)
+    stretch = written(stretch.select("doc", "at", "size", "stretch", F.sum("size").over(so_far).cast("long").alias("upto")))
+    runs = _shortest(stretch, least).withColumn("level", F.length(F.bin("m")) - 1)
+    runs = runs.withColumn("tail", F.expr("at + m - shiftleft(1, level)"))
+    at_start = names.select("level", "doc", "at", F.col("name").alias("first"))
+    at_end = names.select("level", "doc", F.col("at").alias("tail"), F.col("name").alias("last"))
+    named = runs.join(at_start, ["level", "doc", "at"]).join(at_end, ["level", "doc", "tail"])
+    named = written(named.select("doc", "at", "m", _name("m", "first", "last").alias("name")))
     place = F.struct("doc", "at")
     first = named.groupBy("name").agg(F.min(place).alias("first"), F.count("*").alias("often")).where("often > 1")
     first = first.select(F.col("name").alias("same"), "first")
@@ -143,9 +131,9 @@ def deleted_lines(docs: DataFrame, *, least: int = LEAST, whole: bool = False) -
     return copies.select("doc", F.explode(F.sequence("at", "until")).alias("at"))
 
 
-def without_copies(docs: DataFrame, *, least: int = LEAST, whole: bool = False) -> DataFrame:
+def without_copies(docs: DataFrame, *, least: int = LEAST) -> DataFrame:
     """The documents with their columns, text without the deleted lines, and lines_deleted."""
-    gone = deleted_lines(docs, least=least, whole=whole).groupBy("doc").agg(F.collect_set("at").alias("lines gone"))
+    gone = deleted_lines(docs, least=least).groupBy("doc").agg(F.collect_set("at").alias("lines gone"))
     kept = [c for c in docs.columns if c.lower() != "lines_deleted"]
     joined = docs.select(*[docs[c] for c in kept], document(docs).alias("its document")).join(
         gone.withColumnRenamed("doc", "its document"), "its document", "left"

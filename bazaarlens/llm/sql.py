@@ -39,28 +39,23 @@ FROM placed, blocks
 WHERE epoch * source_tokens <= budget OR before < budget
 """
 
-# Runs of lines are compared whole, and their ends are found by a join.
+# Pairs of equal lines, the later one first, make diagonals; a piece of a diagonal without a gap is a
+# maximal run that has occurred before, and goes with 150 characters.
 _LINES = r"""
 WITH split AS (
   SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text IS NOT NULL),
 lines AS (
   SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts)))::INT AS pos FROM split),
-sized AS (
-  SELECT *, length(line) AS size,
-    sum(length(line)) OVER (PARTITION BY doc_id ORDER BY pos)::BIGINT AS upto
-  FROM lines),
-ends AS (
-  SELECT a.doc_id, a.pos, min(b.pos) AS last
-  FROM sized a JOIN sized b ON a.doc_id = b.doc_id AND b.pos >= a.pos
-    AND b.upto >= a.upto - a.size + 150
-  GROUP BY ALL),
+pairs AS (
+  SELECT a.doc_id, a.pos, length(a.line) AS size, b.doc_id AS other, a.pos - b.pos AS shift,
+    a.pos - row_number() OVER (PARTITION BY a.doc_id, b.doc_id, a.pos - b.pos ORDER BY a.pos) AS island
+  FROM lines a JOIN lines b USING (line)
+  WHERE (a.doc_id, a.pos) > (b.doc_id, b.pos)),
 runs AS (
-  SELECT doc_id, pos, last, parts[pos + 1 : last + 1] AS run FROM ends JOIN split USING (doc_id)),
-firsts AS (
-  SELECT run, min((doc_id, pos)) AS first FROM runs GROUP BY run HAVING count(*) > 1),
+  SELECT doc_id, min(pos) AS start, max(pos) AS stop
+  FROM pairs GROUP BY doc_id, other, shift, island HAVING sum(size) >= 150),
 gone AS (
-  SELECT DISTINCT doc_id, unnest(range(pos, last + 1))::INT AS pos
-  FROM runs JOIN firsts USING (run) WHERE (doc_id, pos) > first),
+  SELECT DISTINCT doc_id, unnest(range(start, stop + 1))::INT AS pos FROM (SELECT DISTINCT * FROM runs)),
 kept AS (
   SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text
   FROM lines ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id),
