@@ -104,10 +104,29 @@ def tidy(run: Callable[[Batches], Batches], *, keeps: bool = False) -> Callable[
     return wrapped
 
 
+def free_name(name: str, frame: DataFrame) -> str:
+    """The name, changed if a column has it."""
+    taken = {c.lower() for c in frame.columns}
+    while name.lower() in taken:
+        name += " "
+    return name
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Bytes of text that one group of a dealing stands for, about.
+BLOCK_BYTES = 64 << 20
+
+
+def blocks_for(texts: DataFrame, column: str, least: int, most: int = 1 << 20) -> int:
+    """How many blocks the texts are dealt into: as their bytes ask for, so that no block grows with
+    the table."""
+    size = texts.agg(F.sum(F.octet_length(column).cast("long"))).first()[0] or 0
+    return max(least, min(most, -(-size // BLOCK_BYTES)))
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and where each text starts and ends; a null is empty."""
     column = pc.fill_null(column.cast(pa.large_string()), "")

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.common import shared_folder, written
+from bazaarlens.llm.common import free_name, shared_folder, written
 
 #: Characters that a repeated run must have; line feeds do not count.
 LEAST = 150
@@ -133,11 +133,10 @@ def deleted_lines(docs: DataFrame, *, least: int = LEAST) -> DataFrame:
 
 def without_copies(docs: DataFrame, *, least: int = LEAST) -> DataFrame:
     """The documents with their columns, text without the deleted lines, and lines_deleted."""
-    gone = deleted_lines(docs, least=least).groupBy("doc").agg(F.collect_set("at").alias("lines gone"))
+    gone = deleted_lines(docs, least=least).groupBy("doc").agg(F.collect_set("at").alias("lines"))
     kept = [c for c in docs.columns if c.lower() != "lines_deleted"]
-    joined = docs.select(*[docs[c] for c in kept], document(docs).alias("its document")).join(
-        gone.withColumnRenamed("doc", "its document"), "its document", "left"
-    )
+    its, lost = free_name("its document", docs), free_name("lines gone", docs)
+    joined = docs.select(*[docs[c] for c in kept], document(docs).alias(its)).join(gone.toDF(its, lost), its, "left")
     schema = docs.select(*kept).schema
     place = kept.index("text")
 
@@ -152,4 +151,4 @@ def without_copies(docs: DataFrame, *, least: int = LEAST) -> DataFrame:
             counts = pa.array([len(x or ()) for x in gone], pa.int32())
             yield pa.RecordBatch.from_arrays([*columns, counts], [*kept, "lines_deleted"])
 
-    return joined.select(*kept, "lines gone").mapInArrow(run, schema.add("lines_deleted", "integer"))
+    return joined.select(*kept, lost).mapInArrow(run, schema.add("lines_deleted", "integer"))

@@ -30,7 +30,7 @@ execution splits.
 Edge cases: a null or empty text, or one without words, has an empty set and links with
 nothing. A text with fewer words than n has its whole sequence as its only gram. A null
 doc_id keeps its row; it never names a component of others. Rows that share a doc_id are
-documents of their own. An empty table gives no rows. Other columns do not matter.
+documents of their own. Very long texts are hashed in pieces that end at a space. An empty table gives no rows. Other columns do not matter.
 """
 
 from __future__ import annotations
@@ -40,10 +40,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.common import checkpointed, components, give_back, shuffle_partitions, steps, tidy, utf8, written
+from bazaarlens.llm.common import (
+    STEP_BYTES,
+    blocks_for,
+    checkpointed,
+    components,
+    give_back,
+    shuffle_partitions,
+    steps,
+    tidy,
+    utf8,
+    written,
+)
 from bazaarlens.llm.hashing import PrefixHash, mixed
 
 #: Hashed grams that a task gathers before it deals them out.
@@ -60,30 +71,66 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def grams(data: np.ndarray, ends: np.ndarray, n: int) -> list[np.ndarray]:
-    """The sorted different hashes of the word n-grams of each text."""
-    data = _LOWER[data]
+def _words(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of some texts behind one another, and where each text's begin."""
     inside = np.concatenate([[False], ~_SPACE[data], [False]])
     edge = np.zeros(len(data) + 1, bool)
     edge[ends] = True
     # words are runs of other characters, cut where a text ends
     start = np.flatnonzero(inside[1:] & (~inside[:-1] | edge))
     stop = np.flatnonzero(inside[:-1] & (~inside[1:] | edge))
-    words = PrefixHash(data).pieces(start, stop)
-    at = np.searchsorted(start, ends)
-    out = []
-    for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
-        count = b - a
-        if not count:
-            out.append(np.zeros(0, np.uint64))
-            continue
-        size = min(n, count)
-        row = words[a : b - size + 1].copy()
-        for k in range(1, size):
-            row = row * np.uint64(0x9E3779B97F4A7C15) + words[a + k : b - size + 1 + k]
-        # a short sequence is no n-gram of another text
-        out.append(np.unique(mixed(row + np.uint64(size))))
-    return out
+    return PrefixHash(data).pieces(start, stop), np.searchsorted(start, ends)
+
+
+def _words_of(data: np.ndarray, most: int = STEP_BYTES) -> np.ndarray:
+    """The same for one long text, in pieces that end at a space; a word longer than two pieces is
+    hashed by itself."""
+    out, at = [np.zeros(0, np.uint64)], 0
+    while at < len(data):
+        end = at + most
+        while end < len(data):
+            space = np.flatnonzero(_SPACE[data[end : end + most]])
+            if len(space):
+                end += int(space[0])
+                break
+            end += most
+        end = min(end, len(data))
+        space = np.flatnonzero(_SPACE[data[at : at + most]])
+        first = at + (int(space[-1]) + 1 if len(space) else 0)
+        if end - first <= 2 * most:
+            first = end
+        piece = data[at:first]
+        out.append(_words(piece, np.array([0, len(piece)]))[0])
+        if first < end:
+            digest = hashlib.blake2b(data[first:end].tobytes(), digest_size=8).digest()
+            out.append(np.frombuffer(digest, np.uint64))
+        at = end
+    return np.concatenate(out)
+
+
+def _grams_of(words: np.ndarray, n: int) -> np.ndarray:
+    count = len(words)
+    if not count:
+        return words
+    size = min(n, count)
+    row = words[: count - size + 1].copy()
+    for k in range(1, size):
+        row = row * np.uint64(0x9E3779B97F4A7C15) + words[k : count - size + 1 + k]
+    # a short sequence is no n-gram of another text
+    return np.unique(mixed(row + np.uint64(size)))
+
+
+def grams(data: np.ndarray, ends: np.ndarray, n: int, most: int = STEP_BYTES) -> list[np.ndarray]:
+    """The sorted different hashes of the word n-grams of each text."""
+    data = _LOWER[data]
+    if len(ends) == 2 and len(data) > most:
+        return [_grams_of(_words_of(data, most), n)]
+    words, at = _words(data, ends)
+    return [_grams_of(words[a:b], n) for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
+
+
+def _block_of(gram: np.ndarray, blocks: int) -> np.ndarray:
+    return (mixed(gram ^ np.uint64(0x9E3779B97F4A7C15)) % np.uint64(blocks)).astype(np.int64)
 
 
 def _often(flat: np.ndarray, least: int) -> np.ndarray:
@@ -95,14 +142,15 @@ def _often(flat: np.ndarray, least: int) -> np.ndarray:
 
 
 def _dealt(n: int, blocks: int, targets: int, many: int):
-    """Batches (doc_id, text) to packed grams by block of columns, and rows of documents."""
-    names = ["block", "grams", "counts", "rows", "sizes", "ids"]
+    """Batches (doc_id, text, mark) to packed grams by block of columns, and rows of documents."""
+    names = ["block", "grams", "counts", "rows", "sizes", "ids", "marks"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: dict[int, np.ndarray] = {}
         rows: list[int] = []
         sizes: list[int] = []
         ids: list[int] = []
+        marks: list[int] = []
 
         def deal() -> pa.RecordBatch:
             out: dict[str, list] = {x: [] for x in names}
@@ -121,7 +169,7 @@ def _dealt(n: int, blocks: int, targets: int, many: int):
             if len(common):
                 is_common = np.isin(flat, common)
                 gram, row, size = flat[is_common], key_array[owner[is_common]], size_array[owner[is_common]]
-                gram = gram & _LOW | (gram >> np.uint64(8 * GRAM_BYTES)) % np.uint64(blocks) << np.uint64(48)
+                gram = gram & _LOW | (_block_of(gram, blocks).astype(np.uint64) & np.uint64(0xFFFF)) << np.uint64(48)
                 target = (row.view(np.uint64) % np.uint64(targets)).astype(np.int64)
                 order = np.argsort(target, kind="stable")
                 cuts = np.searchsorted(target[order], np.arange(targets + 1))
@@ -132,16 +180,15 @@ def _dealt(n: int, blocks: int, targets: int, many: int):
                 owner = np.concatenate([owner[~is_common], np.full(len(common), len(keys))])
                 flat = np.concatenate([flat[~is_common], common])
                 key_array, size_array = np.append(key_array, 0), np.append(size_array, np.uint32(0))
-            block = ((flat >> np.uint64(8 * GRAM_BYTES)) % np.uint64(blocks)).astype(np.int64)
+            block = _block_of(flat, blocks)
             order = np.argsort(block, kind="stable")
             flat, owner = flat[order], owner[order]
             cuts = np.searchsorted(block[order], np.arange(blocks + 1))
-            for b in range(blocks):
+            for b in np.flatnonzero(np.diff(cuts)).tolist():
                 own = slice(cuts[b], cuts[b + 1])
-                if cuts[b] < cuts[b + 1]:
-                    some, counts = np.unique(owner[own], return_counts=True)
-                    low = flat[own].view(np.uint8).reshape(-1, 8)[:, :GRAM_BYTES]
-                    put(b, grams=low, counts=counts.astype(np.uint32), rows=key_array[some], sizes=size_array[some])
+                some, counts = np.unique(owner[own], return_counts=True)
+                low = flat[own].view(np.uint8).reshape(-1, 8)[:, :GRAM_BYTES]
+                put(b, grams=low, counts=counts.astype(np.uint32), rows=key_array[some], sizes=size_array[some])
             for b in range(0, len(ids), 4096):
                 part = slice(b, b + 4096)
                 put(
@@ -149,21 +196,23 @@ def _dealt(n: int, blocks: int, targets: int, many: int):
                     rows=np.array(rows[part], np.int64),
                     sizes=np.array(sizes[part], np.uint32),
                     ids=np.array(ids[part], np.int64),
+                    marks=np.array(marks[part], np.int64),
                 )
             sets.clear()
-            for x in (rows, sizes, ids):
+            for x in (rows, sizes, ids, marks):
                 x.clear()
             columns = [pa.array(out["block"], pa.int32()), *(pa.array(out[x], pa.binary()) for x in names[1:])]
             return pa.RecordBatch.from_arrays(columns, names)
 
         held = 0
         for batch in batches:
-            found = batch.column(0).fill_null(_NO_ID).to_pylist()
+            found, marked = batch.column(0).fill_null(_NO_ID).to_pylist(), batch.column(2).to_pylist()
             data, ends = utf8(batch.column(1))
             for a, b in steps(ends):
-                for doc_id, own in zip(found[a:b], grams(data[ends[a] : ends[b]], ends[a : b + 1] - ends[a], n)):
+                for doc_id, mark, own in zip(found[a:b], marked[a:b], grams(data[ends[a] : ends[b]], ends[a : b + 1] - ends[a], n)):
                     row = int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True)
                     ids.append(doc_id)
+                    marks.append(mark)
                     rows.append(row)
                     sizes.append(len(own))
                     if len(own) and row not in sets:
@@ -181,8 +230,8 @@ def _unpack(values: list[bytes | None], kind) -> np.ndarray:
     return np.frombuffer(b"".join(x for x in values if x), kind)
 
 
-_COLUMNS = "target int, rows binary, sizes binary, grams binary, counts binary, ids binary"
-_SCHEMA = pa.schema([("target", pa.int32()), *((x, pa.binary()) for x in ("rows", "sizes", "grams", "counts", "ids"))])
+_COLUMNS = "target int, rows binary, sizes binary, grams binary, counts binary, ids binary, marks binary"
+_SCHEMA = pa.schema([("target", pa.int32()), *((x, pa.binary()) for x in ("rows", "sizes", "grams", "counts", "ids", "marks"))])
 
 
 def _shared_columns(key: tuple, table: pa.Table, targets: int) -> pa.Table:
@@ -234,17 +283,19 @@ def _shared_columns(key: tuple, table: pa.Table, targets: int) -> pa.Table:
             many = np.full(len(gram_part) // 8, COMMON_COUNT, np.uint32).tobytes()
             put(key[0].as_py(), rows=parts["rows"][i], sizes=parts["sizes"][i], grams=gram_part, counts=many)
         if ids is not None:
-            put(None, rows=parts["rows"][i], sizes=parts["sizes"][i], ids=ids)
+            put(None, rows=parts["rows"][i], sizes=parts["sizes"][i], ids=ids, marks=parts["marks"][i])
     give_back()
     return pa.table(out, _SCHEMA)
 
 
 def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The documents that blocks have passed on: doc_id, row, size."""
+    """The documents that blocks have passed on: doc_id, mark, row, size."""
     for batch in batches:
-        row, size, doc_id = (_unpack(c.to_pylist(), k) for c, k in zip(batch.columns, (np.int64, np.uint32, np.int64)))
+        row, size, doc_id, mark = (_unpack(c.to_pylist(), k) for c, k in zip(batch.columns, (np.int64, np.uint32, np.int64, np.int64)))
         known = pa.array(doc_id, mask=doc_id == _NO_ID)
-        yield pa.RecordBatch.from_arrays([known, pa.array(row), pa.array(size.astype(np.int32))], ["doc_id", "row", "size"])
+        yield pa.RecordBatch.from_arrays(
+            [known, pa.array(mark), pa.array(row), pa.array(size.astype(np.int32))], ["doc_id", "mark", "row", "size"]
+        )
 
 
 _SETS = "row long, size int, grams binary, prefix array<struct<gram:long,place:int>>"
@@ -305,17 +356,21 @@ def _possible(percent: int):
     return (rest * F.lit(100 + percent) >= need) & sizes
 
 
-def linked(docs: DataFrame, *, n: int = 5, percent: int = 80, common: int = COMMON) -> DataFrame:
-    """doc_id, n_shingles and component_id of every document."""
+def members(docs: DataFrame, *, mark: Column | None = None, n: int = 5, percent: int = 80, common: int = COMMON) -> DataFrame:
+    """doc_id, mark, size (of the set) and component of every document; the component is a number,
+    and null for an empty set."""
     spark = docs.sparkSession
+    texts = docs.select(F.col("doc_id").cast("long"), "text", (F.lit(0) if mark is None else mark).cast("long").alias("mark"))
     # several blocks a shuffle partition, so that a task holds a part of its partition at a time
-    targets = min(shuffle_partitions(spark), 1 << 14)
+    targets = blocks_for(texts, "text", shuffle_partitions(spark))
     blocks = 3 * targets
-    dealt = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        tidy(_dealt(n, blocks, targets, common)), "block int, grams binary, counts binary, rows binary, sizes binary, ids binary"
+    dealt = texts.mapInArrow(
+        tidy(_dealt(n, blocks, targets, common)),
+        "block int, grams binary, counts binary, rows binary, sizes binary, ids binary, marks binary",
     )
     found = written(dealt.groupBy("block").applyInArrow(lambda key, table: _shared_columns(key, table, targets), _COLUMNS))
-    members = found.where("ids IS NOT NULL").select("rows", "sizes", "ids").mapInArrow(_documents, "doc_id long, row long, size int")
+    documents = found.where("ids IS NOT NULL").select("rows", "sizes", "ids", "marks")
+    documents = documents.mapInArrow(_documents, "doc_id long, mark long, row long, size int")
     sets = found.where("ids IS NULL").groupBy("target").applyInArrow(lambda key, table: _bounded(key, table, percent), _SETS)
     sets = written(sets)
     entries = sets.select("row", "size", F.explode("prefix").alias("entry"))
@@ -357,11 +412,35 @@ def linked(docs: DataFrame, *, n: int = 5, percent: int = 80, common: int = COMM
     whole = components(labels.select(F.col("component").alias("node")).distinct(), across)
     row_part = labels.join(whole.toDF("component", "part"), "component").select(F.col("node").alias("row"), "part")
     # a row outside sets links with nothing but its copies
-    of_row = members.where("size > 0").groupBy("row").agg(F.min("doc_id").alias("least")).join(row_part, "row", "left")
-    of_row = of_row.withColumn("part", F.coalesce("part", "row"))
-    names = of_row.groupBy("part").agg(F.min("least").alias("component_id"))
-    named = of_row.join(names, "part").select("row", "component_id")
-    lone = members.where("size = 0").withColumn("component_id", F.col("doc_id"))
-    rows = members.where("size > 0").join(named, "row")
-    out = rows.select("doc_id", "size", "component_id").union(lone.select("doc_id", "size", "component_id"))
-    return out.select("doc_id", F.col("size").cast("long").alias("n_shingles"), "component_id")
+    told = documents.join(row_part, "row", "left")
+    return told.select("doc_id", "mark", "size", F.when(F.col("size") > 0, F.coalesce("part", "row")).alias("component"))
+
+
+def linked(docs: DataFrame, *, n: int = 5, percent: int = 80, common: int = COMMON) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document."""
+    told = members(docs, n=n, percent=percent, common=common)
+    names = told.groupBy("component").agg(F.min("doc_id").alias("component_id")).where("component IS NOT NULL")
+    # null-safe, so that both sides are shuffled for the join and a hot component can be split
+    named = told.join(names.withColumnRenamed("component", "of"), F.col("component").eqNullSafe(F.col("of")), "left")
+    size, component = F.col("size").cast("long").alias("n_shingles"), F.when(F.col("size") > 0, F.col("component_id"))
+    return named.select("doc_id", size, component.otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def without_copies(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFrame:
+    """One row of each component, of the smallest doc_id (nulls last), and all rows with an empty set.
+
+    Rows are told apart by doc_id and a hash of the text; of equal ones any stays."""
+    kept, mark = docs.columns, F.xxhash64(F.coalesce("text", F.lit("")))
+    told = members(docs, mark=mark, n=n, percent=percent).where("component IS NOT NULL")
+    rows = checkpointed(told.groupBy("component", "doc_id", "mark").agg(F.count("*").alias("often")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "mark"))
+    firsts = rows.groupBy("component").agg(first.alias("first")).select(F.col("component").alias("of"), "first")
+    rows = rows.join(firsts, F.col("component").eqNullSafe(F.col("of")))
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("mark") == F.col("first.mark"))
+    rows = rows.where(~stays | (F.col("often") > 1))
+    rows = checkpointed(rows.select(F.col("doc_id").alias("its id"), F.col("mark").alias("its mark"), stays.alias("copied")))
+    marked = docs.select(F.struct(*kept).alias("row"), F.col("doc_id").cast("long").alias("own id"), mark.alias("own mark"))
+    same = F.col("own id").eqNullSafe(F.col("its id")) & (F.col("own mark") == F.col("its mark"))
+    whole = marked.join(rows, same, "left_anti").select("row.*")
+    copied = marked.join(rows.where("copied"), same, "left_semi").dropDuplicates(["own id", "own mark"])
+    return whole.union(copied.select("row.*"))

@@ -38,7 +38,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.common import shuffle_partitions, steps, utf8, written
+from bazaarlens.llm.common import blocks_for, shuffle_partitions, steps, utf8, written
 from bazaarlens.llm.hashing import PrefixHash, mixed
 
 SPAN, GRAM = 200, 100
@@ -490,7 +490,7 @@ def document(docs: DataFrame) -> Column:
 
 def removed_spans(texts: DataFrame, common: int = COMMON) -> DataFrame:
     """doc and packed spans, several rows a document; texts: doc, text."""
-    blocks = shuffle_partitions(texts.sparkSession)
+    blocks = blocks_for(texts, "text", shuffle_partitions(texts.sparkSession))
     dealt = texts.mapInArrow(_dealt(blocks, common), "block int, runs binary, doc long, spans binary, open binary")
     known = written(dealt.groupBy("block").applyInArrow(_matched, "doc long, spans binary, open binary"))
     opened = known.where("open IS NOT NULL").groupBy("doc").agg(F.collect_list("open").alias("open"))

@@ -185,6 +185,23 @@ def test_stretches_hold_all_texts(texts, most):
     assert found == texts and now == ""
 
 
+@given(st.text(st.sampled_from("ab \n"), max_size=60), st.integers(1, 4), st.integers(1, 9))
+@settings(max_examples=300, deadline=None)
+def test_grams_of_long_texts(text, n, most):
+    data = np.frombuffer(text.encode(), np.uint8)
+    ends = np.array([0, len(data)])
+    words = text.split()
+    whole = {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} or ({tuple(words)} if words else set())
+    found = ngram_join.grams(data, ends, n, most)[0]
+    assert len(found) == len(whole)
+    if all(len(w) <= 2 * most for w in words):
+        assert found.tolist() == ngram_join.grams(data, ends, n)[0].tolist()
+    # a word has one hash wherever it stands
+    later = np.frombuffer(b"xx y " + data.tobytes(), np.uint8)
+    if n == 1 and len(data) > most:
+        assert np.isin(found, ngram_join.grams(later, np.array([0, len(later)]), n, most)[0]).all()
+
+
 def test_the_rest_is_cut_into_powers_of_two():
     for total in (0, 1, 4095, 4096, 4097, 10_000):
         cuts = packing._cuts(total, 4096)

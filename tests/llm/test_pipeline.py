@@ -5,6 +5,7 @@ from collections import Counter
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from test_queries import brute_components
 from tokenizers import Tokenizer
 
@@ -75,3 +76,33 @@ def test_all_are_registered():
     assert "pipeline" in names
     for n in range(1, 11):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Repeated and null ids: a clean text that shares an id stays, of equal rows one stays."""
+    x, near = sentence(1, 90), " ".join([*sentence(1, 90).split(" ")[:80], "other", *sentence(1, 90).split(" ")[81:]])
+    other, more = sentence(2, 90), sentence(3, 90)
+    rows = [
+        (1, x), (2, near), (2, other), (1, x), (None, x), (None, other), (None, more), (None, more), (5, more),
+        (3, None), (3, None), (4, ""), (7, "one word"), (7, "one word"), (None, "one word"), (2, near),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", f"s{k}", len(t or "")) for k, (i, t) in enumerate(rows)], SCHEMA)
+    docs = docs.withColumn("component", F.lit(1)).withColumn("its id", F.lit(2)).repartition(4)
+    left = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert left.columns == docs.columns
+    got = [(r["doc_id"], r["text"]) for r in left.collect()]
+    want = [(1, x), (2, other), (5, more), (3, None), (3, None), (4, ""), (7, "one word")]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_the_first_stages_with_clashing_columns(spark):
+    text = sentence(1, 50)
+    docs = spark.createDataFrame([(i, sentence(i, 50), "en", "a", 1) for i in range(30)] + [(40, text, "en", None, 2)], SCHEMA)
+    for name in ("lang_pred", "score", "rejected", "gone", "lines_deleted", "lines gone", "mark", "often", "own id", "block"):
+        docs = docs.withColumn(name, F.lit(f"own {name}"))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, ""))
+    assert {tuple(r[len(SCHEMA.split(",")) :]) for r in docs.collect()} == {tuple(f"own {x}" for x in docs.columns[5:])}
+    assert {r["doc_id"] for r in docs.collect()} == set(range(30))
+    pieces = corpus_pipeline.pack(spark, docs, "").collect()
+    assert {r["doc_id"] for r in pieces} == set(range(30))
