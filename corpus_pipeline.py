@@ -5,8 +5,9 @@ columns of documents. Between stages the rows are written as Parquet and read ag
 
 1. language: documents without a recognised language go.
 2. lines: later copies of repeated runs of lines go; a document that loses all lines goes.
-3. near duplicates: of documents linked by n-gram overlap, the smallest doc_id stays. A null
-   doc_id stays.
+3. near duplicates: of documents linked by n-gram overlap, one row of the smallest doc_id stays;
+   null ids come last. Rows are told apart by doc_id and text, so a text that shares its doc_id
+   with a copy stays, and of equal rows one.
 4. mixture: every document is read at least once; documents of small sources are read more
    often, up to a limit, and then stand in several rows.
 5. packing: the pieces of the token sequences.
@@ -20,7 +21,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlens.llm import language_id, line_dedup, mixing, ngram_join, packing
@@ -31,25 +32,33 @@ SHINGLE, PERCENT, REPETITION = 5, 80, 2.0
 TOKENIZER = "word_bpe_49k.json"
 
 
+def _aside(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and the other columns as one, so that no operator meets their names."""
+    return docs.select("doc_id", "text", F.struct(*[docs[c] for c in docs.columns if c != "text"]).alias("others"))
+
+
+def _back(frame: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    found = {c: F.col("text") if c == "text" else F.col("others").getField(c) for c in columns} | changed
+    return frame.select(*[found[c].alias(c) for c in columns])
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     model = language_id.train(language_id.sample(docs, F.lit(True)))
-    told = language_id.identified(docs, model)
-    return told.where(~F.col("rejected")).select(*docs.columns)
+    told = language_id.identified(_aside(docs), model)
+    return _back(told.where(~F.col("rejected")), docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    kept = line_dedup.without_copies(docs).where("lines_deleted = 0 OR text <> ''")
-    changed = F.when(F.col("lines_deleted") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long")
-    return kept.select(*[changed.alias(c) if c == "n_chars" else F.col(c) for c in docs.columns])
+    kept = line_dedup.without_copies(_aside(docs)).where("lines_deleted = 0 OR text <> ''")
+    n_chars = F.when(F.col("lines_deleted") > 0, F.length("text")).otherwise(F.col("others.n_chars")).cast("long")
+    return _back(kept, docs.columns, n_chars=n_chars)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    told = ngram_join.linked(docs, n=SHINGLE, percent=PERCENT)
-    gone = told.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return ngram_join.without_copies(docs, n=SHINGLE, percent=PERCENT)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
