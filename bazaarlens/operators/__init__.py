@@ -1,3 +1,4 @@
+from bazaarlens.operators.bitmaps import bitmap_distinct
 from bazaarlens.operators.category import (
     categorised_orders,
     category_contribution,
@@ -7,6 +8,7 @@ from bazaarlens.operators.first_purchase import (
     first_purchase_daily,
     first_purchase_daily_filled,
 )
+from bazaarlens.operators.hot import HotKeys, hot_keys, with_key_values
 from bazaarlens.operators.joins import join_groups, join_lookup
 from bazaarlens.operators.keys import (
     distinct_count,
@@ -32,7 +34,9 @@ from bazaarlens.operators.top_models import (
 )
 
 __all__ = [
+    "HotKeys",
     "PricingColumns",
+    "bitmap_distinct",
     "categorised_orders",
     "category_contribution",
     "category_rates",
@@ -40,6 +44,7 @@ __all__ = [
     "duplicate_keys",
     "first_purchase_daily",
     "first_purchase_daily_filled",
+    "hot_keys",
     "item_count_by_region",
     "join_groups",
     "join_lookup",
@@ -56,4 +61,5 @@ __all__ = [
     "top30_item_count",
     "top30_model_flag",
     "top30_ranked_models",
+    "with_key_values",
 ]

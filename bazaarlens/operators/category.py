@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from bazaarlens.functions.dates import Day, day_of, within_days
 from bazaarlens.functions.numbers import ratio
+from bazaarlens.operators.bitmaps import bitmap_distinct
 from bazaarlens.operators.joins import join_lookup
 
 
@@ -44,12 +45,15 @@ def category_contribution(
     item: str = "item_id",
     order_time: str = "create_timestamp",
     cluster: str = "cluster",
+    dense_orders: bool | None = False,
 ) -> DataFrame:
     """Items present in more than ``min_rate`` of their category's distinct orders.
 
     ``inclusive`` also admits a rate of exactly ``min_rate``. Rows are in category
     order, lowest rate first, which is the order of a descending rank without ranking.
-    Items without a category have no rate, so they never appear.
+    Items without a category have no rate, so they never appear. ``dense_orders`` tells
+    whether order ids lie close together, None if that is to be measured: then a category's
+    orders are counted by bitmaps, see :func:`bitmap_distinct`.
     """
     pairs = _order_item_pairs(
         order_items.where(F.col(item).isNotNull()), first_day, last_day, order, item, order_time
@@ -59,7 +63,7 @@ def category_contribution(
         _orders_per_item(pairs, order, item)
         .join(categories, item)
         .select(cluster, item, "total_item_per_cluster"),
-        _orders_per_cluster(pairs, categories, order, item, cluster),
+        _orders_per_cluster(pairs, categories, order, item, cluster, dense_orders),
         keys=[cluster],
     ).withColumn(
         "contribution_rate",
@@ -169,15 +173,19 @@ def _orders_per_item(pairs: DataFrame, order: str, item: str) -> DataFrame:
 
 
 def _orders_per_cluster(
-    pairs: DataFrame, categories: DataFrame, order: str, item: str, cluster: str
+    pairs: DataFrame,
+    categories: DataFrame,
+    order: str,
+    item: str,
+    cluster: str,
+    dense: bool | None = False,
 ) -> DataFrame:
     """Distinct orders per category.
 
     The join reads both sides straight from a shuffle on the item, so adaptive
     execution can split an item that is in a large part of all orders.
     """
-    return (
-        pairs.join(categories.where(F.col(cluster).isNotNull()), item)
-        .groupBy(cluster)
-        .agg(F.count_distinct(order).alias("total_order_per_cluster"))
-    )
+    placed = pairs.join(categories.where(F.col(cluster).isNotNull()), item)
+    if dense is not False:
+        return bitmap_distinct(placed, [cluster], order, "total_order_per_cluster", dense)
+    return placed.groupBy(cluster).agg(F.count_distinct(order).alias("total_order_per_cluster"))

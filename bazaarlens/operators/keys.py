@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bazaarlens.operators.bitmaps import bitmap_distinct
+
 
 def duplicate_keys(df: DataFrame, key: str, count_col: str = "count_duplicated") -> DataFrame:
     """Keys that occur more than once, with their count, in key order."""
@@ -19,8 +21,17 @@ def duplicate_keys(df: DataFrame, key: str, count_col: str = "count_duplicated")
     )
 
 
-def distinct_count(df: DataFrame, columns: Sequence[str], count_col: str) -> DataFrame:
-    """Exact number of distinct values, or tuples; a tuple with a null is not counted."""
+def distinct_count(
+    df: DataFrame, columns: Sequence[str], count_col: str, dense: bool | None = False
+) -> DataFrame:
+    """Exact number of distinct values, or tuples; a tuple with a null is not counted.
+
+    One integer column whose ids lie close together is better counted by bitmaps:
+    ``dense=True``, or None to measure it; see :func:`bitmap_distinct`.
+    """
+    if dense is not False:
+        (column,) = columns
+        return bitmap_distinct(df, [], column, count_col, dense)
     return df.agg(F.count_distinct(*[F.col(c) for c in columns]).alias(count_col))
 
 

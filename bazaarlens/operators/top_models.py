@@ -23,13 +23,15 @@ from bazaarlens.functions.numbers import (
     ratio,
     threshold_text,
 )
+from bazaarlens.operators.bitmaps import bitmap_distinct
+from bazaarlens.operators.hot import HotKeys, with_key_values
 from bazaarlens.operators.joins import join_groups, join_lookup
 from bazaarlens.operators.pricing import PricingColumns
 
 SHARE = 0.3
 FLAG = "is_top_30_model"
 _RATIO_DIGITS = 10
-_COPIES, _LISTINGS = "__copies", "__listings"
+_COPIES, _LISTINGS, _SUM = "__copies", "__listings", "__sum"
 
 
 def top30_ranked_models(
@@ -79,16 +81,19 @@ def top30_item_count(
     columns: PricingColumns = PricingColumns(),
     share: float = SHARE,
     text_threshold: bool = False,
+    dense_items: bool | None = False,
 ) -> DataFrame:
     """Distinct items per region with a model that passes.
 
     Rank 1 always exists, whatever the lookup holds, so neither the lookup nor the
-    ranking is needed.
+    ranking is needed. ``dense_items`` tells whether item ids lie close together, None if that
+    is to be measured: then the items are counted by bitmaps, see :func:`bitmap_distinct`.
     """
+    passing = _order_sums(pricing, columns).where(_last_rank(share, text_threshold) >= 1)
+    if dense_items is not False:
+        return bitmap_distinct(passing, [columns.region], columns.item, "number_of_item_tops_30", dense_items)
     return (
-        _order_sums(pricing, columns)
-        .where(_last_rank(share, text_threshold) >= 1)
-        .groupBy(columns.region)
+        passing.groupBy(columns.region)
         .agg(F.count_distinct(columns.item).alias("number_of_item_tops_30"))
     )
 
@@ -100,15 +105,19 @@ def top30_model_flag(
     share: float = SHARE,
     text_threshold: bool = False,
     drop: Sequence[str] = ("_c0",),
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Every pricing row with ``is_top_30_model`` 1 or 0; ``drop`` names index columns.
 
     A row whose region the lookup lists n times appears once per kept rank, up to n
     times; ``platform`` is needed only if a region can repeat in it. Rows with a null in
     (region, item, model) are never flagged. A flag column the table has already is
-    replaced.
+    replaced. With ``hot``, the hot models by some of these columns, rows get their model's
+    total by one shuffle; without, by an aggregation joined back, which needs no such list.
     """
     key = columns.model_key
+    if hot is not None:
+        return _flagged_by_window(pricing.drop(*drop, FLAG), platform, columns, share, text_threshold, hot)
     admitted = _last_rank(share, text_threshold)
     passing = (
         _order_sums(pricing.where(_whole_key(key)), columns)
@@ -132,6 +141,28 @@ def top30_model_flag(
     return flagged.select(*key, *others, each_copy.alias(FLAG))
 
 
+def _flagged_by_window(
+    rows: DataFrame,
+    platform: DataFrame | None,
+    columns: PricingColumns,
+    share: float,
+    text_threshold: bool,
+    hot: HotKeys,
+) -> DataFrame:
+    key = columns.model_key
+    others = [c for c in rows.columns if c not in key]
+    summed = with_key_values(rows, key, {_SUM: F.sum(columns.units)}, hot)
+    admitted = last_admitted_rank(F.col(_SUM), share, text_threshold)
+    passes = F.coalesce(_whole_key(key) & (admitted >= 1), F.lit(False))
+    if platform is None:
+        return summed.select(*key, *others, passes.cast("int").alias(FLAG))
+    listings = platform.groupBy(columns.region).agg(F.count("*").alias(_LISTINGS))
+    listed = join_lookup(summed, listings, [columns.region])
+    copies = F.when(passes, F.least(admitted, F.coalesce(_LISTINGS, F.lit(1)))).otherwise(F.lit(1))
+    each_copy = F.explode(F.array_repeat(passes.cast("int"), copies.cast("int")))
+    return listed.select(*key, *others, each_copy.alias(FLAG))
+
+
 def _order_sums(pricing: DataFrame, columns: PricingColumns) -> DataFrame:
     return pricing.groupBy(*columns.model_key).agg(F.sum(columns.units).alias("sum_units"))
 

@@ -11,6 +11,7 @@ from bazaarlens.plans.registry import (
     LOOKUP_ORDER_ID,
     LOW_CATEGORY_RATE,
     PREVIEW_ROWS,
+    REJECTED_UNITS,
 )
 
 _UNITS = "CAST(2 * l_quantity * l_quantity - 2 AS BIGINT)"
@@ -262,6 +263,13 @@ items AS (
 SELECT t.region, {_COVERAGE}, n.net_competitiveness, i.number_of_item_by_region
 FROM totals t LEFT JOIN platform p ON t.region = p.region
 LEFT JOIN net n ON t.region = n.region LEFT JOIN items i ON t.region = i.region""",
+    "rejected_prices": f"""
+WITH {_PRICING}
+SELECT region, count(*) AS row_count, CAST(sum(units) AS BIGINT) AS units,
+  CAST(NULL AS VARCHAR) AS rejected_columns
+FROM pricing WHERE units <= {REJECTED_UNITS} GROUP BY region
+UNION ALL
+SELECT NULL, count(*), NULL, 'units' FROM pricing WHERE units > {REJECTED_UNITS} HAVING count(*) > 0""",
     "status_priorities": f"WITH {_OFFERS}, {_PRIORITIES} SELECT * FROM priorities",
     "priority_status": f"""
 WITH {_OFFERS}, {_PRIORITIES}
@@ -277,6 +285,13 @@ SELECT item_id, model_id, status FROM priorities WHERE new_cpt_status = priority
     "published_flags": f"""
 SELECT region, is_top_30_model, count(*) AS row_count, CAST(sum(units) AS BIGINT) AS units
 FROM ({_flag(_PLATFORM)}) GROUP BY region, is_top_30_model""",
+    "stored_flags": f"""
+SELECT region, is_top_30_model, count(*) AS row_count, CAST(sum(units) AS BIGINT) AS units,
+  CAST(max(model_units) AS BIGINT) AS largest_model_units
+FROM (
+  SELECT *, sum(units) OVER (PARTITION BY region, item_id, model_id) AS model_units
+  FROM ({_flag(_PLATFORM)}))
+GROUP BY region, is_top_30_model""",
     "distinct_orders": f"""
 WITH {_ORDER_LINES} SELECT count(DISTINCT order_id) AS distinct_orders FROM order_lines""",
     "distinct_order_items": f"""
@@ -286,6 +301,9 @@ SELECT count(DISTINCT (order_id, item_id))
 FROM order_lines""",
     "distinct_items": f"""
 WITH {_ORDER_LINES} SELECT count(DISTINCT item_id) AS distinct_items FROM order_lines""",
+    "distinct_items_by_region": f"""
+WITH {_PRICING}
+SELECT region, count(DISTINCT item_id) AS distinct_items FROM pricing GROUP BY region""",
     "distinct_item_statuses": f"""
 WITH {_OFFERS}
 SELECT count(DISTINCT (item_id, status))
@@ -304,3 +322,6 @@ SELECT * FROM lineitem ORDER BY l_orderkey, l_linenumber LIMIT {PREVIEW_ROWS}"""
         for name in TABLE_NAMES
     ),
 }
+
+# Written as CSV and read back, it is the same table.
+ORACLE_SQL["scorecard_from_csv"] = ORACLE_SQL["regional_scorecard"]

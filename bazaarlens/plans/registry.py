@@ -5,11 +5,12 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bazaarlens import operators as ops
 from bazaarlens import sources
+from bazaarlens.functions import StatusLabels
 from bazaarlens.plans.marketplace import TABLE_NAMES, Marketplace
 
 # The parameters of the registered queries.
@@ -20,6 +21,8 @@ CATEGORY_RATE = 0.5
 LOW_CATEGORY_RATE = 0.05
 LOOKUP_ORDER_ID = 1000
 PREVIEW_ROWS = 20
+FLAG_BUCKETS = 8
+REJECTED_UNITS = 4000
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +63,59 @@ def _published_flags(m: Marketplace) -> DataFrame:
         m.spark.catalog.dropTempView(name)
 
 
+def _stored_flags(m: Marketplace) -> DataFrame:
+    """The flags stored by model in buckets, read back with the units of each model beside its
+    rows: no shuffle on the three keys. The table goes once the result is written."""
+    name = f"flags_{uuid.uuid4().hex}"
+    key = ["region", "item_id", "model_id"]
+    flags = ops.top30_model_flag(m.pricing(), hot=ops.hot_keys(m.offers(), ["item_id", "model_id"]))
+    sources.shared_dir(m.spark)
+    try:
+        stored = sources.publish(flags, name, persistent=True, keys=key, buckets=FLAG_BUCKETS)
+        models = stored.groupBy(*key).agg(F.sum("units").alias("model_units"))
+        joined = stored.join(models, key)
+        result = joined.groupBy("region", "is_top_30_model").agg(
+            F.count("*").alias("row_count"),
+            F.sum("units").alias("units"),
+            F.max("model_units").alias("largest_model_units"),
+        )
+        return result.checkpoint(eager=True)
+    finally:
+        m.spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def _exported(m: Marketplace, units: Column) -> str:
+    """The pricing view as CSV in two folders whose files differ in the order of columns and in
+    one column that only the second has."""
+    folder = sources.new_folder(m.spark, "csv")
+    rows = m.pricing().withColumn("units", units)
+    cheaper = F.coalesce(F.col("status") == StatusLabels().cheaper, F.lit(False))
+    first = rows.where(cheaper).select("region", "item_id", "model_id", "status", "units")
+    second = rows.where(~cheaper).select(
+        "units", F.lit("dearer or equal").alias("note"), "model_id", "status", "item_id", "region"
+    )
+    for name, part in (("first", first), ("second", second)):
+        part.write.option("header", True).csv(f"{folder}/{name}")
+    return f"{folder}/*"
+
+
+def _scorecard_from_csv(m: Marketplace) -> DataFrame:
+    """The scorecard over files whose headers differ."""
+    path = _exported(m, F.col("units"))
+    return ops.regional_scorecard(sources.read_csv(m.spark, path, sources.schemas.PRICING), m.platform())
+
+
+def _rejected_prices(m: Marketplace) -> DataFrame:
+    """Files in which the units of some lines are no number: what is read, and what is rejected."""
+    wrong = F.concat(F.lit("x"), F.col("units"))
+    path = _exported(m, F.when(F.col("units") > REJECTED_UNITS, wrong).otherwise(F.col("units").cast("string")))
+    rows = sources.read_csv(m.spark, path, sources.schemas.PRICING, rejected="rejected")
+    accepted, rejected = sources.split_rejected(rows, "rejected")
+    read = accepted.groupBy("region").agg(F.count("*").alias("row_count"), F.sum("units").alias("units"))
+    lost = rejected.groupBy(F.array_join("columns", ",").alias("rejected_columns")).agg(F.count("*").alias("row_count"))
+    return read.withColumn("rejected_columns", F.lit(None).cast("string")).unionByName(lost, allowMissingColumns=True)
+
+
 def _contribution(m: Marketplace, min_rate: float, inclusive: bool = False) -> DataFrame:
     return ops.category_contribution(
         m.order_items(),
@@ -67,6 +123,7 @@ def _contribution(m: Marketplace, min_rate: float, inclusive: bool = False) -> D
         *CATEGORY_WINDOW,
         min_rate=min_rate,
         inclusive=inclusive,
+        dense_orders=True,
     )
 
 
@@ -101,10 +158,12 @@ QUERIES: dict[str, Query] = {
         "status_count_by_region": lambda m: ops.status_count_by_region(m.pricing()),
         "net_competitiveness": lambda m: ops.net_competitiveness(m.pricing()),
         "regional_scorecard": lambda m: ops.regional_scorecard(m.pricing(), m.platform()),
+        "scorecard_from_csv": _scorecard_from_csv,
+        "rejected_prices": _rejected_prices,
         # Price status and order threshold per model
         "status_priorities": lambda m: ops.status_priorities(m.offers()),
         "priority_status": lambda m: ops.priority_status(m.offers()),
-        "top30_item_count": lambda m: ops.top30_item_count(m.pricing()),
+        "top30_item_count": lambda m: ops.top30_item_count(m.pricing(), dense_items=True),
         "top30_item_count_strict": lambda m: ops.top30_item_count(
             m.pricing(), text_threshold=False
         ),
@@ -119,20 +178,26 @@ QUERIES: dict[str, Query] = {
             m.pricing(), m.platform_by_nation(), descending=False
         ),
         # The derived lookup lists each region once, so the flag does not need it.
-        "top30_model_flag": lambda m: ops.top30_model_flag(m.pricing()),
+        "top30_model_flag": lambda m: ops.top30_model_flag(
+            m.pricing(), hot=ops.hot_keys(m.offers(), ["item_id", "model_id"])
+        ),
         "top30_model_flag_repeated_region": lambda m: ops.top30_model_flag(
             m.pricing(), m.platform_by_nation()
         ),
         "published_flags": _published_flags,
+        "stored_flags": _stored_flags,
         # Checks on the order lines
         "distinct_orders": lambda m: ops.distinct_count(
-            m.order_lines(), ["order_id"], "distinct_orders"
+            m.order_lines(), ["order_id"], "distinct_orders", dense=True
         ),
         "distinct_order_items": lambda m: ops.distinct_count(
             m.order_lines(), ["order_id", "item_id"], "distinct_order_items"
         ),
         "distinct_items": lambda m: ops.distinct_count(
-            m.order_lines(), ["item_id"], "distinct_items"
+            m.order_lines(), ["item_id"], "distinct_items", dense=True
+        ),
+        "distinct_items_by_region": lambda m: ops.bitmap_distinct(
+            m.pricing(), ["region"], "item_id", "distinct_items"
         ),
         "distinct_item_statuses": lambda m: ops.distinct_count(
             m.offers(), ["item_id", "status"], "distinct_item_statuses"

@@ -128,3 +128,74 @@ def test_publish_as_view_and_as_table(spark):
         sources.publish(df, "kept_flags", persistent=True)
     sources.publish(df, "kept_flags", persistent=True, overwrite=True)
     spark.sql("DROP TABLE kept_flags")
+
+
+MIXED = {
+    "1.csv": ",region,item_id,units\n0,MY,1,10\n1,MY,2,x12\n",
+    "2.csv": "units,region,item_id,note\n7,SG,5,hello\n8,SG\nx,SG,y,z\n,SG,9,\n1,2,3,4,5\n",
+    "3.csv": "",
+    "4.csv": "units,grass_region,item_id\n3,ID,4\n",
+}
+UNITS = "_c0 BIGINT, region STRING, item_id BIGINT, units BIGINT"
+
+
+@pytest.fixture
+def mixed(tmp_path):
+    folder = tmp_path / "a b%41"
+    folder.mkdir()
+    for name, text in MIXED.items():
+        (folder / name).write_text(text)
+    return str(folder)
+
+
+def test_files_with_different_headers(spark, mixed):
+    headers = sources.file_headers(spark, mixed)
+    assert [len(files) for files in headers.values()] == [1, 1, 1]
+    rows = sources.read_csv(spark, mixed, UNITS)
+    got = {(r["region"], r["item_id"], r["units"], r["note"], r["_c0"]) for r in rows.collect()}
+    assert {("MY", 1, 10, None, 0), ("SG", 5, 7, "hello", None), ("ID", 4, 3, None, None)} <= got
+    with pytest.raises(ValueError, match="different headers"):
+        sources.read_csv(spark, mixed)
+    with pytest.raises(ValueError, match="has no column note"):
+        sources.read_csv(spark, mixed, UNITS + ", note STRING")
+
+
+def test_rejected_values_are_told(spark, mixed):
+    rows = sources.read_csv(spark, mixed, UNITS, rejected="bad record")
+    accepted, rejected = sources.split_rejected(rows, "bad record")
+    assert "bad record" not in accepted.columns
+    assert {r["item_id"]: r["units"] for r in accepted.collect()} == {1: 10, 5: 7, 9: None, 4: 3}
+    told = {(r["file"][-5:], r["line"], tuple(r["columns"])) for r in rejected.collect()}
+    assert told == {
+        ("1.csv", "1,MY,2,x12", ("units",)), ("2.csv", "8,SG", ()), ("2.csv", "x,SG,y,z", ("units", "item_id")),
+        ("2.csv", "1,2,3,4,5", ()),
+    }
+    with pytest.raises(ValueError, match="need a schema"):
+        sources.read_csv(spark, mixed, rejected="bad")
+
+
+def test_one_header_is_one_scan(spark, tmp_path):
+    for i in range(5):
+        (tmp_path / f"{i}.csv").write_text(f"region,item_id,units\nMY,{i},1\n")
+    rows = sources.read_csv(spark, str(tmp_path), UNITS)
+    assert rows.count() == 5 and "Union" not in rows._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_cluster_must_name_the_shared_folder(spark):
+    from bazaarlens.sources import shared
+
+    assert sources.new_folder(spark, "x").startswith(sources.shared_dir(spark).rstrip("/") + "/x-")
+    class Unset:
+        def isDefined(self):
+            return False
+
+    class Context:
+        master = "spark://host:7077"
+        _jsc = type("J", (), {"sc": lambda self: type("S", (), {"getCheckpointDir": lambda self: Unset()})()})()
+
+    class Session:
+        conf = type("C", (), {"get": lambda self, key, default=None: None})()
+        sparkContext = Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared.shared_dir(Session())
