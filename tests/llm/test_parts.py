@@ -8,8 +8,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from bazaarlens.llm import fingerprints, ngram_join, packing, suffix_dedup, toxicity, units
-from bazaarlens.llm.common import components, range_bounds, range_number, shared_dir, steps
+from bazaarlens.llm import fingerprints, ngram_join, packing, suffix_dedup, toxicity, units, vector_search
+from bazaarlens.llm.common import checkpointed, components, range_bounds, range_number, shared_dir, steps
 from bazaarlens.llm.hashing import PrefixHash
 from bazaarlens.llm.vector_search import fit
 
@@ -230,8 +230,7 @@ def test_a_fitted_index_finds_near_vectors():
     index = fit(base, len(base))
     units = base / np.linalg.norm(base, axis=1, keepdims=True)
     member = np.zeros((len(base), len(index.centroids)), bool)
-    for row, at in index.lists(units):
-        member[row, at] = True
+    member[index.lists(units)] = True
     assert member.any(1).all()
     asked = np.arange(0, 3000, 25)
     row, at = index.probes(units[asked])
@@ -242,3 +241,53 @@ def test_a_fitted_index_finds_near_vectors():
     true = np.argsort(-cosine, axis=1)[:, :5]
     hit = [(member[t] & read[i]).any(1).mean() for i, t in enumerate(true)]
     assert np.mean(hit) >= 0.9
+
+
+def test_a_search_holds_one_group_and_copies_no_posting(spark, monkeypatch):
+    """With small groups, and so many query batches, the rows that are shuffled are the postings and
+    the queries' visits; the lists grow with the table."""
+    random = np.random.default_rng(5)
+    centers = random.normal(size=(40, 16))
+    base = centers[random.integers(0, 40, 4000)] + 0.2 * random.normal(size=(4000, 16))
+    base[:1200] = base[0]  # a third of all are one vector
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(base)], "vec_id long, embedding array<double>").repartition(4)
+    monkeypatch.setattr(vector_search, "BLOCK_ROWS", 64)
+    seen = []
+    monkeypatch.setattr(vector_search, "checkpointed", lambda frame: seen.append(frame) or checkpointed(frame))
+    found = vector_search.nearest(rows, F.col("vec_id") % 2 == 0)
+    # what is shuffled by group is a union of the postings and the visits: nothing makes copies of rows
+    assert not any("Generate" in frame._jdf.queryExecution().executedPlan().toString() for frame in seen)
+    got = {}
+    for r in found.collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    units = base / np.linalg.norm(base, axis=1, keepdims=True)
+    cosine = units @ units.T
+    np.fill_diagonal(cosine, -2)
+    hit = 0
+    for i in range(0, 4000, 2):
+        best = sorted(got[i])
+        assert [r for r, _, _ in best] == [1, 2, 3, 4, 5] and i not in [v for _, v, _ in best]
+        assert np.allclose([s for _, _, s in best], [cosine[i, v] for _, v, _ in best])
+        hit += sum(cosine[i, v] >= np.sort(cosine[i])[-5] - 1e-9 for _, v, _ in best)
+    assert hit / 10_000 >= 0.9
+    sizes = [len(fit(random.normal(size=(8 * n, 8)), (n // 2) ** 2).centroids) for n in (64, 256, 512)]
+    assert sizes[0] < sizes[1] < sizes[2]
+
+
+@pytest.mark.parametrize("ids", [[7] * 900 + [1, 2, 50, 100], [50, 100, 1], [50]])
+def test_each_query_gets_k_neighbours_if_there_are_so_many(spark, ids):
+    """One id with very many rows, and tables of fewer than k."""
+    random = np.random.default_rng(len(ids))
+    base = random.normal(size=(len(ids), 8))
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in zip(ids, base)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in vector_search.nearest(rows, F.col("vec_id") % 50 == 0).collect():
+        got.setdefault(r["query_id"], {})[r["vec_id"]] = r["score"]
+    units = base / np.linalg.norm(base, axis=1, keepdims=True)
+    for q in set(ids) & {50, 100}:
+        best = {}
+        for i, v in zip(ids, units):
+            if i != q:
+                best[i] = max(best.get(i, -2), float(v @ units[ids.index(q)]))
+        want = dict(sorted(best.items(), key=lambda x: (-x[1], x[0]))[:5])
+        assert got.get(q, {}).keys() == want.keys() and np.allclose([got[q][i] for i in want], list(want.values()))
