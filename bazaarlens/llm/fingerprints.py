@@ -18,7 +18,8 @@ with an error of about sqrt(2 / NEAR).
 
 Edge cases: a null text counts as empty, and so has the fingerprint of one empty paragraph.
 Texts that are equal up to the order of paragraphs have equal fingerprints. A very long text
-is one numpy step of its size. Repeated rows and other columns do not matter.
+is the sum of its paragraphs, and a very long paragraph is read in pieces. Repeated rows and
+other columns do not matter.
 """
 
 from __future__ import annotations
@@ -45,6 +46,10 @@ def vectors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     near = np.zeros((len(texts), NEAR), np.uint32)
     first = 0
     while first < len(texts):
+        if len(texts[first]) > STEP_BYTES:
+            exact[first], near[first] = _long(texts[first])
+            first += 1
+            continue
         last, size = first, 0
         while last < len(texts) and (last == first or size + len(texts[last]) <= STEP_BYTES):
             size += len(texts[last]) + 1
@@ -54,6 +59,28 @@ def vectors(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return exact, near
 
 
+def _long(text: bytes, most: int = STEP_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """The lanes of a long text: the sum over its paragraphs, a few at a time."""
+    exact, near = np.zeros(EXACT, np.uint16), np.zeros(NEAR, np.uint32)
+    at = 0
+    while at <= len(text):
+        end = text.rfind(b"\n", at, at + most) if at + most < len(text) else len(text)
+        if end < 0:  # a long paragraph: its hash, and its windows in pieces
+            end = text.find(b"\n", at + most)
+            end = len(text) if end < 0 else end
+            exact += np.frombuffer(hashlib.blake2b(text[at:end]).digest(), np.uint16)
+            for a in range(at, end, most):
+                near += _step([text[a : min(a + most + WINDOW - 1, end)]])[1][0]
+                if a + most < end:  # the next piece has these windows whole
+                    near -= _step([text[a + most : min(a + most + WINDOW - 1, end)]])[1][0]
+        else:
+            more = _step([text[at:end]])
+            exact += more[0][0]
+            near += more[1][0]
+        at = end + 1
+    return exact, near
+
+
 def _step(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     rows = len(texts)
     split = [t.split(b"\n") for t in texts]

@@ -12,11 +12,11 @@ a prediction is the mean of the rows of all subwords of the whole text.
 
 Bounds: at most PER_LANGUAGE documents a language and PIECES pieces of PIECE_BYTES bytes a
 document reach the driver, whatever the size of the input. The sample is drawn evenly by a
-hash of doc_id and spread over each whole text.
+hash of doc_id and text and spread over each whole text.
 
 Edge cases: a null text, or one without a letter, is "und" with score 0 and rejected. Rows
-with a null language, or no letter, teach nothing. A very long text is one numpy step a
-megabyte. Ties between languages go to the first by name. Repeated rows get equal results.
+with a null language, or no letter, teach nothing. A very long text is read in pieces of a
+megabyte, cut at spaces; subwords across a cut do not count. Ties between languages go to the first by name. Repeated rows get equal results.
 Without any labelled row every text is "und". Other columns are kept; those named like a
 result are replaced.
 """
@@ -30,10 +30,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.common import steps, tidy, utf8
+from bazaarlens.llm.common import STEP_BYTES, steps, tidy, utf8
 
 UNKNOWN = "und"
 #: Bounds of the training sample, by language and by document.
@@ -91,8 +91,20 @@ class Model:
     bias: np.ndarray
     least: float
 
-    def scores(self, data: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    def scores(self, data: np.ndarray, ends: np.ndarray, most: int = STEP_BYTES) -> np.ndarray:
         """Probabilities, one row a text."""
+        if len(ends) == 2 and len(data) > most:
+            sums = [self._sums(part, np.array([0, len(part)])) for part in _pieces(data, most)]
+            total, count = sum(s[0] for s in sums), sum(s[1] for s in sums)
+        else:
+            total, count = self._sums(data, ends)
+        logits = total / np.maximum(count, 1)[:, None] + self.bias
+        logits -= logits.max(1, keepdims=True)
+        odds = np.exp(logits)
+        return odds / odds.sum(1, keepdims=True)
+
+    def _sums(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The sums of the rows of all subwords of each text, and how many these are."""
         rows = len(ends) - 1
         data, ends = folded(data, ends)
         total, count = np.zeros((rows, len(self.languages))), np.zeros(rows)
@@ -101,19 +113,29 @@ class Model:
                 sums = np.concatenate([[0.0], np.cumsum(self.table[j][row], dtype=np.float64)])
                 total[:, j] += sums[last] - sums[first]
             count += last - first
-        logits = total / np.maximum(count, 1)[:, None] + self.bias
-        logits -= logits.max(1, keepdims=True)
-        odds = np.exp(logits)
-        return odds / odds.sum(1, keepdims=True)
+        return total, count
+
+
+def _pieces(data: np.ndarray, most: int) -> Iterator[np.ndarray]:
+    """A long text in pieces that end before a space, where there is one."""
+    at = 0
+    while at < len(data):
+        end = at + most
+        if end < len(data):
+            space = np.flatnonzero(_FOLD[data[at + 1 : end]] == 32)
+            end = at + 1 + int(space[-1]) if len(space) else end
+        yield data[at:end]
+        at = end
 
 
 def sample(docs: DataFrame, taught: Column, per_language: int = PER_LANGUAGE) -> pd.DataFrame:
     """Pieces of a bounded sample of labelled documents: lang, held, piece.
 
-    Which documents is told from doc_id and lang alone; texts are read for those only.
+    Which documents is told by a hash of doc_id and text, so that rows of one doc_id, or without
+    one, are drawn apart; equal rows count as one. The bound is kept before the driver.
     """
     usable = docs.where(taught & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    order = F.xxhash64(F.col("doc_id"), F.lit(9))
+    order = F.xxhash64("doc_id", "text", F.lit(9))
     sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
     if not sizes:
         return pd.DataFrame({"lang": [], "held": [], "piece": []})
@@ -121,7 +143,10 @@ def sample(docs: DataFrame, taught: Column, per_language: int = PER_LANGUAGE) ->
     share = F.lit(0.0)
     for lang, count in sizes.items():
         share = F.when(F.col("lang") == lang, min(1.0, 2.0 * per_language / count)).otherwise(share)
-    near = usable.where(order.cast("double") / 2.0**64 + 0.5 <= share)
+    near = usable.where(order.cast("double") / 2.0**64 + 0.5 <= share).where(F.col("text").rlike(r"\p{L}"))
+    near = near.select("lang", order.alias("order"), "text").dropDuplicates(["lang", "order"])
+    in_order = Window.partitionBy("lang").orderBy("order")
+    near = near.withColumn("rank", F.row_number().over(in_order)).where(F.col("rank") <= per_language)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -140,9 +165,8 @@ def sample(docs: DataFrame, taught: Column, per_language: int = PER_LANGUAGE) ->
                 {"lang": pa.array(lang, pa.string()), "order": pa.array(order, pa.int64()), "piece": pa.array(piece, pa.binary())}
             )
 
-    pieces = near.select("lang", order.alias("order"), "text").mapInArrow(cut, "lang string, order long, piece binary").toPandas()
-    rank = pieces.groupby("lang")["order"].rank(method="dense")
-    pieces = pieces[rank <= per_language].sort_values(["order", "piece"], ignore_index=True)
+    pieces = near.select("lang", "order", "text").mapInArrow(cut, "lang string, order long, piece binary").toPandas()
+    pieces = pieces.sort_values(["order", "piece"], ignore_index=True)
     # a document is held back whole
     return pieces.assign(held=pieces["order"] % 5 == 0).drop(columns="order")
 

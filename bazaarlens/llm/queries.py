@@ -91,7 +91,8 @@ def op9_language_id(spark: SparkSession, directory: str) -> DataFrame:
     docs = _table(spark, directory, "documents")
     held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
     model = language_id.train(language_id.sample(docs, ~held_out))
-    return language_id.identified(docs.withColumn("held_out", held_out), model, ["doc_id", "held_out"])
+    docs = docs.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+    return language_id.identified(docs, model, ["doc_id", "held_out"])
 
 
 def op10_url_filter(spark: SparkSession, directory: str) -> DataFrame:

@@ -24,7 +24,7 @@ The character model has 27^3 counts.
 
 Edge cases: a null or empty text has the score of a text without features. Without labels of
 both kinds all scores are the share of label 1, or 0. A null label teaches nothing; of
-several labels of one doc_id the largest counts. Very long texts are read whole. Rows that
+several labels of one doc_id the largest counts, and of its rows one teaches. Very long texts are read whole. Rows that
 share a doc_id are scored each by itself. Other columns do not matter.
 """
 
@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.common import steps, utf8
+from bazaarlens.llm.common import checkpointed, steps, utf8
 
 #: Bounds of the fit: labelled documents, features, documents that a feature must occur in.
 SAMPLE, FEATURES, LEAST_DOCS = 12000, 600, 4
@@ -343,7 +343,10 @@ def train(docs: DataFrame, labels: DataFrame, taught: Column) -> Model:
     # near the bound by a share of the hash range, then cut at the bound; ids only
     share = min(1.0, 1.1 * SAMPLE / max(total, 1))
     chosen = told.where(order.cast("double") / 2.0**64 + 0.5 <= share).orderBy(order).limit(SAMPLE)
-    sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("toxic", F.coalesce("text", F.lit("")).alias("text"))
+    sample = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    # one row of a doc_id, however many share it
+    sample = checkpointed(sample.groupBy("doc_id").agg(F.any_value("toxic").alias("toxic"), F.min_by("text", F.xxhash64("text")).alias("text")))
+    sample = sample.select("toxic", "text")
     shared = spark.sparkContext.broadcast(characters)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

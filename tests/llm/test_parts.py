@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from bazaarlens.llm import fingerprints, ngram_join, packing, suffix_dedup, toxicity, units, vector_search
+from bazaarlens.llm import fingerprints, language_id, ngram_join, packing, suffix_dedup, toxicity, units, vector_search
 from bazaarlens.llm.common import checkpointed, components, range_bounds, range_number, shared_dir, steps
 from bazaarlens.llm.hashing import PrefixHash
 from bazaarlens.llm.vector_search import fit
@@ -291,3 +291,33 @@ def test_each_query_gets_k_neighbours_if_there_are_so_many(spark, ids):
                 best[i] = max(best.get(i, -2), float(v @ units[ids.index(q)]))
         want = dict(sorted(best.items(), key=lambda x: (-x[1], x[0]))[:5])
         assert got.get(q, {}).keys() == want.keys() and np.allclose([got[q][i] for i in want], list(want.values()))
+
+
+@given(st.text(st.sampled_from("ab\n"), max_size=80), st.integers(1, 12))
+@settings(max_examples=300, deadline=None)
+def test_fingerprints_of_long_texts_are_sums_of_their_parts(text, most):
+    whole = fingerprints.vectors([text.encode()])
+    exact, near = fingerprints._long(text.encode(), most)
+    assert (exact == whole[0][0]).all() and (near == whole[1][0]).all()
+
+
+def test_long_texts_keep_their_language():
+    pieces = [("xx", b"alpha beta gamma delta " * 8), ("yy", b"une chose et une autre " * 8)] * 20
+    frame = language_id.pd.DataFrame({"lang": [x for x, _ in pieces], "held": [i % 5 == 0 for i in range(40)], "piece": [p for _, p in pieces]})
+    model = language_id.train(frame)
+    for text, at in ((b"alpha beta 12 gamma " * 500, 0), (b"une autre; chose " * 500, 1), (b"alphabetagamma" * 700, 0)):
+        data = np.frombuffer(text, np.uint8)
+        ends = np.array([0, len(data)])
+        assert b"".join(p.tobytes() for p in language_id._pieces(data, 100)) == text
+        one, many = model.scores(data, ends), model.scores(data, ends, 1000)
+        assert one.argmax() == many.argmax() == at and abs(one - many).max() < 0.02
+
+
+def test_the_language_sample_is_bounded_whatever_the_ids(spark):
+    """Null and repeated ids are drawn apart, and equal rows count once."""
+    rows = [(None, f"text number {i} of many words", "en") for i in range(900)]
+    rows += [(5, "the very same text", "en")] * 900 + [(i, f"ein Text {i}", "de") for i in range(30)] + [(1, "12", "fr")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    found = language_id.sample(docs, F.lit(True), per_language=100)
+    counts = found["lang"].value_counts()
+    assert 50 <= counts["en"] <= 100 and counts["de"] == 30 and "fr" not in counts
