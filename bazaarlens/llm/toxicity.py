@@ -6,9 +6,11 @@ What was observed gives a lattice of letters that may have been meant, each with
 the Viterbi algorithm finds the likeliest path under a character trigram model. The model is
 counted over all documents. A letter that stands twice may be meant once. Neighbouring pieces
 of up to SHORT characters, signs included, make one lattice, in which a blank is kept or
-dropped, so that the model chooses the word boundaries; longer pieces are not joined. Signs at the
+dropped, so that the model chooses the word boundaries. Signs at the
 edges of a word may be letters or punctuation, which is cheap there and dear elsewhere; the
-word is read in each way, as the model alone prefers the shorter one. In a row
+word is read in each way, as the model alone prefers the shorter one. Pieces of any length are
+joined where what they make begins as a feature of the model does, and the lattice agrees; a
+letter with an accent is also read without it. In a row
 of three or more single characters a word may also begin and end at each of them, up to LONGEST
 letters, as a trigram tells little about boundaries there. Where
 only blanks or only doubled letters can be read in two ways, each choice depends on the
@@ -32,9 +34,10 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +57,8 @@ LOOKS_LIKE = {
 }
 #: Costs, as negative logarithms of chances, of what the channel does.
 LOOK, DRAWN_OUT, DOUBLED, PUT_BETWEEN, LOST = 1.0, 0.5, 2.0, 1.0, 12.0
+#: What a word that is a feature in full may cost more than its pieces: features are likelier words.
+KNOWN = 4.0
 #: Characters of a piece that may be joined with its neighbours; pieces that one lattice holds,
 #: and how many of them the next one holds again.
 SHORT, PIECES, AGAIN = 3, 4096, 64
@@ -61,13 +66,15 @@ SHORT, PIECES, AGAIN = 3, 4096, 64
 LONGEST = 16
 #: Combinations of the signs at both edges of a word that are all read.
 MANY_EDGES = 36
-_BETWEEN = ".-_*,~'"
 _STRETCH = re.compile(rf"(?<!\S)\S{{1,{SHORT}}}(?:\s+\S{{1,{SHORT}}})+(?!\S)")
 _SINGLES = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
 _LETTER = re.compile(r"[^\W\d_]")
 _TWICE = re.compile(r"([a-z])\1")
 _WORD = re.compile(r"[^\W\d_]+")
-_ODD = re.compile(r"[0-9@$!|+(]|([a-z])\1\1|[a-z][.\-_*,~'][a-z]")
+_ODD = re.compile(r"[0-9@$!|+(]|([a-z])\1\1|[a-z][.\-_*,~'/\u00b7\u2010-\u2015][a-z]")
+#: Letters of a word that tell whether it may have a feature; pieces that are joined at most, where
+#: one is longer than SHORT.
+BEGINNING, JOINED = 4, 4
 _TAIL = re.compile(r"[^\w]+$|^[^\w@$(]+")
 _SYMBOL = np.zeros(256, np.int64)
 _SYMBOL[97:123] = np.arange(1, 27)
@@ -186,6 +193,14 @@ class Restorer:
     def readings(self, token: str) -> set[str]:
         """A piece without spaces as it stands, restored, and with each number of the signs at
         its edges read as letters, from none to all; what is farther out is punctuation."""
+        found = self._readings(token)
+        if not token.isascii():
+            plain = without_accents(token)
+            if plain != token:
+                found |= self._readings(plain)
+        return found
+
+    def _readings(self, token: str) -> set[str]:
         if not _ODD.search(token):  # most pieces
             return {token, self.once(token)} if _TWICE.search(token) else {token}
         found = {token, self.word(token)}
@@ -224,6 +239,20 @@ class Restorer:
             return "".join(out)
         return self.decode(" ".join(pieces))
 
+    def seams(self, stretch: str) -> float:
+        """What it costs more to read pieces of letters as one word than apart. Each blank's share
+        depends on the two letters on both sides alone."""
+        total = 0.0
+        symbols = [self._symbol(stretch, i) for i in range(len(stretch))]
+        at = lambda i: symbols[i] if 0 <= i < len(symbols) else 0
+        model = self.model
+        for i, c in enumerate(stretch):
+            if c == " ":
+                a, b, x, y = at(i - 2), at(i - 1), at(i + 1), at(i + 2)
+                kept = model[(a * 27 + b) * 27] + model[b * 729 + x] + model[x * 27 + y]
+                total += model[(a * 27 + b) * 27 + x] + model[(b * 27 + x) * 27 + y] + PUT_BETWEEN - kept
+        return total
+
     def stretches(self, text: str) -> Iterator[str]:
         """Neighbouring short pieces that hold a letter, in parts that overlap."""
         for m in _STRETCH.finditer(text):
@@ -241,20 +270,33 @@ class Restorer:
         return " ".join(self.word(t) for t in whole.split())
 
 
+def without_accents(token: str) -> str:
+    return "".join(c for c in unicodedata.normalize("NFKD", token) if not unicodedata.combining(c))
+
+
+def spellings(word: str) -> list[str]:
+    """A word and its beginnings."""
+    return [word + "$", *(word[:n] for n in (4, 5, 6, 7, 8) if len(word) >= n)]
+
+
 def features(word: str) -> set[int]:
     """Hashes of a word and of its beginnings."""
-    return {zlib.crc32(x.encode()) for x in [word + "$", *(word[:n] for n in (4, 5, 6, 7, 8) if len(word) >= n)]}
+    return {zlib.crc32(x.encode()) for x in spellings(word)}
 
 
 class Reader:
     """Features of texts, each different word read once."""
 
-    def __init__(self, model: list[float], chosen: list[int] | None = None):
+    def __init__(self, model: list[float], chosen: list[int] | None = None, starts: frozenset[str] | None = None):
         self.restorer = Restorer(model)
         self.chosen = None if chosen is None else {x: i for i, x in enumerate(chosen)}
+        self.starts = starts  # of the chosen features, if told: other words have none
+        self.spelled: dict[int, str] = {}
         self.known: dict[str, tuple[int, ...]] = {}
 
     def _word(self, token: str) -> tuple[int, ...]:
+        if self.starts is not None and token.isascii() and token.isalpha() and not _TWICE.search(token):
+            return self._chosen((token,))  # it can be read in one way
         return self._chosen({word for x in self.restorer.readings(token) for word in _WORD.findall(x)})
 
     def _stretch(self, stretch: str) -> tuple[int, ...]:
@@ -269,18 +311,46 @@ class Reader:
                 words.update(row[i:j] for i in range(len(row)) for j in range(i + 3, min(i + LONGEST, len(row)) + 1))
         return self._chosen(words)
 
-    def _chosen(self, words: set[str]) -> tuple[int, ...]:
+    def _chosen(self, words: Collection[str]) -> tuple[int, ...]:
         found: set[int] = set()
         for word in words:
-            found |= features(word)
-        if self.chosen is not None:
-            found = {self.chosen[x] for x in found if x in self.chosen}
+            if self.chosen is None:
+                found |= features(word)
+            elif self.starts is None or (word + "$")[:BEGINNING] in self.starts:
+                for spelled in spellings(word):
+                    i = self.chosen.get(zlib.crc32(spelled.encode()))
+                    if i is not None:
+                        found.add(i)
+                        self.spelled[i] = spelled
         return tuple(found)
 
+    def _parted(self, tokens: list[str]) -> Iterator[str]:
+        """Neighbouring pieces that together begin as a feature does."""
+        starts, last = self.starts, len(tokens) - 1
+        for i, token in enumerate(tokens):
+            if i < last and (token[:BEGINNING] if len(token) >= BEGINNING else (token + tokens[i + 1])[:BEGINNING]) in starts:
+                for n in range(2, JOINED + 1):
+                    pieces = tokens[i : i + n]
+                    if len(pieces) == n and pieces[-1].isalpha():
+                        yield " ".join(pieces)
+
+    def _made(self, stretch: str) -> tuple[int, ...]:
+        """The features of one word made of all pieces of a stretch, where that is the likeliest
+        reading; short pieces are read by the lattice, unless they spell a feature in full."""
+        whole = stretch.replace(" ", "")
+        words = {whole, self.restorer.once(whole)}
+        full = any(zlib.crc32(f"{w}$".encode()) in self.chosen for w in words)
+        pieces = stretch.split(" ")
+        if not full and max(map(len, pieces)) <= SHORT or self.restorer.seams(stretch) >= (KNOWN if full else 0.0):
+            return ()
+        alone = {x for piece in pieces for x in self._word(piece)}
+        return tuple(x for x in self._chosen(words) if x not in alone)
+
     def read(self, text: str) -> dict[int, int]:
         """How often each feature occurs."""
         text = text.lower()
-        words = Counter(text.split())
+        tokens = text.split()
+        words = Counter(tokens)
         if len(self.known) > REMEMBERED:
             self.known.clear()
         out: dict[int, int] = {}
@@ -299,14 +369,24 @@ class Reader:
                     self.known[stretch] = found
             for x in found:
                 out[x] = out.get(x, 0) + times
+        if self.starts:
+            for stretch, times in Counter(self._parted(tokens)).items():
+                key = "\n" + stretch  # a stretch of short pieces has an entry of its own
+                found = self.known.get(key)
+                if found is None:
+                    found = self.known[key] = self._made(stretch)
+                for x in found:
+                    out[x] = out.get(x, 0) + times
         return out
 
 
 class Model:
-    """A character model, features, their weights and a bias."""
+    """A character model, features, their weights and a bias, and the beginnings of features."""
 
-    def __init__(self, characters: list[float], chosen: list[int], weights: np.ndarray, bias: float):
-        self.characters, self.chosen, self.weights, self.bias = characters, chosen, weights, bias
+    def __init__(
+        self, characters: list[float], chosen: list[int], weights: np.ndarray, bias: float, starts: frozenset[str] = frozenset()
+    ):
+        self.characters, self.chosen, self.weights, self.bias, self.starts = characters, chosen, weights, bias, starts
 
     def score(self, found: dict[int, int]) -> float:
         total = self.bias + sum(self.weights[i] * math.log1p(n) for i, n in found.items())
@@ -380,14 +460,20 @@ def train(docs: DataFrame, labels: DataFrame, taught: Column) -> Model:
     names = [r["feature"] for r in ranked.orderBy(F.desc("gain"), "feature").limit(FEATURES).collect()]
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(shared.value, names)
+        reader, told = Reader(shared.value, names), 0
         for batch in batches:
             rows = [list(reader.read(x).items()) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.map_(pa.int32(), pa.int32()))], ["toxic", "found"])
+            spelled = [list(reader.spelled.items())[told:] if not i else [] for i in range(len(rows))]
+            told = len(reader.spelled) if rows else told
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(rows, pa.map_(pa.int32(), pa.int32())), pa.array(spelled, pa.map_(pa.int32(), pa.string()))],
+                ["toxic", "found", "spelled"],
+            )
 
-    rows = sample.mapInArrow(find, "toxic boolean, found map<int,int>").collect()
+    rows = sample.mapInArrow(find, "toxic boolean, found map<int,int>, spelled map<int,string>").collect()
     weights, bias = regression([r["found"] for r in rows], np.array([float(r["toxic"]) for r in rows]), len(names))
-    return Model(characters, names, weights, bias)
+    starts = frozenset(x[:BEGINNING] for r in rows for x in r["spelled"].values())
+    return Model(characters, names, weights, bias, starts)
 
 
 def scored(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
@@ -396,7 +482,7 @@ def scored(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        reader = Reader(model.characters, model.chosen)
+        reader = Reader(model.characters, model.chosen, model.starts)
         for batch in batches:
             scores = [model.score(reader.read(x or "")) for x in batch.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -60,3 +60,49 @@ def test_signs_at_the_edges(reader, seen, meant):
 
 def test_a_word_among_very_many_signs(reader):
     assert has(reader, "!+" * 30 + "(idiot" + "+!" * 30, "idiot")
+
+
+TOXIC = ["idiot", "stupid", "loser", "moron", "trash", "pathetic"]
+
+
+@pytest.fixture(scope="module")
+def scorer(reader):
+    """A reader that knows which features count, as in scoring."""
+    told = [x for word in TOXIC for x in toxicity.spellings(word)]
+    names = [zlib.crc32(x.encode()) for x in told]
+    return toxicity.Reader(reader.restorer.model, names, frozenset(x[: toxicity.BEGINNING] for x in told)), told
+
+
+def counted(scorer, text):
+    reader, told = scorer
+    return {told[i]: n for i, n in reader.read(text).items()}
+
+
+@pytest.mark.parametrize(
+    "seen, meant",
+    [
+        ("stup id", "stupid"), ("idio t", "idiot"), ("lose r", "loser"), ("mor on", "moron"), ("st upid", "stupid"),
+        ("patheti c", "pathetic"), ("i/d/i/o/t", "idiot"), ("i\u2013d\u2013i\u2013o\u2013t", "idiot"), ("\u00eddi\u00f6t", "idiot"),
+        ("STUPID", "stupid"), ("stuupid", "stupid"), ("1d10t", "idiot"), ("s t u p i d", "stupid"),
+    ],
+)
+def test_features_of_disturbed_words(scorer, seen, meant):
+    assert counted(scorer, f"hansh {seen} hansh").get(meant + "$") == 1
+
+
+def test_clean_words_have_no_features(scorer):
+    for text in ("the idea of it", "a stu dio", "the rest, on", "close rather", "of the trans lation", "more on this"):
+        assert counted(scorer, text) == {}, text
+    assert counted(scorer, "an idiot on the idiot") == {"idiot$": 2, "idio": 2, "idiot": 2}
+
+
+def test_what_is_left_out_early_has_no_features(reader):
+    """Telling words by their beginnings changes nothing but the joins of long pieces."""
+    told = [x for word in TOXIC for x in toxicity.spellings(word)]
+    names = [zlib.crc32(x.encode()) for x in told]
+    plain = toxicity.Reader(reader.restorer.model, names)
+    quick = toxicity.Reader(reader.restorer.model, names, frozenset(x[: toxicity.BEGINNING] for x in told))
+    quick._parted = lambda tokens: iter(())
+    texts = duckdb.sql(f"SELECT text FROM '{DATA}/documents.parquet' WHERE text <> '' ORDER BY doc_id LIMIT 400").fetchall()
+    for (text,) in texts:
+        assert plain.read(text) == quick.read(text)
