@@ -100,9 +100,12 @@ def _exported(m: Marketplace, units: Column) -> str:
 
 
 def _scorecard_from_csv(m: Marketplace) -> DataFrame:
-    """The scorecard over files whose headers differ."""
-    path = _exported(m, F.col("units"))
-    return ops.regional_scorecard(sources.read_csv(m.spark, path, sources.schemas.PRICING), m.platform())
+    """The scorecard over files whose headers differ, and a stored lookup."""
+    pricing = sources.read_csv(m.spark, _exported(m, F.col("units")), sources.schemas.PRICING)
+    stored = f"{sources.new_folder(m.spark, 'csv')}/platform"
+    exported = m.platform().withColumnRenamed("platform_order", "platform order")
+    exported.write.option("header", True).csv(stored)
+    return ops.regional_scorecard(pricing, sources.read_csv(m.spark, stored, sources.schemas.PLATFORM))
 
 
 def _rejected_prices(m: Marketplace) -> DataFrame:
