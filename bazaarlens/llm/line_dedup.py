@@ -24,7 +24,8 @@ documents.
 Edge cases: a null text stays null, and an empty one empty. A document of which all lines go
 is left with an empty text. Rows that share a doc_id are different documents if their texts
 differ, and otherwise one document, so that both stay. A null doc_id comes after all others.
-An empty table gives no rows. Other columns do not matter.
+A very long text is a row for each of its lines, and hashed line by line. An empty table gives no
+rows. Other columns do not matter.
 """
 
 from __future__ import annotations

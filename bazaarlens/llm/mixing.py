@@ -15,7 +15,8 @@ spread over many tasks; only per-slice totals are added up, along each source.
 Edge cases: a null source is a source of its own. A null or empty text has no tokens and is
 drawn with the documents before it; a source without tokens is drawn once and has weight 0.
 Equal rows are drawn each by itself; their order among themselves is not fixed, nor does it
-change which texts are drawn. An empty table gives no rows. Other columns do not matter to
+change which texts are drawn. Very long texts are counted by one expression, and never
+shuffled. An empty table gives no rows. Other columns do not matter to
 `mixed`, and `resampled` keeps them all.
 """
 

@@ -11,7 +11,8 @@ URL whose canonical form is listed is blocked and any other is allowed.
 
 Edge cases: a null URL, or one without "://", has an empty host and path and no rule and is
 allowed, as are all URLs against an empty list without rules. Repeated list entries, rules
-and pages change nothing. Rules with a null host or path are ignored. Other columns of the
+and pages change nothing. Rules with a null host or path are ignored. Very long URLs
+are compared whole. Other columns of the
 pages are kept unless their names clash with those returned, which replace them.
 """
 
