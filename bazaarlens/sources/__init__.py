@@ -9,6 +9,7 @@ from bazaarlens.sources.readers import (
     read_tables,
     register_tables,
     split_rejected,
+    write_rejected,
 )
 from bazaarlens.sources.shared import new_folder, shared_dir
 
@@ -25,4 +26,5 @@ __all__ = [
     "schemas",
     "shared_dir",
     "split_rejected",
+    "write_rejected",
 ]

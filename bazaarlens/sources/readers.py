@@ -112,6 +112,13 @@ def split_rejected(df: DataFrame, rejected: str) -> tuple[DataFrame, DataFrame]:
     return df.where(column.isNull()).drop(rejected), lost
 
 
+def write_rejected(rejected: DataFrame, path: str) -> None:
+    """Write what :func:`split_rejected` tells of rejected lines as CSV with a header; the names in
+    ``columns`` are separated by commas. A folder that exists already raises."""
+    told = rejected.withColumn("columns", F.array_join("columns", ","))
+    told.write.option("header", True).csv(path)
+
+
 def clean(df: DataFrame, names: Mapping[str, str] = CLEAN_NAMES) -> DataFrame:
     """Rename exported columns; names the table lacks are ignored."""
     return df.withColumnsRenamed(dict(names))
