@@ -26,11 +26,12 @@ from __future__ import annotations
 
 import base64
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.llm.common import STEP_BYTES, range_bounds, range_number, shuffle_partitions
@@ -150,6 +151,26 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(map_texts, "doc_id long, n_chars long, fingerprint string")
 
 
+def _prefix(text: Column) -> Column:
+    """The first seven bytes as a number, which rises with the text."""
+    first = F.hex(F.substring(F.encode(F.coalesce(text, F.lit("")), "UTF-8"), 1, 7))
+    return F.conv(F.rpad(first, 14, "0"), 16, 10).cast("long")
+
+
+def _ranges(docs: DataFrame, parts: int) -> Column:
+    """The number of a row's range of key; a key that fills several ranges, such as that of rows
+    without a doc_id, is cut further by the beginning of the text."""
+    shares = [i / parts for i in range(1, parts)]
+    found = [min(int(x), (1 << 63) - 1) for x in docs.approxQuantile("key", shares, 0.25 / parts)] if shares else []
+    number = range_number(F.col("key"), sorted(set(found)))
+    for key, times in sorted(Counter(found).items()):
+        if times > 1:
+            within = range_bounds(docs.where(F.col("key") == key), "prefix", times + 1)
+            inside = range_number(F.col("prefix"), within)
+            number += F.when(F.col("key") == key, inside).when(F.col("key") > key, len(within)).otherwise(0)
+    return number
+
+
 def edited_pairs(docs: DataFrame) -> DataFrame:
     """Every document beside its edited text and the next document.
 
@@ -157,19 +178,23 @@ def edited_pairs(docs: DataFrame) -> DataFrame:
     nulls stand last, and rows with one doc_id in the order of their texts. The edited text
     has the last floor(n / 2) code points replaced by the first as many of the next text.
 
-    Documents are dealt into ranges of doc_id with the first document of the following
-    range at the end of each, sorted, and read as a stream; a task holds one batch.
+    Documents are dealt into ranges of doc_id, and of the text where one doc_id or none has very
+    many rows, with the first document of the following range at the end of each, sorted, and
+    read as a stream; a task holds one batch.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     parts = shuffle_partitions(spark)
     # ~x is -x - 1: the key rises where doc_id falls, and a null comes last
     docs = docs.withColumn("key", F.coalesce(F.bitwise_not("doc_id"), F.lit((1 << 63) - 1)))
-    docs = docs.withColumn("range", range_number(F.col("key"), range_bounds(docs, "key", 4 * parts)))
-    # one row a range: its first key, and the range before it, or the last for the first
-    found = docs.groupBy("range").agg(F.min("key").alias("key")).orderBy("range").collect()
-    firsts = [(r["range"], r["key"]) for r in found]
-    place = F.array_position(F.array(*[F.lit(key).cast("long") for _, key in firsts]), F.col("key"))
+    docs = docs.withColumn("prefix", _prefix(F.col("text")))
+    docs = docs.withColumn("range", _ranges(docs, 4 * parts))
+    # one row a range: where it begins, and the range before it, or the last for the first
+    start = F.struct("key", "prefix")
+    found = docs.groupBy("range").agg(F.min(start).alias("start")).orderBy("range").collect()
+    firsts = [(r["range"], r["start"]) for r in found]
+    begin = [F.struct(*[F.lit(s[x]).cast("long").alias(x) for x in ("key", "prefix")]) for _, s in firsts]
+    place = F.array_position(F.array(*begin), start)
     ranges = F.array(*[F.lit(firsts[i - 1][0]) for i in range(len(firsts))])
     before = F.try_element_at(ranges, F.nullif(place.cast("int"), F.lit(0)))
     deal = F.array(

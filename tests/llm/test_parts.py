@@ -321,3 +321,22 @@ def test_the_language_sample_is_bounded_whatever_the_ids(spark):
     found = language_id.sample(docs, F.lit(True), per_language=100)
     counts = found["lang"].value_counts()
     assert 50 <= counts["en"] <= 100 and counts["de"] == 30 and "fr" not in counts
+
+
+def test_rows_without_an_id_are_dealt_into_several_ranges(spark):
+    dice = np.random.default_rng(3)
+    texts = ["".join(dice.choice(list("aäbc \n"), dice.integers(0, 12))) for _ in range(3000)]
+    rows = [(None if i % 3 == 0 else 5 if i % 3 == 1 else i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    order = sorted(rows, key=lambda d: (d[0] is None, -(d[0] or 0), d[1].encode()))
+    want = []
+    for i, (doc_id, text) in enumerate(order):
+        half, following = len(text) // 2, order[(i + 1) % len(order)][1]
+        want.append((doc_id, len(text), fingerprints.hashlib.sha256((text[: len(text) - half] + following[:half]).encode()).hexdigest()))
+    found = fingerprints.edited_pairs(docs)
+    got = [(r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in found.collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    keyed = docs.withColumn("key", F.coalesce(F.bitwise_not("doc_id"), F.lit((1 << 63) - 1)))
+    keyed = keyed.withColumn("prefix", fingerprints._prefix(F.col("text")))
+    sizes = [r["count"] for r in keyed.groupBy(fingerprints._ranges(keyed, 32)).count().collect()]
+    assert max(sizes) < 400 and sum(sizes) == 3000
