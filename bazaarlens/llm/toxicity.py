@@ -9,7 +9,7 @@ of up to SHORT characters, signs included, make one lattice, in which a blank is
 dropped, so that the model chooses the word boundaries. Signs at the
 edges of a word may be letters or punctuation, which is cheap there and dear elsewhere; the
 word is read in each way, as the model alone prefers the shorter one. Pieces of any length are
-joined where what they make begins as a feature of the model does, and the lattice agrees; a
+joined where they make a word that is a feature, unless the character model is clearly against it; a
 letter with an accent is also read without it. In a row
 of three or more single characters a word may also begin and end at each of them, up to LONGEST
 letters, as a trigram tells little about boundaries there. Where
@@ -287,10 +287,17 @@ def features(word: str) -> set[int]:
 class Reader:
     """Features of texts, each different word read once."""
 
-    def __init__(self, model: list[float], chosen: list[int] | None = None, starts: frozenset[str] | None = None):
+    def __init__(
+        self,
+        model: list[float],
+        chosen: list[int] | None = None,
+        starts: frozenset[str] | None = None,
+        full: frozenset[str] = frozenset(),
+    ):
         self.restorer = Restorer(model)
         self.chosen = None if chosen is None else {x: i for i, x in enumerate(chosen)}
-        self.starts = starts  # of the chosen features, if told: other words have none
+        # of the chosen features, if told: other words have none; and those that are whole words
+        self.starts, self.full = starts, full
         self.spelled: dict[int, str] = {}
         self.known: dict[str, tuple[int, ...]] = {}
 
@@ -325,26 +332,23 @@ class Reader:
         return tuple(found)
 
     def _parted(self, tokens: list[str]) -> Iterator[str]:
-        """Neighbouring pieces that together begin as a feature does."""
-        starts, last = self.starts, len(tokens) - 1
-        for i, token in enumerate(tokens):
-            if i < last and (token[:BEGINNING] if len(token) >= BEGINNING else (token + tokens[i + 1])[:BEGINNING]) in starts:
-                for n in range(2, JOINED + 1):
-                    pieces = tokens[i : i + n]
-                    if len(pieces) == n and pieces[-1].isalpha():
-                        yield " ".join(pieces)
+        """Neighbouring pieces that together are a word which is a feature."""
+        starts, full = self.starts, self.full
+        for i, following in enumerate(tokens[1:]):
+            word = tokens[i] + following
+            if word[:BEGINNING] in starts:
+                for j in range(i + 2, min(i + JOINED, len(tokens)) + 1):
+                    if word in full:
+                        yield " ".join(tokens[i:j])
+                    word += tokens[j] if j < len(tokens) else ""
 
     def _made(self, stretch: str) -> tuple[int, ...]:
-        """The features of one word made of all pieces of a stretch, where that is the likeliest
-        reading; short pieces are read by the lattice, unless they spell a feature in full."""
-        whole = stretch.replace(" ", "")
-        words = {whole, self.restorer.once(whole)}
-        full = any(zlib.crc32(f"{w}$".encode()) in self.chosen for w in words)
-        pieces = stretch.split(" ")
-        if not full and max(map(len, pieces)) <= SHORT or self.restorer.seams(stretch) >= (KNOWN if full else 0.0):
+        """The features of the word made of all pieces of a stretch, where that reading is likely
+        enough."""
+        if self.restorer.seams(stretch) >= KNOWN:
             return ()
-        alone = {x for piece in pieces for x in self._word(piece)}
-        return tuple(x for x in self._chosen(words) if x not in alone)
+        alone = {x for piece in stretch.split(" ") for x in self._word(piece)}
+        return tuple(x for x in self._chosen((stretch.replace(" ", ""),)) if x not in alone)
 
     def read(self, text: str) -> dict[int, int]:
         """How often each feature occurs."""
@@ -369,7 +373,7 @@ class Reader:
                     self.known[stretch] = found
             for x in found:
                 out[x] = out.get(x, 0) + times
-        if self.starts:
+        if self.full:
             for stretch, times in Counter(self._parted(tokens)).items():
                 key = "\n" + stretch  # a stretch of short pieces has an entry of its own
                 found = self.known.get(key)
@@ -384,9 +388,11 @@ class Model:
     """A character model, features, their weights and a bias, and the beginnings of features."""
 
     def __init__(
-        self, characters: list[float], chosen: list[int], weights: np.ndarray, bias: float, starts: frozenset[str] = frozenset()
+        self, characters: list[float], chosen: list[int], weights: np.ndarray, bias: float, spelled: frozenset[str] = frozenset()
     ):
-        self.characters, self.chosen, self.weights, self.bias, self.starts = characters, chosen, weights, bias, starts
+        self.characters, self.chosen, self.weights, self.bias = characters, chosen, weights, bias
+        self.starts = frozenset(x[:BEGINNING] for x in spelled)
+        self.full = frozenset(x[:-1] for x in spelled if x.endswith("$"))
 
     def score(self, found: dict[int, int]) -> float:
         total = self.bias + sum(self.weights[i] * math.log1p(n) for i, n in found.items())
@@ -472,8 +478,7 @@ def train(docs: DataFrame, labels: DataFrame, taught: Column) -> Model:
 
     rows = sample.mapInArrow(find, "toxic boolean, found map<int,int>, spelled map<int,string>").collect()
     weights, bias = regression([r["found"] for r in rows], np.array([float(r["toxic"]) for r in rows]), len(names))
-    starts = frozenset(x[:BEGINNING] for r in rows for x in r["spelled"].values())
-    return Model(characters, names, weights, bias, starts)
+    return Model(characters, names, weights, bias, frozenset(x for r in rows for x in r["spelled"].values()))
 
 
 def scored(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
@@ -482,7 +487,7 @@ def scored(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        reader = Reader(model.characters, model.chosen, model.starts)
+        reader = Reader(model.characters, model.chosen, model.starts, model.full)
         for batch in batches:
             scores = [model.score(reader.read(x or "")) for x in batch.column(len(keep)).to_pylist()]
             yield pa.RecordBatch.from_arrays(

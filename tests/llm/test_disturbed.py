@@ -70,7 +70,8 @@ def scorer(reader):
     """A reader that knows which features count, as in scoring."""
     told = [x for word in TOXIC for x in toxicity.spellings(word)]
     names = [zlib.crc32(x.encode()) for x in told]
-    return toxicity.Reader(reader.restorer.model, names, frozenset(x[: toxicity.BEGINNING] for x in told)), told
+    starts = frozenset(x[: toxicity.BEGINNING] for x in told)
+    return toxicity.Reader(reader.restorer.model, names, starts, frozenset(TOXIC)), told
 
 
 def counted(scorer, text):
