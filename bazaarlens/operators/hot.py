@@ -24,10 +24,14 @@ SHARES = 0.5
 
 @dataclass(frozen=True)
 class HotKeys:
-    """Keys with a large part of the rows, by a hash; another key of the same hash counts as hot."""
+    """Keys with a large part of the rows, by a hash; another key of the same hash counts as hot.
+
+    ``rows`` is the number of all rows, hot or not.
+    """
 
     columns: tuple[str, ...]
     hashes: tuple[int, ...]
+    rows: int = 0
 
     def match(self) -> Column:
         """Whether a row's key is hot; never null."""
@@ -49,7 +53,7 @@ def hot_keys(rows: DataFrame, keys: Sequence[str], shares: float = SHARES) -> Ho
     ).first()
     least = max(2.0, shares * found["n"] / partitions)
     hashes = tuple(sorted(t["item"] for t in found["top"] or () if t["count"] >= least))
-    return HotKeys(tuple(keys), hashes)
+    return HotKeys(tuple(keys), hashes, found["n"])
 
 
 def with_key_values(

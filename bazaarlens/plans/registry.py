@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 
@@ -22,6 +23,8 @@ LOW_CATEGORY_RATE = 0.05
 LOOKUP_ORDER_ID = 1000
 PREVIEW_ROWS = 20
 FLAG_BUCKETS = 8
+#: Rows of a bucket of stored flags, about: a task sorts and groups a bucket in its memory.
+BUCKET_ROWS = 500_000
 REJECTED_UNITS = 4000
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,13 +68,16 @@ def _published_flags(m: Marketplace) -> DataFrame:
 
 def _stored_flags(m: Marketplace) -> DataFrame:
     """The flags stored by model in buckets, read back with the units of each model beside its
-    rows: no shuffle on the three keys. The table goes once the result is written."""
+    rows: no shuffle on the three keys. The table goes once the result is written. There are
+    FLAG_BUCKETS buckets, more from so many times BUCKET_ROWS lines on."""
     name = f"flags_{uuid.uuid4().hex}"
     key = ["region", "item_id", "model_id"]
-    flags = ops.top30_model_flag(m.pricing(), hot=ops.hot_keys(m.offers(), ["item_id", "model_id"]))
+    hot = ops.hot_keys(m.offers(), ["item_id", "model_id"])
+    flags = ops.top30_model_flag(m.pricing(), hot=hot)
+    buckets = max(FLAG_BUCKETS, math.ceil(hot.rows / BUCKET_ROWS))
     sources.shared_dir(m.spark)
     try:
-        stored = sources.publish(flags, name, persistent=True, keys=key, buckets=FLAG_BUCKETS)
+        stored = sources.publish(flags, name, persistent=True, keys=key, buckets=buckets)
         models = stored.groupBy(*key).agg(F.sum("units").alias("model_units"))
         joined = stored.join(models, key)
         result = joined.groupBy("region", "is_top_30_model").agg(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bazaarlens import operators as ops
 from bazaarlens import sources
-from bazaarlens.plans import QUERIES
+from bazaarlens.plans import QUERIES, registry
 from bazaarlens.plans.marketplace import Marketplace
 
 DATA = "/root/testdata/sf0.01"
@@ -158,6 +158,23 @@ def test_the_registered_stored_flag_cleans_up(spark):
     assert {t.name for t in spark.catalog.listTables()} == before
 
 
+def test_stored_flags_have_more_buckets_for_more_rows(spark, monkeypatch):
+    lines = Marketplace(spark, DATA).table("lineitem").count()
+    assert ops.hot_keys(Marketplace(spark, DATA).offers(), ["item_id"]).rows == lines
+    publish, buckets, found = sources.publish, [], []
+
+    def seen(*args, **options):
+        buckets.append(options["buckets"])
+        return publish(*args, **options)
+
+    monkeypatch.setattr(sources, "publish", seen)
+    for rows in (10 * lines, lines // 19):
+        monkeypatch.setattr(registry, "BUCKET_ROWS", rows)
+        found.append(sorted(map(tuple, QUERIES["stored_flags"](spark, DATA).collect()), key=repr))
+    assert buckets == [registry.FLAG_BUCKETS, 20]
+    assert found[0] == found[1]
+
+
 @pytest.mark.parametrize("name", ["categorised_orders", "first_purchase_daily"])
 def test_a_month_of_orders_filters_the_lines_at_run_time(spark, name):
     """On a large table the orders of the window become a Bloom filter on the scan of the lines."""
