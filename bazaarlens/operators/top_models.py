@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bazaarlens.functions.numbers import (
@@ -31,6 +31,7 @@ from bazaarlens.operators.pricing import PricingColumns
 SHARE = 0.3
 FLAG = "is_top_30_model"
 _RATIO_DIGITS = 10
+_MOST_RANKS = 2**31 - 1
 _COPIES, _LISTINGS, _SUM = "__copies", "__listings", "__sum"
 
 
@@ -45,34 +46,36 @@ def top30_ranked_models(
     """The kept rows, with order total, platform total, share, threshold and rank.
 
     The share is ranked as the ten-decimal text it is shown as, highest first unless
-    ``descending`` is off; the platform total breaks ties. A window holds the lookup
-    rows of one region, never the pricing rows of a model.
+    ``descending`` is off; the platform total breaks ties. The lookup rows of its region are
+    ranked within the row of a model: no row but the kept ones is made, and no task sorts them.
     """
     admitted = _last_rank(share, text_threshold)
-    lookup = platform.select(columns.region, columns.platform_order)
-    shares = join_lookup(
-        _order_sums(pricing, columns).where(admitted >= 1),
-        lookup,
-        keys=[columns.region],
-    ).withColumn(
-        "contribute_ratio",
-        fixed_text(ratio(F.col("sum_units"), F.col(columns.platform_order)), _RATIO_DIGITS),
+    total = columns.platform_order
+    listings = platform.groupBy(columns.region).agg(F.collect_list(F.struct(total)).alias(_LISTINGS))
+    models = join_lookup(_order_sums(pricing, columns).where(admitted >= 1), listings, [columns.region])
+    # a region that the lookup lacks has one rank, without a platform total
+    unlisted = F.array(F.struct(F.lit(None).cast(platform.schema[total].dataType).alias(total)))
+    shares = F.transform(
+        F.coalesce(_LISTINGS, unlisted),
+        lambda listed: F.struct(
+            fixed_text(ratio(F.col("sum_units"), listed[total]), _RATIO_DIGITS).alias("contribute_ratio"),
+            listed[total].alias(total),
+        ),
     )
-    direction = F.desc if descending else F.asc
-    window = Window.partitionBy(*columns.model_key).orderBy(
-        direction("contribute_ratio"), direction(columns.platform_order)
-    )
-    return (
-        shares.withColumn("contribution_rank", F.row_number().over(window))
-        .where(F.col("contribution_rank") <= admitted)
-        .select(
-            *columns.model_key,
-            "sum_units",
-            columns.platform_order,
-            "contribute_ratio",
-            threshold_text(F.col("sum_units"), share).alias("order_threshold"),
-            "contribution_rank",
-        )
+    # nulls come first in ascending order and last in descending order
+    kept = F.slice(F.sort_array(shares, asc=not descending), 1, F.least(admitted, F.lit(_MOST_RANKS)).cast("int"))
+    return models.select(
+        *columns.model_key,
+        "sum_units",
+        threshold_text(F.col("sum_units"), share).alias("order_threshold"),
+        F.posexplode(kept).alias("rank", "listed"),
+    ).select(
+        *columns.model_key,
+        "sum_units",
+        F.col("listed")[total].alias(total),
+        F.col("listed")["contribute_ratio"].alias("contribute_ratio"),
+        "order_threshold",
+        (F.col("rank") + 1).alias("contribution_rank"),
     )
 
 

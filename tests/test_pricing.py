@@ -3,6 +3,7 @@ from collections import Counter, defaultdict
 from decimal import ROUND_HALF_EVEN, Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from bazaarlens import PricingColumns, StatusLabels
 from bazaarlens import operators as ops
@@ -224,6 +225,28 @@ def test_ranked_models_by_brute_force(spark, rows_of, strict, descending):
     assert rows_of(df) == sorted(expected_ranks(rows, LOOKUP, strict, descending), key=repr)
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_ranks_are_those_of_a_window_without_one(spark, rows_of, descending):
+    """Ties, unknown totals and unlisted regions; the rows of a task are never sorted by model."""
+    rows = [(r, i, i % 3, 40 * i - 9, None) for i in range(30) for r in ("ID", "MY", "SG", None)]
+    lookup = [("ID", 900), ("ID", 900), ("ID", None), ("ID", 0), ("ID", 7), ("MY", None), (None, 4), ("ID", -5)]
+    pricing, platform = spark.createDataFrame(rows, PRICING), spark.createDataFrame(lookup, PLATFORM)
+    df = ops.top30_ranked_models(pricing, platform, descending=descending)
+    key, way = ["region", "item_id", "model_id"], "DESC" if descending else "ASC"
+    sums = pricing.groupBy(*key).agg(F.sum("units").alias("sum_units"))
+    want = sums.join(platform, "region", "left").selectExpr(
+        *key, "sum_units", "platform_order",
+        "format_number(try_divide(double(sum_units), double(platform_order)), 10) AS contribute_ratio",
+        "format_number(sum_units * 0.3D, 0) AS order_threshold",
+    )
+    order = f"PARTITION BY region, item_id, model_id ORDER BY contribute_ratio {way}, platform_order {way}"
+    want = want.selectExpr("*", f"row_number() OVER ({order}) AS contribution_rank")
+    want = want.where("contribution_rank <= rint(sum_units * 0.3D)")
+    assert rows_of(df) == rows_of(want) and df.dtypes == want.dtypes
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Sort [region" not in plan
+
+
 @pytest.mark.parametrize("strict", [False, True])
 def test_item_count_by_brute_force(spark, strict):
     rows = random_pricing(8)
