@@ -38,6 +38,7 @@ import unicodedata
 import zlib
 from collections import Counter
 from collections.abc import Collection, Iterator
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -75,6 +76,9 @@ _ODD = re.compile(r"[0-9@$!|+(]|([a-z])\1\1|[a-z][.\-_*,~'/\u00b7\u2010-\u2015][
 #: Letters of a word that tell whether it may have a feature; pieces that are joined at most, where
 #: one is longer than SHORT.
 BEGINNING, JOINED = 4, 4
+#: Characters of a piece or stretch up to which it is told beforehand whether it may have a feature.
+TOLD = 40
+_SIGNS = "".join(LOOKS_LIKE)
 _TAIL = re.compile(r"[^\w]+$|^[^\w@$(]+")
 _SYMBOL = np.zeros(256, np.int64)
 _SYMBOL[97:123] = np.arange(1, 27)
@@ -262,7 +266,7 @@ class Restorer:
             else:
                 pieces = found.split()
                 parts = [" ".join(pieces[i : i + PIECES]) for i in range(0, len(pieces), PIECES - AGAIN)]
-            yield from (x for x in parts if any(c.isalpha() for c in x))
+            yield from (x for x in parts if (x.isascii() and x.islower()) or any(c.isalpha() for c in x))
 
     def text(self, text: str) -> str:
         """A whole text in lower case, restored."""
@@ -284,6 +288,40 @@ def features(word: str) -> set[int]:
     return {zlib.crc32(x.encode()) for x in spellings(word)}
 
 
+def may_begin(starts: Collection[str]) -> tuple[re.Pattern, re.Pattern]:
+    """Finds where a reading may have a word with one of these beginnings; what it misses has none.
+
+    The second pattern searches a piece where what the first finds is made a blank: characters that
+    no beginning has, which are left out, end a word or are a letter of another word. A
+    letter is a letter, drawn out or not, or a sign that looks like it; between two letters signs and
+    blanks may be left out. No letter comes before a word, but the same one drawn out; beginnings that
+    end with $ are whole words, so no letter follows.
+    """
+    tree: dict = {}
+    for start in starts:
+        at = tree
+        for letter in re.sub(r"(.)\1+", r"\1", start):
+            at = at.setdefault(letter, {})
+        at[""] = {}
+    letters = re.escape("".join(sorted({x for start in starts for x in start if x != "$" and not x.isascii()})))
+
+    def pattern(at: dict) -> str:
+        if "" in at:
+            return ""
+        signs = re.escape(_SIGNS)
+        parts = []
+        for letter, after in sorted(at.items()):
+            if letter == "$":
+                parts.append("(?![a-z])")
+            else:
+                like = "".join(x for x in LOOKS_LIKE if letter in LOOKS_LIKE[x])
+                following = pattern(after)
+                parts.append(f"[{letter}{re.escape(like)}]" + (f"[{letter}{signs} ]*{following}" if following else ""))
+        return f"(?:{'|'.join(parts)})"
+
+    return re.compile(f"[^a-z{re.escape(_SIGNS)}{letters}]+"), re.compile("(?<![a-z])" + pattern(tree))
+
+
 class Reader:
     """Features of texts, each different word read once."""
 
@@ -298,16 +336,35 @@ class Reader:
         self.chosen = None if chosen is None else {x: i for i, x in enumerate(chosen)}
         # of the chosen features, if told: other words have none; and those that are whole words
         self.starts, self.full = starts, full
+        told = bool(starts) and all(x.removesuffix("$").isalpha() for x in starts)
+        self.other, self.may = may_begin(starts) if told else (None, None)
         self.spelled: dict[int, str] = {}
         self.known: dict[str, tuple[int, ...]] = {}
 
     def _word(self, token: str) -> tuple[int, ...]:
         if self.starts is not None and token.isascii() and token.isalpha() and not _TWICE.search(token):
             return self._chosen((token,))  # it can be read in one way
+        if self._barren(token):
+            return ()
         return self._chosen({word for x in self.restorer.readings(token) for word in _WORD.findall(x)})
 
+    def _barren(self, piece: str) -> bool:
+        """Whether no reading of a piece can have a feature, as far as that is told beforehand."""
+        if self.may is None or len(piece) > TOLD:
+            return False
+        if self.may.search(self.other.sub(" ", piece)):
+            return False
+        if piece.isascii():
+            return True
+        # accents become blanks here, which may be left out like them
+        plain = unicodedata.normalize("NFKD", piece)
+        return len(plain) <= TOLD and not self.may.search(self.other.sub(" ", plain))
+
     def _stretch(self, stretch: str) -> tuple[int, ...]:
         """Of the words that joining makes; those that stand are counted already."""
+        # a row of single characters has words that end anywhere
+        if stretch.isascii() and self._barren(stretch) and not _SINGLES.search(" ".join(stretch.split())):
+            return ()
         pieces = stretch.split()
         made = set(self.restorer.joined(stretch).split()) - set(pieces)
         words = {word for x in made for y in self.restorer.readings(x) for word in _WORD.findall(y)}
@@ -334,13 +391,12 @@ class Reader:
     def _parted(self, tokens: list[str]) -> Iterator[str]:
         """Neighbouring pieces that together are a word which is a feature."""
         starts, full = self.starts, self.full
-        for i, following in enumerate(tokens[1:]):
-            word = tokens[i] + following
-            if word[:BEGINNING] in starts:
-                for j in range(i + 2, min(i + JOINED, len(tokens)) + 1):
-                    if word in full:
-                        yield " ".join(tokens[i:j])
-                    word += tokens[j] if j < len(tokens) else ""
+        for i in [i for i, x in enumerate(map(add, tokens, tokens[1:])) if x[:BEGINNING] in starts]:
+            word = tokens[i] + tokens[i + 1]
+            for j in range(i + 2, min(i + JOINED, len(tokens)) + 1):
+                if word in full:
+                    yield " ".join(tokens[i:j])
+                word += tokens[j] if j < len(tokens) else ""
 
     def _made(self, stretch: str) -> tuple[int, ...]:
         """The features of the word made of all pieces of a stretch, where that reading is likely

@@ -340,3 +340,31 @@ def test_rows_without_an_id_are_dealt_into_several_ranges(spark):
     keyed = keyed.withColumn("prefix", fingerprints._prefix(F.col("text")))
     sizes = [r["count"] for r in keyed.groupBy(fingerprints._ranges(keyed, 32)).count().collect()]
     assert max(sizes) < 400 and sum(sizes) == 3000
+
+
+PIECES_SEEN = st.lists(st.text(alphabet="aaabcdss$@10.-éßñ_²ⓐ™H ", min_size=1, max_size=9), min_size=1, max_size=12).map(" ".join)
+BEGINNINGS = st.sets(st.text(alphabet="abcdsé", min_size=1, max_size=4).map(lambda x: (x + "$")[:4]), min_size=1, max_size=6)
+
+
+@given(PIECES_SEEN, BEGINNINGS)
+@settings(max_examples=300, deadline=None)
+def test_pieces_told_beforehand_have_no_feature(text, starts):
+    """Reading only pieces that may have a feature finds what reading all of them does."""
+    model = toxicity.costs(np.arange(27**3, dtype=float) % 11)
+    words = [x.removesuffix("$") for x in starts]
+    spelled = {y for x in words for tail in ("", "a", "ss", "bcd") for y in toxicity.spellings(x + tail)}
+    chosen = sorted({toxicity.zlib.crc32(x.encode()) for x in spelled})
+    begins = frozenset(x[: toxicity.BEGINNING] for x in spelled)
+    full = frozenset(x[:-1] for x in spelled if x.endswith("$"))
+    reader, plain = (toxicity.Reader(model, chosen, begins, full) for _ in range(2))
+    plain.may = None
+    assert reader.read(text) == plain.read(text)
+
+
+def test_pieces_without_a_feature_are_not_decoded(monkeypatch):
+    reader = toxicity.Reader(toxicity.costs(np.ones(27**3)), [toxicity.zlib.crc32(b"scum$")], frozenset({"scum"}), frozenset({"scum"}))
+    seen = []
+    monkeypatch.setattr(reader.restorer, "decode", lambda x: seen.append(x) or "".join(filter(str.isalpha, x)))
+    text = "w0rds th@t s.e.e.m café1 odd 4 it to be an s c u m 5cum"
+    assert sum(reader.read(text).values()) >= 1
+    assert "5cum" in seen and not {"w0rds", "th@t", "s.e.e.m", "café1", "it to be an"} & set(seen)
