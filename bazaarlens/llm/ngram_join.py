@@ -59,6 +59,8 @@ from bazaarlens.llm.hashing import PrefixHash, mixed
 
 #: Hashed grams that a task gathers before it deals them out.
 GATHERED = 1 << 20
+#: Bytes of the texts that are hashed at a time, or one text.
+STEP = 1 << 18
 #: A gram that so many rows of one dealing have is common: see the docstring.
 COMMON, COMMON_COUNT = 32, (1 << 32) - 1
 #: Bytes kept of a gram's hash; the block it goes to tells some bits more.
@@ -208,7 +210,7 @@ def _dealt(n: int, blocks: int, targets: int, many: int):
         for batch in batches:
             found, marked = batch.column(0).fill_null(_NO_ID).to_pylist(), batch.column(2).to_pylist()
             data, ends = utf8(batch.column(1))
-            for a, b in steps(ends):
+            for a, b in steps(ends, STEP):
                 for doc_id, mark, own in zip(found[a:b], marked[a:b], grams(data[ends[a] : ends[b]], ends[a : b + 1] - ends[a], n)):
                     row = int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True)
                     ids.append(doc_id)
@@ -243,16 +245,22 @@ def _shared_columns(key: tuple, table: pa.Table, targets: int) -> pa.Table:
     low = _unpack(pick("grams"), np.uint8).reshape(-1, GRAM_BYTES)
     gram = np.zeros((len(low), 8), np.uint8)
     gram[:, :GRAM_BYTES] = low
-    # the block's number makes grams of different blocks differ
-    gram = gram.view(np.uint64).reshape(-1) | np.uint64((key[0].as_py() & 0xFFFF) << 48)
+    del low
     repeats, row, size = (_unpack(pick(x), k) for x, k in (("counts", np.uint32), ("rows", np.int64), ("sizes", np.uint32)))
-    row, size = np.repeat(row, repeats), np.repeat(size, repeats)
+    for i in gram_parts:
+        parts["grams"][i] = None
+    # the block's number makes grams of different blocks differ
+    gram = gram.view(np.uint64).reshape(-1)
+    gram |= np.uint64((key[0].as_py() & 0xFFFF) << 48)
     order = np.argsort(gram, kind="stable")
-    gram, row, size = gram[order], row[order], size[order]
+    gram = gram[order]
     # columns that stand in one place only are most; the rest is small
     same = gram[1:] == gram[:-1]
-    twice = np.concatenate([same, [False]]) | np.concatenate([[False], same])
-    gram, row, size = gram[twice], row[twice], size[twice]
+    twice = (np.concatenate([same, [False]]) | np.concatenate([[False], same]))[: len(gram)]
+    gram = gram[twice]
+    owner = np.searchsorted(np.cumsum(repeats, dtype=np.int64), order[twice], "right")
+    del order
+    row, size = row[owner], size[owner]
     order = np.lexsort((row, gram))
     gram, row, size = gram[order], row[order], size[order]
     once = np.concatenate([[True], (gram[1:] != gram[:-1]) | (row[1:] != row[:-1])])[: len(gram)]
@@ -324,6 +332,7 @@ def _bounded(key: tuple, table: pa.Table, percent: int) -> pa.Table:
             out["size"].append(whole)
             out["grams"].append(np.sort(gram[a:b]).tobytes())
             out["prefix"].append([{"gram": g, "place": single + i} for i, g in enumerate(chosen)])
+    give_back()
     kinds = [pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.struct([("gram", pa.int64()), ("place", pa.int32())]))]
     return pa.table(list(out.values()), pa.schema(list(zip(out, kinds))))
 

@@ -34,12 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from bazaarlens.llm.common import KEPT, range_bounds, range_number, shuffle_partitions, tidy, written
+from bazaarlens.llm.common import KEPT, range_bounds, range_number, shuffle_partitions, steps, tidy, written
 from bazaarlens.llm.hashing import PrefixHash
 from bazaarlens.llm.units import Known, Ragged, byte_characters, pieces, stretches
 
 END, LENGTH = 2, 4096
 DIMENSIONS, BITS = 4, 10
+#: Characters of the texts that are tokenised at a time, or one text.
+STEP = 1 << 17
 #: What keeps a text from being split here: characters that do not lower-case and normalise
 #: one by one, alike in every Unicode version; special tokens; contractions.
 _UNUSUAL = re.compile("[^\t\n\r\x20-\x7e\xa1-\u012f\u0131-\u017f]")
@@ -203,9 +205,10 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path)
         for whole in batches:
-            for start in range(0, len(whole), 250):
-                batch = whole.slice(start, 250)
-                found = encoder.encoded([x or "" for x in batch.column(1).to_pylist()])
+            texts = [x or "" for x in whole.column(1).to_pylist()]
+            for first, last in steps(np.cumsum([0, *map(len, texts)]), STEP):
+                batch = whole.slice(first, last - first)
+                found = encoder.encoded(texts[first:last])
                 packed, counts = [x.tobytes() for x, _ in found], [len(x) for x, _ in found]
                 vectors = [(total / len(x) ** 0.5).tolist() for x, total in found]
                 yield pa.RecordBatch.from_arrays(
@@ -309,5 +312,5 @@ def packed(docs: DataFrame, path: str, *, length: int = LENGTH) -> DataFrame:
 
     dealt = ranged.repartitionByRange(parts, "range").sortWithinPartitions("range", "key", "doc_id")
     return dealt.select("doc_id", "tokens", "ids", "range").mapInArrow(
-        run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+        tidy(run), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     )
